@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("q_chat", "q_media", "q_lines", "q_quality", "q_shards", "q_decontaminate", "q_bpe", "q_langid")
+MODULES = ("q_lm", "q_chat", "q_media", "q_lines", "q_quality", "q_shards", "q_jaccard", "q_decontaminate", "q_bpe", "q_langid")
 
 
 def queries() -> dict:
