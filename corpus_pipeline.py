@@ -1,19 +1,76 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written and read again.
+
+Every stage but the last returns the columns of documents.  A stage sees all
+rows that the one before it kept:
+
+1. quality: documents that score below 0.3 go;
+2. lines: lines that repeat an earlier one go, and documents left without any;
+3. near_duplicates: of each component the document with the smallest id stays;
+4. decontamination: contaminated documents go;
+5. encoding: token ids of what is left, with digests of ids and decoded bytes.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lintel.llm.byte_bpe import encode
+from lintel.llm.decontaminate import decontaminate
+from lintel.llm.jaccard import near_duplicates
+from lintel.llm.lines import dedup_lines
+from lintel.llm.q_bpe import RANKS, digests
+from lintel.llm.q_quality import LEAST_SCORE, held_out
+from lintel.llm.quality import learned, scored
 from lintel.storage import table, written
 
-STAGES: list = []
 
-#: The quality classifier is not expressible in SQL.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5))
+    good = scored(docs, learned(docs, labels), score="_score").filter(F.col("_score") >= LEAST_SCORE)
+    return good.drop("_score")
+
+
+def _recounted(docs: DataFrame) -> DataFrame:
+    """n_chars follows the text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = dedup_lines(docs).filter("kept > 0 or n_lines = 0")
+    return _recounted(out.select(*docs.columns))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose id is not the smallest of its component go; rows without an id stay."""
+    later = near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate(docs, table(spark, sf_dir, "benchmark")).filter(~F.col("contaminated")).select(*docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, back="decoded")
+    return digests(out).drop("decoded")
+
+
+STAGES = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_copies),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
+
+#: The quality classifier can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
