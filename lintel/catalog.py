@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("q_metrics", "q_profile")
+MODULES = ("q_metrics", "q_profile", "q_flow")
 
 
 def queries() -> dict:

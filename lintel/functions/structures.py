@@ -48,18 +48,18 @@ def spaced_json_length(m: Column) -> Column:
 
 def has_content(value: Column) -> Column:
     """Whether a text holds more than blanks or an empty JSON list or object; null does not."""
-    t = F.trim(F.coalesce(value, F.lit("")))
-    return (t != "") & ~t.rlike(r"^(\[\s*\]|\{\s*\})$")
+    t = F.coalesce(value, F.lit(""))
+    return t.rlike(r"\S") & ~t.rlike(r"\A\s*(\[\s*\]|\{\s*\})\s*\z")
 
 
 def is_empty_text(value: Column) -> Column:
-    return F.trim(F.coalesce(value, F.lit(""))) == ""
+    return ~F.coalesce(value, F.lit("")).rlike(r"\S")
 
 
 def parsed_object(text: Column, schema: str = MODEL_OUTPUT) -> Column:
     """The struct of a text that is exactly one JSON object, else null."""
     found = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{schema}>", {"allowSingleQuotes": "false"})
-    one = (F.size(found) == 1) & F.get(found, F.lit(0)).isNotNull() & F.trim(text).startswith("{") & F.trim(text).endswith("}")
+    one = (F.size(found) == 1) & F.get(found, F.lit(0)).isNotNull() & text.rlike(r"(?s)\A\s*\{.*\}\s*\z")
     return F.when(F.coalesce(one, F.lit(False)), F.get(found, F.lit(0)))
 
 
