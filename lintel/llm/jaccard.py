@@ -42,7 +42,10 @@ from lintel.storage import written
 WORDS, PERCENT = 5, 75
 #: Documents in one packed run; their numbers take two bytes.
 RUN_DOCS, RUN_SHINGLES = 60_000, 1_000_000
-PIVOT_ROUNDS, PIVOTS = 3, 2
+#: Rounds of pivots at most, and pairs for each set that need no further round.
+PIVOT_ROUNDS, PAIRS_FOR_EACH = 8, 1
+#: Pivots that a set meets in a round.
+FIRST_PIVOTS, PIVOTS = 2, 8
 
 _U = np.uint64
 PACKED = "to long, chunk long, low binary, high binary, docs binary, keys binary, sizes binary, sets binary"
@@ -225,27 +228,38 @@ def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = members.join(leaders, "group").filter("set != b").select(F.col("set").alias("a"), "b")
     links = written(_verified(first, sets, percent), "jaccard-links")
     labels = _relabelled(sets.select("set", F.col("set").alias("label")), links)
+    sizes = members.groupBy("group").agg(F.count("*").alias("m"))
+    enough = PAIRS_FOR_EACH * members.count()
     for turn in range(PIVOT_ROUNDS + 1):
+        # Of each group, the labels' range; of each shingle, whether its groups' sets have more than one label.
         range_ = members.join(labels, "set").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        spread = places.join(range_, "group").groupBy("s").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.struct(F.xxhash64("group", F.lit(turn)).alias("h"), "group")).alias("p"))
-        spread = written(spread.filter("lo != hi").select("s", F.col("p.group").alias("p")), "jaccard-open")
+        range_ = written(range_.join(sizes, "group"), "jaccard-ranges")
+        of_label = places.join(range_, "group").groupBy("s", "lo").agg(F.sum("m").alias("m"), F.max("hi").alias("hi"), F.min(F.struct(F.xxhash64("group", "s", F.lit(turn)).alias("h"), "group")).alias("p"))
+        spread = of_label.groupBy("s").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("p").alias("p"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
+        spread = spread.filter("lo != hi").select("s", F.col("p.group").alias("p"), ((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs"))
+        spread = written(spread, "jaccard-open")
         places = written(places.join(spread.select("s"), "s", "left_semi"), "jaccard-places")
-        if turn == PIVOT_ROUNDS or not spread.head(1):
+        if turn == PIVOT_ROUNDS or (spread.agg(F.sum("pairs")).first()[0] or 0) <= enough:
             break
         chosen = spread.join(leaders.select(F.col("group").alias("p"), F.col("b").alias("pivot")), "p").select("s", "pivot")
-        few = places.select("s", "group").join(chosen, "s").groupBy("group").agg(F.min("pivot").alias("p0"), F.max("pivot").alias("p1"))
-        pairs = members.join(few, "group").select("set", F.explode(F.array_distinct(F.array("p0", "p1"))).alias("b"))
+        few = places.select("s", "group").join(chosen, "s").select("group", "pivot").distinct()
+        # A pivot for each open shingle; of those, a set meets the first few in an order of the round's.
+        drawn = F.array_sort(F.collect_set(F.struct(F.xxhash64("pivot", "group", F.lit(turn)).alias("h"), "pivot")))
+        few = few.groupBy("group").agg(F.slice(drawn, 1, FIRST_PIVOTS if turn == 0 else PIVOTS).alias("pivots"))
+        pairs = members.join(few, "group").select("set", F.explode("pivots.pivot").alias("b"))
         label = labels.select(F.col("set").alias("b"), F.col("label").alias("other"))
         pairs = pairs.filter("set != b").distinct().join(labels, "set").join(label, "b").filter("label != other").select(F.col("set").alias("a"), "b")
         more = written(_verified(pairs, sets, percent), "jaccard-links")
         links = links.union(more)
         labels = _relabelled(labels, more)
-    x, y = (places.select("s", *(F.col(c).alias(f"{c}{i}") for c in ("group", "n", "at"))) for i in (0, 1))
+    open_ = places.join(range_, "group")
+    x, y = (open_.select("s", *(F.col(c).alias(f"{c}{i}") for c in ("group", "n", "at", "lo", "hi"))) for i in (0, 1))
     fits = F.least("n0", "n1") * 100 >= F.greatest("n0", "n1") * percent
     # This shingle and what follows it in the shorter rest.
     rest = F.least(F.col("n0") - F.col("at0"), F.col("n1") - F.col("at1"))
     bound = rest * (100 + percent) >= percent * (F.col("n0") + F.col("n1"))
-    met = x.join(y, "s").filter("group0 <= group1").filter(fits & bound).select("group0", "group1").distinct()
+    apart = "not (lo0 = hi0 and lo1 = hi1 and lo0 = lo1)"
+    met = x.join(y, "s").filter("group0 <= group1").filter(apart).filter(fits & bound).select("group0", "group1").distinct()
     m0, m1 = (members.join(labels, "set").select(F.col("group").alias(f"group{i}"), F.col("set").alias("ab"[i]), F.col("label").alias(f"label{i}")) for i in (0, 1))
     pairs = met.join(m0, "group0").join(m1, "group1").filter("label0 != label1 and a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return links.union(written(_verified(pairs, sets, percent), "jaccard-links"))
