@@ -42,8 +42,9 @@ from lintel.storage import written
 WORDS, PERCENT = 5, 75
 #: Documents in one packed run; their numbers take two bytes.
 RUN_DOCS, RUN_SHINGLES = 60_000, 1_000_000
-#: Rounds of pivots at most, and pairs for each set that need no further round.
-PIVOT_ROUNDS, PAIRS_FOR_EACH = 8, 1
+#: Rounds of pivots at most, pairs for each set that need no further round, and
+#: the share of the pairs that a round must leave at most for another to follow.
+PIVOT_ROUNDS, PAIRS_FOR_EACH, WORTHWHILE = 8, 1, 0.5
 #: Pivots that a set meets in a round.
 FIRST_PIVOTS, PIVOTS = 2, 8
 
@@ -208,28 +209,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").filter(fits).filter(link("na", "nb", "sa", "sb")).select("a", "b")
 
 
-def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Every set takes the least label among its links, twice; equal labels mean one component."""
+def _relabelled(labels: DataFrame, links: DataFrame, times: int = 2) -> DataFrame:
+    """Every set takes the least label among its links, a number of times; equal labels mean one component."""
     both = links.union(links.select("b", "a"))
-    for _ in range(2):
+    for _ in range(times):
         near = both.join(labels.withColumnRenamed("set", "b"), "b").groupBy("a").agg(F.min("label").alias("m")).withColumnRenamed("a", "set")
         labels = written(labels.join(near, "set", "left").select("set", F.least("label", "m").alias("label")), "jaccard-labels")
     return labels
 
 
 def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Verified links (a, b) that connect all linked sets. sets: set, n, shingles, prefix, at."""
-    groups = F.xxhash64("n", "prefix")
-    members = written(sets.select("set", groups.alias("group")), "jaccard-members")
-    places = sets.select(groups.alias("group"), "n", "at", "prefix").dropDuplicates(["group"])
+    """Verified links (a, b) that connect all linked sets. sets: set, n, shingles, prefix, at, group."""
+    members = sets.select("set", "group")
+    places = sets.select("group", "n", "at", "prefix").dropDuplicates(["group"])
     places = places.select("group", "n", "at", F.posexplode("prefix").alias("i", "s")).select("s", "group", "n", (F.col("at") + F.col("i")).alias("at"))
     places = written(places, "jaccard-places")
     leaders = members.groupBy("group").agg(F.min("set").alias("b"))
     first = members.join(leaders, "group").filter("set != b").select(F.col("set").alias("a"), "b")
     links = written(_verified(first, sets, percent), "jaccard-links")
-    labels = _relabelled(sets.select("set", F.col("set").alias("label")), links)
+    labels = _relabelled(sets.select("set", F.col("set").alias("label")), links, 1)
     sizes = members.groupBy("group").agg(F.count("*").alias("m"))
-    enough = PAIRS_FOR_EACH * members.count()
+    enough, before = PAIRS_FOR_EACH * members.count(), math.inf
     for turn in range(PIVOT_ROUNDS + 1):
         # Of each group, the labels' range; of each shingle, whether its groups' sets have more than one label.
         range_ = members.join(labels, "set").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
@@ -238,9 +238,10 @@ def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         spread = of_label.groupBy("s").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("p").alias("p"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
         spread = spread.filter("lo != hi").select("s", F.col("p.group").alias("p"), ((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs"))
         spread = written(spread, "jaccard-open")
-        places = written(places.join(spread.select("s"), "s", "left_semi"), "jaccard-places")
-        if turn == PIVOT_ROUNDS or (spread.agg(F.sum("pairs")).first()[0] or 0) <= enough:
+        left = spread.agg(F.sum("pairs")).first()[0] or 0
+        if turn == PIVOT_ROUNDS or left <= enough or left > WORTHWHILE * before:
             break
+        before = left
         chosen = spread.join(leaders.select(F.col("group").alias("p"), F.col("b").alias("pivot")), "p").select("s", "pivot")
         few = places.select("s", "group").join(chosen, "s").select("group", "pivot").distinct()
         # A pivot for each open shingle; of those, a set meets the first few in an order of the round's.
@@ -252,7 +253,7 @@ def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         more = written(_verified(pairs, sets, percent), "jaccard-links")
         links = links.union(more)
         labels = _relabelled(labels, more)
-    open_ = places.join(range_, "group")
+    open_ = places.join(spread.select("s"), "s", "left_semi").join(range_, "group")
     x, y = (open_.select("s", *(F.col(c).alias(f"{c}{i}") for c in ("group", "n", "at", "lo", "hi"))) for i in (0, 1))
     fits = F.least("n0", "n1") * 100 >= F.greatest("n0", "n1") * percent
     # This shingle and what follows it in the shorter rest.
@@ -272,7 +273,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     packed = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(_pack(bits, words), PACKED)
     back = packed.groupBy("to").applyInArrow(_segment(bits), "chunk long, shingles binary, counts binary, docs binary, keys binary, sizes binary, sets binary")
     rows = written(back.groupBy("chunk").applyInArrow(_documents(percent), SETS), "jaccard-sets")
-    able = rows.filter("shingles is not null").dropDuplicates(["set"]).select("set", "n", "shingles", "prefix", "at")
+    able = rows.filter("shingles is not null").dropDuplicates(["set"]).select("set", "n", "shingles", "prefix", "at", F.xxhash64("n", "prefix").alias("group"))
     able = written(able, "jaccard-able")
     roots = components(linked(able, percent)).select(F.col("node").alias("set"), "root")
     least = written(rows.filter("set is not null").groupBy("set").agg(F.min("key").alias("k")).join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")), "jaccard-roots")
