@@ -31,7 +31,7 @@ from lintel.storage import written
 
 NEAR_WORDS = 8
 OUTPUTS = ("n_lines", "n_exact", "n_near", "kept")
-BLANKS = r"[\x20\x09-\x0D]+"
+BLANKS, IN_LINE = r"[\x20\x09-\x0D]+", r"[\x20\x09\x0B-\x0D]+"
 
 
 def line_words(line: Column) -> Column:
@@ -39,6 +39,11 @@ def line_words(line: Column) -> Column:
     return F.trim(F.regexp_replace(lowered(line), BLANKS, " "))
 
 
+def _all_words(text: Column) -> Column:
+    """The words of all lines of a text; blanks may stand at a line's ends."""
+    return F.regexp_replace(lowered(text), IN_LINE, " ")
+
+
 def _half(words: Column, count: Column, tag: str, first: bool) -> Column:
     part = F.slice(words, F.lit(1) if first else F.size(words) - count + 1, count)
     return F.xxhash64(F.lit(tag), count, F.array_join(part, " "))
@@ -103,8 +108,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", near_w
     columns = [c for c in docs.columns if c not in OUTPUTS]
     rows = docs.select(*columns, row_id(F.col(key), F.col(text)).alias("_rid"))
     texts = rows.select(F.col("_rid").alias("rid"), F.col(text).alias("text"))
-    each = rows.select(F.col(key).alias("key"), F.col("_rid").alias("rid"), F.posexplode(F.split(text, "\n", -1)).alias("i", "l"))
-    each = each.withColumn("l", line_words(F.col("l"))).filter("l != ''")
+    each = rows.select(F.col(key).alias("key"), F.col("_rid").alias("rid"), F.posexplode(F.split(_all_words(F.col(text)), "\n", -1)).alias("i", "l"))
+    each = each.withColumn("l", F.trim("l")).filter("l != ''")
     parts = F.split("l", " ")
     each = each.select("key", "rid", "i", F.struct(F.xxhash64("l").alias("a"), F.xxhash64(F.lit("second"), "l").alias("b")).alias("line"), F.when(F.size(parts) >= near_words, _halves(parts)).alias("halves"))
     each = written(each, "lines")

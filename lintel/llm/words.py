@@ -11,9 +11,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+#: What may change in lower case besides A-Z; letters that Java's tables lack may be in those of ``lower``.
+OTHER_CAPITALS = r"[\p{Lu}\p{Lt}\p{Nl}\p{So}\p{Cn}&&[^A-Z]]"
+
+
 def lowered(text: Column) -> Column:
-    """A-Z in lower case, all else as it is; null as empty."""
-    return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z in lower case, all else as it is; null as empty.
+
+    ``lower`` is much faster than ``translate`` and does the same to texts without other capitals.
+    """
+    text = F.coalesce(text, F.lit(""))
+    plain = (F.octet_length(text) == F.length(text)) | ~text.rlike(OTHER_CAPITALS)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def split_words(text: Column, separators: str) -> Column:
