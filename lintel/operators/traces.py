@@ -71,7 +71,7 @@ def removed_lines(patch: Column, context: bool = False) -> Column:
     state = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("out"))
 
     def step(s, line):
-        header = line.startswith("diff ") | line.startswith("--- ") | line.startswith("+++ ")
+        header = line.startswith("---") | line.startswith("+++") | line.startswith("Index:") | line.startswith("===")
         takes = line.startswith("-") | (line.startswith(" ") & F.lit(context))
         grown = F.when(s["inside"] & takes & ~header, F.concat(s["out"], F.array(F.substring(line, 2, 1_000_000_000)))).otherwise(s["out"])
         return F.struct(F.when(line.startswith("@@"), F.lit(True)).when(header, F.lit(False)).otherwise(s["inside"]).alias("inside"), grown.alias("out"))

@@ -19,7 +19,6 @@ def on(name, change):
     return lambda spark, sf_dir: change(view(spark, sf_dir, name))
 
 
-CORRECT = F.col("actual_category") == F.col("predicted_category")
 CONTEXTS = [("zero_shot", False), ("zero_shot", True), ("few_shot_cot", True)]
 WINDOWS = [("a", 700), ("b", 1500), ("c", 131072)]
 TEMPLATES = {"system": "You label tests.", "task": "Say whether the test is flaky.", "categories": "Categories: four.", "output": "Answer in JSON."}
@@ -27,8 +26,12 @@ STRATEGIES = {"zero_shot": "Decide at once.", "few_shot_cot": "Follow the exampl
 EXAMPLES = {True: "Example with context.", False: "Example of code."}
 
 
+def _correct():
+    return F.col("actual_category") == F.col("predicted_category")
+
+
 def _right(df):
-    return df.filter(CORRECT & F.col("context_enabled"))
+    return df.filter(_correct() & F.col("context_enabled"))
 
 
 def _prompts(df):
@@ -175,13 +178,13 @@ def sql(name: str, text: str) -> str:
 QUERIES = {
     "evidence_frequency": on("predictions", lambda df: E.frequency(_right(df))),
     "evidence_by_model": on("predictions", lambda df: E.frequency(_right(df), "model")),
-    "evidence_outcome": on("predictions", lambda df: E.by_outcome(df.filter("context_enabled"), CORRECT)),
+    "evidence_outcome": on("predictions", lambda df: E.by_outcome(df.filter("context_enabled"), _correct())),
     "evidence_combinations": on("predictions", lambda df: E.combinations(_right(df))),
     "evidence_utilisation": on("predictions", lambda df: E.utilisation(_right(df))),
     "evidence_utilisation_by_model": on("predictions", lambda df: E.utilisation(_right(df), "model")),
     "evidence_labels": on("predictions", _labels),
     "evidence_unmatched": on("predictions", lambda df: E.unmatched(_right(df))),
-    "reasoning_themes": on("predictions", lambda df: E.themes(df.filter(~CORRECT & F.col("context_enabled")))),
+    "reasoning_themes": on("predictions", lambda df: E.themes(df.filter(~_correct() & F.col("context_enabled")))),
     "prompt_render": on("cases", _prompt_render),
     "prompt_stats": on("cases", lambda df: P.stats(_prompts(df), "prompt", ["strategy", "context"])),
     "window_fit": on("cases", _window_fit),

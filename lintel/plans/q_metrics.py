@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lintel.functions.text import CATEGORIES
 from lintel.operators import metrics as M
+from lintel.operators import significance as G
 from lintel.plans.adapters import view, with_views
 
 
@@ -85,6 +86,11 @@ def _summary_text(df):
     return t.select("actual_category", F.format_string("%.2f [%.2f, %.2f]", "accuracy", "lo", "hi").alias("text"))
 
 
+def _holm(df):
+    tests = M.contingency(df).withColumn("p_value", G.chi_square_p("chi_square"))
+    return G.holm(tests, order=["model", "prompt_type"])
+
+
 QUERIES = {
     "binary_metrics_by_config": on_predictions(M.binary_metrics),
     "binary_metrics_by_prompt": on_predictions(lambda df: M.binary_metrics(df, ("prompt_type",))),
@@ -96,6 +102,8 @@ QUERIES = {
     "category_delta": on_predictions(_category_delta),
     "prediction_transitions": on_predictions(M.transitions),
     "mcnemar_statistic": on_predictions(M.contingency),
+    "mcnemar_holm": on_predictions(_holm),
+    "bootstrap_f1": on_predictions(G.bootstrap_f1),
     "macro_f1_by_config": on_predictions(M.macro_f1),
     "rq1_summary": on_predictions(_rq1),
     "f1_pivot": on_predictions(_f1_pivot),
