@@ -8,12 +8,14 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
 from lintel.llm.media import features, store, stored, wav_samples
 from lintel.storage import fresh_path, table
 
 UNIT = 192
-DIGESTS = "struct<payload_bytes:long,payload_sha256:string,tail_crc32:long,media_bytes:long,media_sha256:string,feature:string>"
+LONG, TEXT = LongType(), StringType()
+DIGESTS = StructType().add("payload_bytes", LONG).add("payload_sha256", TEXT).add("tail_crc32", LONG).add("media_bytes", LONG).add("media_sha256", TEXT).add("feature", TEXT)
 
 
 @F.arrow_udf(DIGESTS)
