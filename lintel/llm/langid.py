@@ -155,6 +155,10 @@ def learned(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     named = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("lang")).filter("t is not null and lang is not null")
     order = (F.xxhash64("k"), F.col("k"), F.xxhash64("t"), F.col("lang"))
+    # Twice the sample's share of the hashes goes to the sort, so its one task reads a bounded number of texts at any size.
+    share = 2 * sample / max(named.count(), 1)
+    if share < 1:
+        named = named.filter(F.xxhash64("k") < int(share * 2**64) - 2**63)
     some = written(named.orderBy(*order).limit(sample).select("t", "lang"), "langid-sample")
 
     @F.arrow_udf("array<string>")
