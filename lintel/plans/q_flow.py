@@ -34,8 +34,10 @@ def _right(df):
     return df.filter(_correct() & F.col("context_enabled"))
 
 
-def _prompts(df):
-    lines = F.slice(F.split("test_code", "\n"), 1, 2)
+def _prompts(df, whole=False):
+    """Prompts whose helpers are the first two lines of the text, or all of a whole one."""
+    lines = F.split("test_code", "\n")
+    lines = lines if whole else F.slice(lines, 1, 2)
     helpers = F.transform(lines, lambda l, i: F.struct(F.concat(F.lit("h"), i.cast("string")).alias("name"), l.alias("body")))
     classes = F.when(F.col("id") % 3 == 0, F.array(F.struct(F.col("repo_url").alias("name"), F.array(F.struct(F.col("lang").alias("name"), F.col("test_code").alias("body"))).alias("methods"))))
     rows = P.with_configs(df, CONTEXTS, ["strategy", "context"])
@@ -43,12 +45,12 @@ def _prompts(df):
     return rows.select("id", "strategy", "context", P.render(TEMPLATES, STRATEGIES, EXAMPLES, F.col("strategy"), F.col("context"), body).alias("prompt"))
 
 
-def _prompt_render(df):
-    return _prompts(df).select("id", "strategy", "context", F.length("prompt").cast("long").alias("chars"), F.md5("prompt").alias("md5"))
+def _prompt_render(df, whole=False):
+    return _prompts(df, whole).select("id", "strategy", "context", F.length("prompt").cast("long").alias("chars"), F.md5("prompt").alias("md5"))
 
 
-def _window_fit(df):
-    rows = P.with_configs(_prompts(df), WINDOWS, ["name", "size"])
+def _window_fit(df, whole=False):
+    rows = P.with_configs(_prompts(df, whole), WINDOWS, ["name", "size"])
     return P.window_fit(rows, S.approximate_tokens(F.col("prompt")), "size", ["name", "strategy", "context"])
 
 
@@ -188,6 +190,9 @@ QUERIES = {
     "prompt_render": on("cases", _prompt_render),
     "prompt_stats": on("cases", lambda df: P.stats(_prompts(df), "prompt", ["strategy", "context"])),
     "window_fit": on("cases", _window_fit),
+    "whole_prompt_render": on("cases", lambda df: _prompt_render(df, True)),
+    "whole_prompt_stats": on("cases", lambda df: P.stats(_prompts(df, True), "prompt", ["strategy", "context"])),
+    "whole_window_fit": on("cases", lambda df: _window_fit(df, True)),
     "token_chunks": on("cases", _chunks(20000, None, S.approximate_tokens)),
     "byte_chunks": on("cases", _chunks(100000, 30, S.line_bytes)),
     "request_lines": on("cases", _requests),
@@ -246,3 +251,5 @@ SELECT file, package, name, CASE WHEN file % 3 = 0 THEN 'org.x.' || name WHEN pa
 for _name in ("token_chunks", "byte_chunks"):
     _views = with_views("SELECT 1", "cases").removesuffix(" SELECT 1").removeprefix("WITH ")
     SQL[_name] = SQL[_name].replace("WITH RECURSIVE ", f"WITH RECURSIVE {_views}, ", 1)
+for _name in ("prompt_render", "prompt_stats", "window_fit"):
+    SQL[f"whole_{_name}"] = SQL[_name].replace("string_split(test_code, chr(10))[1:2]", "string_split(test_code, chr(10))")

@@ -21,16 +21,17 @@ def sql(text: str) -> str:
     return with_views(text, "cases")
 
 
-def _maps(df):
-    """helpers: map of line number to line of the text (first three); code: map of source to (map of language to text)."""
-    lines = F.slice(F.split("test_code", "\n"), 1, 3)
+def _maps(df, whole=False):
+    """helpers: map of line number to line of the text (first three, or all of a whole one); code: map of source to (map of language to text)."""
+    lines = F.split("test_code", "\n")
+    lines = lines if whole else F.slice(lines, 1, 3)
     entries = F.transform(lines, lambda l, i: F.struct(F.concat(F.lit("h"), i.cast("string")).alias("k"), l.alias("v")))
     inner = F.map_from_arrays(F.array("lang", F.lit("blank")), F.array(F.col("java_code"), F.lit(" ")))
     return df.select("id", "is_flaky", "failure_log", F.map_from_entries(entries).alias("helpers"), F.map_from_arrays(F.array("repo_url"), F.array(inner)).alias("code"))
 
 
-def _map_sizes(df):
-    return _maps(df).select("id", S.map_size(F.col("helpers")).cast("long").alias("helpers"), S.nested_count(F.col("code")).cast("long").alias("methods"), S.nested_chars(F.col("code")).cast("long").alias("chars"), S.nested_blank(F.col("code")).cast("long").alias("blank"))
+def _map_sizes(df, whole=False):
+    return _maps(df, whole).select("id", S.map_size(F.col("helpers")).cast("long").alias("helpers"), S.nested_count(F.col("code")).cast("long").alias("methods"), S.nested_chars(F.col("code")).cast("long").alias("chars"), S.nested_blank(F.col("code")).cast("long").alias("blank"))
 
 
 def _clean_maps(df):
@@ -114,8 +115,8 @@ def _merge(spark, sf_dir):
     return L.renumbered([df.filter("is_flaky"), df.filter(~F.col("is_flaky"))], "old_id", "id")
 
 
-def _csv_form(df):
-    m = _maps(df)
+def _csv_form(df, whole=False):
+    m = _maps(df, whole)
     return m.select("id", F.when(F.size("helpers") == 0, "").otherwise(F.to_json("helpers")).alias("helpers_text"), S.spaced_json_length(F.create_map(F.lit("a"), F.col("id").cast("string"), F.lit("b"), F.lit("x"))).cast("long").alias("json_length")).select("id", F.length("helpers_text").cast("long").alias("chars"), "json_length")
 
 
@@ -177,6 +178,8 @@ QUERIES = {
     "clean_maps": on_cases(_clean_maps),
     "explode_maps": on_cases(_exploded_maps),
     "map_csv_form": on_cases(_csv_form),
+    "whole_map_sizes": on_cases(lambda df: _map_sizes(df, True)),
+    "whole_map_csv_form": on_cases(lambda df: _csv_form(df, True)),
     "context_score": on_cases(lambda df: _scored(df).groupBy("is_flaky", "context_score").agg(F.count("*").alias("n"))),
     "balance": on_cases(_balance),
     "seeded_sample": on_cases(lambda df: L.sample(df.select("id", "test_id"), 50, 42)),
@@ -218,6 +221,8 @@ SELECT bin_no, bin, coalesce(n, 0) AS n, round(coalesce(n, 0) / sum(n) OVER () *
     "clean_maps": sql(f"SELECT id, true AS same_keys, length(x) AS chars, md5(x || '|') AS md5 FROM (SELECT id, {JAVA_STRIP.format(c='java_code')} AS x FROM cases)"),
     "explode_maps": sql("SELECT id, repo_url AS class, lang AS method, length(java_code) AS chars FROM cases UNION ALL SELECT id, repo_url, 'blank', 1 FROM cases"),
     "map_csv_form": sql("""SELECT id, length('{' || array_to_string(list_transform(string_split(test_code, chr(10))[1:3], lambda l, i: '"h' || (i - 1) || '":' || CAST(to_json(l) AS VARCHAR)), ',') || '}') AS chars, length('{"a": "' || id || '", "b": "x"}') AS json_length FROM cases"""),
+    "whole_map_sizes": sql("SELECT id, len(string_split(test_code, chr(10))) AS helpers, 2 AS methods, length(java_code) + 1 AS chars, 1 + CAST(trim(java_code) = '' AS INT) AS blank FROM cases"),
+    "whole_map_csv_form": sql("""SELECT id, length('{' || array_to_string(list_transform(string_split(test_code, chr(10)), lambda l, i: '"h' || (i - 1) || '":' || CAST(to_json(l) AS VARCHAR)), ',') || '}') AS chars, length('{"a": "' || id || '", "b": "x"}') AS json_length FROM cases"""),
     "context_score": sql(f"WITH {SCORED} SELECT is_flaky, context_score, count(*) AS n FROM s GROUP BY ALL"),
     "balance": sql(f"""WITH {SCORED}, g AS (SELECT *, row_number() OVER (ORDER BY context_score DESC, id) AS r FROM s WHERE NOT is_flaky)
 SELECT id, is_flaky, context_score, md5(id || '|42') AS shuffled FROM (SELECT id, is_flaky, context_score FROM s WHERE is_flaky UNION ALL SELECT id, is_flaky, context_score FROM g WHERE r <= (SELECT count(*) FROM s WHERE is_flaky))"""),
