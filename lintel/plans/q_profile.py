@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lintel.functions import java as J
 from lintel.functions import structures as S
 from lintel.functions import text as T
 from lintel.operators import profile as P
@@ -44,6 +45,25 @@ def _exploded_maps(df):
     return _maps(df).select("id", F.explode("code").alias("class", "methods")).select("id", "class", F.explode("methods").alias("method", "body")).select("id", "class", "method", F.length("body").cast("long").alias("chars"))
 
 
+#: Parts of a class around a text: a call and a comment that name the method, the method before and after the text, and another method.
+JAVA = ("class T { /* old t() { */ int a = t(';'); ", "@Test public void t() { char c = '}'; /* ", " */ if (a) { x(\"{\"); } // {\n}", " int u() { return 1; } }")
+
+
+def _class_of_text(df):
+    return df.select("id", F.concat(F.lit(JAVA[0]), F.lit(JAVA[1]), F.replace("test_code", F.lit("*/"), F.lit("")), F.lit(JAVA[2]), F.lit(JAVA[3])).alias("code"))
+
+
+def _masked_code(df):
+    out = _class_of_text(df).select("id", J.mask(F.col("code")).alias("masked"))
+    return out.select("id", F.length("masked").cast("long").alias("chars"), F.md5("masked").alias("md5"))
+
+
+def _methods(df):
+    """In code as it is, the comment's t comes first and is no declaration; in masked code the method is found."""
+    code, t = F.col("code"), F.lit("t")
+    return _class_of_text(df).select("id", J.method(code, t).alias("raw"), F.md5(J.method(code, t, True)).alias("masked"), J.method(code, F.lit("u")).alias("other"))
+
+
 def _sizes(df):
     return df.withColumn("test_length", F.length("test_code")).withColumn("failure_length", F.length("failure_log")).withColumn("lines", F.size(F.split("test_code", "\n")))
 
@@ -180,6 +200,8 @@ QUERIES = {
     "map_csv_form": on_cases(_csv_form),
     "whole_map_sizes": on_cases(lambda df: _map_sizes(df, True)),
     "whole_map_csv_form": on_cases(lambda df: _csv_form(df, True)),
+    "masked_code": on_cases(_masked_code),
+    "extracted_methods": on_cases(_methods),
     "context_score": on_cases(lambda df: _scored(df).groupBy("is_flaky", "context_score").agg(F.count("*").alias("n"))),
     "balance": on_cases(_balance),
     "seeded_sample": on_cases(lambda df: L.sample(df.select("id", "test_id"), 50, 42)),
@@ -223,6 +245,9 @@ SELECT bin_no, bin, coalesce(n, 0) AS n, round(coalesce(n, 0) / sum(n) OVER () *
     "map_csv_form": sql("""SELECT id, length('{' || array_to_string(list_transform(string_split(test_code, chr(10))[1:3], lambda l, i: '"h' || (i - 1) || '":' || CAST(to_json(l) AS VARCHAR)), ',') || '}') AS chars, length('{"a": "' || id || '", "b": "x"}') AS json_length FROM cases"""),
     "whole_map_sizes": sql("SELECT id, len(string_split(test_code, chr(10))) AS helpers, 2 AS methods, length(java_code) + 1 AS chars, 1 + CAST(trim(java_code) = '' AS INT) AS blank FROM cases"),
     "whole_map_csv_form": sql("""SELECT id, length('{' || array_to_string(list_transform(string_split(test_code, chr(10)), lambda l, i: '"h' || (i - 1) || '":' || CAST(to_json(l) AS VARCHAR)), ',') || '}') AS chars, length('{"a": "' || id || '", "b": "x"}') AS json_length FROM cases"""),
+    "masked_code": sql(f"""SELECT id, length(m) AS chars, md5(m) AS md5 FROM (SELECT id, 'class T {{ ' || repeat(' ', 15) || ' int a = t(' || repeat(' ', 3) || '); @Test public void t() {{ char c = ' || repeat(' ', 3) || '; '
+  || regexp_replace('/* ' || replace(test_code, '*/', '') || ' */', '[^\n]', ' ', 'g') || ' if (a) {{ x(' || repeat(' ', 3) || '); }} ' || repeat(' ', 4) || chr(10) || '}} int u() {{ return 1; }} }}' AS m FROM cases)"""),
+    "extracted_methods": sql(f"""SELECT id, NULL AS raw, md5(m) AS masked, 'int u() {{ return 1; }}' AS other FROM (SELECT id, '@Test public void t() {{ char c = ''}}''; /* ' || replace(test_code, '*/', '') || ' */ if (a) {{ x("{{"); }} // {{' || chr(10) || '}}' AS m FROM cases)"""),
     "context_score": sql(f"WITH {SCORED} SELECT is_flaky, context_score, count(*) AS n FROM s GROUP BY ALL"),
     "balance": sql(f"""WITH {SCORED}, g AS (SELECT *, row_number() OVER (ORDER BY context_score DESC, id) AS r FROM s WHERE NOT is_flaky)
 SELECT id, is_flaky, context_score, md5(id || '|42') AS shuffled FROM (SELECT id, is_flaky, context_score FROM s WHERE is_flaky UNION ALL SELECT id, is_flaky, context_score FROM g WHERE r <= (SELECT count(*) FROM s WHERE is_flaky))"""),
