@@ -7,9 +7,11 @@ pieces.  A text's score is the sum of its words' log probabilities plus the
 language's prior; the prediction has the highest posterior.
 
 Piece probabilities are learned by expectation maximisation: word counts of each
-language, over at most ``SAMPLE`` labelled rows (those with the lowest hash),
-are spread over tasks, each adds up the expected counts of pieces over all
-segmentations (forward and backward), and Spark sums them by language and piece.
+language, over about ``SAMPLE`` of its labelled rows (those with the lowest hash
+of key and text, equal rows once), are spread over tasks, each adds up the
+expected counts of pieces over all segmentations (forward and backward), and
+Spark sums them by language and piece.  The languages and their priors are
+counted over all labelled rows.
 
 Defined results: texts that are null or have no letter are ``und`` with score 0;
 rows without a language are not learned from; with nothing to learn from every
@@ -29,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lintel.llm.words import row_id
+
 SAMPLE, ROUNDS, SMOOTHING = 4_000, 2, 0.05
 #: Words whose log probabilities one worker keeps; a full store is emptied.
 WORDS_KEPT = 250_000
@@ -150,23 +154,25 @@ class Model:
 
 
 def learned(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
-    """A model of the languages in at most ``sample`` rows, those with the lowest hash of the key."""
+    """A model of all languages, from all rows of those with at most ``sample`` different rows and about ``sample`` of each other."""
     from lintel.storage import written
 
     named = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("lang")).filter("t is not null and lang is not null")
-    order = (F.xxhash64("k"), F.col("k"), F.xxhash64("t"), F.col("lang"))
-    # Twice the sample's share of the hashes goes to the sort, so its one task reads a bounded number of texts at any size.
-    share = 2 * sample / max(named.count(), 1)
-    if share < 1:
-        named = named.filter(F.xxhash64("k") < int(share * 2**64) - 2**63)
-    some = written(named.orderBy(*order).limit(sample).select("t", "lang"), "langid-sample")
+    named = named.select("lang", "t", row_id(F.col("k"), F.col("t")).alias("h"))
+    found = named.groupBy("lang", "h").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("different")).collect()
+    rates = sorted((r.lang, r.n) for r in found)
+    # Hashes up to a language's share are about ``sample``, whatever its size: nothing is sorted.
+    tops = [(r.lang, min(int(sample / r.different * 2**64) - 2**63, 2**63 - 1)) for r in found]
+    some = named.join(F.broadcast(docs.sparkSession.createDataFrame(tops, "lang string, top long")), "lang").filter("h <= top")
+    if any(r.n > r.different for r in found):
+        some = some.dropDuplicates(["lang", "h"])
+    some = written(some.select("t", "lang"), "langid-sample")
 
     @F.arrow_udf("array<string>")
     def split(texts: pa.Array) -> pa.Array:
         return pa.array([text_words(t.as_py()) for t in texts], pa.list_(pa.string()))
 
     counts = written(some.select("lang", F.explode(split("t")).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "langid-words")
-    rates = sorted((r[0], r[1]) for r in some.groupBy("lang").count().collect())
     languages = [r[0] for r in rates]
     size = len(pieces(path)[0])
     priors = np.log(np.array([r[1] for r in rates], float) + 1)

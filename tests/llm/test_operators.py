@@ -7,6 +7,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -314,6 +315,17 @@ def test_langid(spark, docs, empty):
     assert langid.predicted(empty, model).count() == 0
 
 
+def test_langid_rare_language_and_equal_keys(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = [(None, f"the engine reads {i} tables", "en") for i in range(3000)] + [(None, "größe schön", "de")] * 2 + [(None, "el niño juega", "es")]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learned(labelled, path, sample=10)
+    assert model.languages == ["de", "en", "es"]
+    assert np.allclose(model.priors, np.log([3, 3001, 2]))
+    asked = spark.createDataFrame([(1, "schön größe größe"), (2, "the tables"), (3, "niño juega niño")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.predicted(asked, model).collect()} == {1: "de", 2: "en", 3: "es"}
+
+
 def test_langid_forward_equals_all_segmentations():
     """The forward sum against a recursion over every way to cut a word."""
     import numpy as np
