@@ -5,7 +5,7 @@ rows that the one before it kept:
 
 1. quality: documents that score below 0.3 go;
 2. lines: lines that repeat an earlier one go, and documents left without any;
-3. near_duplicates: of each component the document with the smallest id stays;
+3. near_duplicates: of each component one row stays, that with the smallest id;
 4. decontamination: contaminated documents go;
 5. encoding: token ids of what is left, with digests of ids and decoded bytes.
 """
@@ -23,6 +23,7 @@ from lintel.llm.lines import dedup_lines
 from lintel.llm.q_bpe import RANKS, digests
 from lintel.llm.q_quality import LEAST_SCORE, held_out
 from lintel.llm.quality import learned, scored
+from lintel.llm.words import row_id
 from lintel.storage import table, written
 
 
@@ -43,9 +44,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose id is not the smallest of its component go; rows without an id stay."""
-    later = near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    """Of each component one row stays: the smallest id, rows without an id last, then the lowest hash of id and text."""
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    ids = rows.select("_row", "doc_id", row_id(F.col("doc_id"), F.col("text")).alias("h"))
+    found = near_duplicates(rows, "_row").select("_row", "component_id").join(ids, "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "_row"))
+    kept = found.groupBy("component_id").agg(first.alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

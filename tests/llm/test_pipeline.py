@@ -50,3 +50,13 @@ def test_stages(spark):
         assert r.ids == ids and r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_one_row_of_each_component(spark):
+    """Repeated rows, rows without an id, one id with two texts, and texts without words."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(5, a), (5, a), (3, a), (None, a), (None, b), (None, b), (7, c), (8, d), (8, c), (9, ""), (9, ""), (None, None)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string"), "test")
+    got = [tuple(r) for r in corpus_pipeline.near_copies(spark, docs, SF).collect()]
+    want = [(3, a), (None, b), (7, c), (8, d), (9, ""), (9, ""), (None, None)]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
