@@ -96,9 +96,9 @@ def _pack(bits: int, words: int):
             docs = np.repeat(np.array(keep, np.uint16), [sizes[i] for i in keep])
             part = (all_ & _U((1 << bits) - 1)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            all_, docs = all_[order] >> _U(16), docs[order]
+            all_, docs = all_[order] >> _U(bits), docs[order]
             edges = np.searchsorted(part[order], np.arange((1 << bits) + 1))
-            low, high = (all_ & _U(0xFFFFFFFF)).astype(np.uint32), (all_ >> _U(32)).astype(np.uint16)
+            low, high = (all_ & _U(0xFFFFFFFF)).astype(np.uint32), (all_ >> _U(32)).astype(np.uint32)
             rows = [(p, chunk, low[a:b].tobytes(), high[a:b].tobytes(), docs[a:b].tobytes(), None, None, None) for p, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
         key = np.array([0 if k is None else k for k in keys], np.int64).tobytes() + np.array([k is None for k in keys]).tobytes()
         return _rows([*rows, ((1 << bits) + chunk, chunk, None, None, None, key, np.array(sizes, np.int64).tobytes(), np.array(names, np.int64).tobytes())])
@@ -141,7 +141,7 @@ def _segment(bits: int):
         if to >= 1 << bits:
             none = pa.nulls(len(table), pa.binary())
             return pa.table([table["chunk"], none, none, none, table["keys"], table["sizes"], table["sets"]], names=names)
-        s = _joined(table["low"], np.uint32).astype(np.uint64) | _joined(table["high"], np.uint16).astype(np.uint64) << _U(32)
+        s = _joined(table["low"], np.uint32).astype(np.uint64) | _joined(table["high"], np.uint32).astype(np.uint64) << _U(32)
         docs = _joined(table["docs"], np.uint16)
         chunk = np.repeat(table["chunk"].to_numpy(), [len(x.as_buffer()) // 2 for x in table["docs"]])
         order = np.argsort(s, kind="stable")
@@ -152,7 +152,7 @@ def _segment(bits: int):
         many = counts > 1
         s, counts, order = s[many], counts[many], order[many]
         chunk, docs = chunk[order], docs[order]
-        s = s << _U(16) | _U(to & 0xFFFF)
+        s = s << _U(bits) | _U(to)
         order = np.argsort(chunk, kind="stable")
         s, counts, chunk, docs = s[order], counts[order].astype(np.uint32), chunk[order], docs[order]
         which, at = np.unique(chunk, return_index=True)

@@ -248,6 +248,24 @@ def test_jaccard_brute_force(docs, empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("bits", [5, 8, 16, 24])
+def test_jaccard_segments_keep_all_bits(monkeypatch, bits):
+    """Shingles of one segment that differ in any one bit stay apart, and come back whole."""
+    x, y = 0xFEDCBA9876543210, 0x0123456789ABCDEF
+    near = {x} | {x ^ 1 << i for i in range(bits, 64)}
+    sets = [np.array(sorted({s, y}), np.uint64) for s in sorted(near)]
+    monkeypatch.setattr(jaccard, "shingle_sets", lambda texts, words: sets)
+    monkeypatch.setattr(jaccard, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": lambda self: 0})())}))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))), pa.array(["text"] * len(sets))], ["key", "text"])
+    packed = pa.Table.from_batches(list(jaccard._pack(bits, 5)([batch])))
+    got = []
+    for to in sorted(set(packed["to"].to_pylist())):
+        if to < 1 << bits:
+            back = jaccard._segment(bits)(packed.filter(pa.array([t == to for t in packed["to"].to_pylist()])))
+            got += [int(s) for part in back["shingles"] for s in np.frombuffer(part.as_py(), np.uint64)]
+    assert got == [y] * len(sets)
+
+
 def test_decontamination_small(spark, docs, empty):
     bench = spark.createDataFrame([(1, " ".join(_BASE[:15])), (2, "TWO, words!"), (3, None), (4, "?"), (None, "word")], "item_id long, text string")
     got = {r.doc_id: r for r in decontaminate(docs.withColumn("hits", F.lit("clash")), bench).collect()}
