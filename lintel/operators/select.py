@@ -24,7 +24,7 @@ def balance(df: DataFrame, positive: str, score: str, key: str = "id") -> DataFr
     """All positives and as many of the best negatives; ties go to the lower id.
 
     The cut is a score: negatives above it stay, and of those at it the lowest
-    ids fill up.  Scores are few values, so only the ones at the cut are sorted.
+    ids fill up.  Scores are few values, so only the ones at the cut are numbered.
     """
     counts = df.groupBy(positive, score).agg(F.count("*").alias("_n"))
     wanted = df.agg(F.count_if(F.col(positive)).alias("_want"))
@@ -33,7 +33,7 @@ def balance(df: DataFrame, positive: str, score: str, key: str = "id") -> DataFr
     cut = cut.select(score, (F.col("_want") - F.col("_above")).alias("_room"), "_n")
     negatives = df.filter(~F.col(positive)).join(F.broadcast(cut), score)
     whole = negatives.filter("_n <= _room")
-    some = negatives.filter("_n > _room").withColumn("_r", F.row_number().over(Window.partitionBy(score).orderBy(key))).filter("_r <= _room").drop("_r")
+    some = numbered(negatives.filter("_n > _room"), [score], [key], "_r").filter("_r <= _room").drop("_r")
     return df.filter(positive).unionByName(whole.select(*df.columns)).unionByName(some.select(*df.columns))
 
 
@@ -48,7 +48,7 @@ def representative(df: DataFrame, features: list[str], by: str, key: str = "id")
     out = df.join(F.broadcast(medians))
     distance = sum((F.coalesce(F.try_divide(F.abs(F.col(f) - F.col(f"_m_{f}")), F.col(f"_m_{f}")), F.lit(0.0)) for f in features), F.lit(0.0))
     out = out.withColumn("distance_from_median", F.round(distance, 9)).drop(*(f"_m_{f}" for f in features))
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy("distance_from_median", key)))
+    return numbered(out, [by], ["distance_from_median", key], "rank")
 
 
 def without(df: DataFrame, other: DataFrame, key: str = "id") -> DataFrame:
@@ -65,6 +65,27 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_r = 1").drop("_r")
 
 
+def numbered(df: DataFrame, by: list[str], order: list[str], out: str, total: str | None = None) -> DataFrame:
+    """Rows with their number (from 1) within ``by`` in the order of ``order``, and the number of rows there as ``total``.
+
+    Rows are numbered within ranges and a range's start is added, so no task sees
+    a whole group.
+    """
+    from lintel.storage import written
+
+    ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    kept = written(ranged.withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    starts = kept.groupBy("_range", *by).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select(F.col("_range").alias("_range2"), *(F.col(c).alias(f"_by_{c}") for c in by), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(group).alias("_total"))
+    same = F.col("_range") == F.col("_range2")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    named = kept.join(starts, same).withColumn(out, F.col("_start") + F.col("_at") - F.col("_first") + 1)
+    return named.select(*df.columns, out, *([F.col("_total").alias(total)] if total else []))
+
+
 def renumbered(parts: list[DataFrame], key: str, out: str = "id") -> DataFrame:
     """Parts one after the other with ids 1..N in the order of part and key.
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lintel.functions import java as J
@@ -126,8 +125,8 @@ def _recode(df):
     """Codes from a map with a default, blank values named, two features lifted to percent if they are shares."""
     codes = F.create_map(*(F.lit(x) for pair in {"Time Dependent": "td", "Order Dependent": "od", "Non-Idempotent": "nio", "Implementation Dependent": "id"}.items() for x in pair))
     share = F.when(F.col("id") % 2 == 0, 0.25).otherwise(0.75)
-    pct = F.when(F.max(share).over(Window.partitionBy()) <= 1, share * 100).otherwise(share)
-    return df.select("id", F.coalesce(F.try_element_at(codes, F.col("issue_category")), F.lit("none")).alias("code"), F.when(F.trim("failure_log") == "", "Unknown").otherwise(F.substring("failure_log", 1, 6)).alias("log"), pct.alias("percent"), F.greatest(F.col("id") % 7, F.col("id") % 5).alias("larger"))
+    pct = F.when(F.col("_top") <= 1, share * 100).otherwise(share)
+    return df.join(F.broadcast(df.agg(F.max(share).alias("_top")))).select("id", F.coalesce(F.try_element_at(codes, F.col("issue_category")), F.lit("none")).alias("code"), F.when(F.trim("failure_log") == "", "Unknown").otherwise(F.substring("failure_log", 1, 6)).alias("log"), pct.alias("percent"), F.greatest(F.col("id") % 7, F.col("id") % 5).alias("larger"))
 
 
 def _merge(spark, sf_dir):
@@ -157,9 +156,9 @@ def _upsert(df):
 
 def _composite_keys(df):
     """Index within a repository and the key with the index left off where there is one case only."""
-    w = Window.partitionBy("repo_url", "lang")
-    r, n = F.row_number().over(w.orderBy("id")), F.count("*").over(w)
-    return df.select("id", F.when(n == 1, F.concat_ws("-", "repo_url", "lang")).otherwise(F.concat_ws("-", "repo_url", "lang", r.cast("string"))).alias("key"), r.cast("long").alias("position"), n.alias("total"))
+    rows = L.numbered(df.select("id", "repo_url", "lang"), ["repo_url", "lang"], ["id"], "position", "total")
+    key = F.when(F.col("total") == 1, F.concat_ws("-", "repo_url", "lang")).otherwise(F.concat_ws("-", "repo_url", "lang", F.col("position").cast("string")))
+    return rows.select("id", key.alias("key"), "position", "total")
 
 
 def _align(df):
