@@ -72,16 +72,20 @@ def _one_more(a: Column, b: Column) -> Column:
 def _variants(words: DataFrame) -> DataFrame:
     """(key, line): a key for every word left out and for every gap of each line."""
     each = words.select("line", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
-    # 40 bits of a hash: sums over 2^22 words stay within a long.
-    each = each.select("line", "n", "i", F.shiftrightunsigned(F.xxhash64("w", "i"), 24).alias("f"), F.shiftrightunsigned(F.xxhash64("w", F.col("n") - F.col("i"), F.lit("end")), 24).alias("b"))
+    # 40 bits of a hash: sums over 2^22 words stay within a long.  Two independent sums, as lines of one key are verified against its earliest only.
+    part = lambda *of: F.shiftrightunsigned(F.xxhash64(*of), 24)
+    from_end = F.col("n") - F.col("i")
+    each = each.select("line", "n", "i", part("w", "i").alias("f"), part("w", from_end, F.lit("end")).alias("b"), part(F.lit("second"), "w", "i").alias("f2"), part(F.lit("second"), "w", from_end, F.lit("end")).alias("b2"))
     before = Window.partitionBy("line").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("line").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    each = each.withColumn("pre", F.coalesce(F.sum("f").over(before), F.lit(0))).withColumn("done", F.sum("b").over(after))
-    each = each.join(each.filter(F.col("i") == F.col("n") - 1).select("line", F.col("done").alias("all")), "line")
-    suf = F.col("all") - F.col("done")
-    out = F.xxhash64("i", F.col("n") - 1, "pre", suf)
-    gap = F.xxhash64("i", "n", "pre", suf + F.col("b"))
-    last = F.xxhash64("n", "n", F.col("pre") + F.col("f"), F.lit(0).cast("long"))
+    run = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    each = each.select("*", run("f", before).alias("pre"), run("f2", before).alias("pre2"), run("b", after).alias("done"), run("b2", after).alias("done2"))
+    ends = each.filter(F.col("i") == F.col("n") - 1).select("line", F.col("done").alias("all"), F.col("done2").alias("all2"))
+    each = each.join(ends, "line")
+    suf, suf2, none = F.col("all") - F.col("done"), F.col("all2") - F.col("done2"), F.lit(0).cast("long")
+    out = F.xxhash64("i", F.col("n") - 1, "pre", suf, "pre2", suf2)
+    gap = F.xxhash64("i", "n", "pre", suf + F.col("b"), "pre2", suf2 + F.col("b2"))
+    last = F.xxhash64("n", "n", F.col("pre") + F.col("f"), none, F.col("pre2") + F.col("f2"), none)
     keys = F.when(F.col("i") == F.col("n") - 1, F.array(out, gap, last)).otherwise(F.array(out, gap))
     return each.select(F.explode(keys).alias("key"), "line")
 

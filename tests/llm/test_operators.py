@@ -162,6 +162,16 @@ def test_lines_sql(spark, unique):
     assert spark_rows(got) == sql_rows(duck(SF, documents=frame), registry.oracle_sql()["op4_line_dedup"])
 
 
+def test_lines_survive_a_collision(spark):
+    """Two first words of one 40-bit hash: the earliest line of their key is no partner and must not hide the true one."""
+    hashes = [spark.range(1).select(F.shiftrightunsigned(F.xxhash64(F.lit(w), F.lit(0)), 24)).first()[0] for w in ("v202589", "v310849")]
+    assert hashes[0] == hashes[1]
+    rest = "r2 r3 r4 r5 r6 r7 r8"
+    rows = [(1, f"v202589 x {rest}"), (2, f"v310849 y {rest}"), (3, f"v310849 z {rest}")]
+    got = {r.doc_id: r.n_near for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 1}
+
+
 def test_quality(spark):
     sample = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
