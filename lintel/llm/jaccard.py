@@ -11,10 +11,11 @@ set from the start.
    repeated shingles within the necessary prefix are kept.
 3. Sets of equal prefix and size are one group.  Within a group, and for each
    prefix shingle among the groups that have it, members are first verified
-   against a few pivots; what that links needs no more comparing.  Whatever is
-   then still unlinked under a shingle is joined group by group, filtered by
-   size and position, expanded to its members and verified.  No pair is left
-   out unless its two sets are already in one component.
+   against a few pivots; what that links needs no more comparing.  Of what is
+   then still unlinked under a shingle, places out of every partner's reach by
+   size or position go; the rest is joined group by group on shingle and band of
+   sizes, filtered by size and position, expanded to its members and verified.
+   No pair is left out unless its two sets are already in one component.
 4. Components of the verified links.
 
 Sets and shingles are named by 64-bit hashes.
@@ -22,7 +23,8 @@ Sets and shingles are named by 64-bit hashes.
 Defined results: a text of fewer words than a shingle is one shingle; without
 words, or null, a text has no shingles and links with nothing; repeated rows are
 copies of each other; rows with a null id take part, and a component's id is its
-smallest non-null one; an empty table gives an empty table.
+smallest non-null one; an empty table gives an empty table; other columns of the
+input are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lintel.llm.components import components
@@ -42,9 +44,11 @@ from lintel.storage import written
 WORDS, PERCENT = 5, 75
 #: Documents in one packed run; their numbers take two bytes.
 RUN_DOCS, RUN_SHINGLES = 60_000, 1_000_000
-#: Rounds of pivots at most, pairs for each set that need no further round, and
-#: the share of the pairs that a round must leave at most for another to follow.
+#: Rounds of pivots after the first at most, pairs for each set that need no further
+#: round, and the share of the pairs that a round must leave at most for another to follow.
 PIVOT_ROUNDS, PAIRS_FOR_EACH, WORTHWHILE = 8, 1, 0.5
+#: Bands of sizes between a set and the largest that it can link with.
+BANDS = 3
 #: Pivots that a set meets in a round.
 FIRST_PIVOTS, PIVOTS = 2, 8
 
@@ -218,49 +222,79 @@ def _relabelled(labels: DataFrame, links: DataFrame, times: int = 2) -> DataFram
     return labels
 
 
+def _bound(rest: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of n and m shingles can link if they have at most ``rest`` in common."""
+    return rest * (100 + percent) >= (n + m) * percent
+
+
+def _spread(rows: DataFrame, *more: str) -> DataFrame:
+    """Keys (s and ``more``) whose rows have several labels: their fewest shingles and longest rest, by side where rows have one."""
+    if "band" not in more:
+        of = [F.min("n").alias("n_"), F.max("rest").alias("rest_")]
+    else:
+        of = [f(F.when(F.col("side") == i, F.col(c))).alias(f"{c}{i}") for i in (0, 1) for f, c in ((F.min, "n"), (F.max, "rest"))]
+    return rows.groupBy("s", *more).agg(F.min("lo").alias("lo_"), F.max("hi").alias("hi_"), *of).filter("lo_ != hi_").drop("lo_", "hi_")
+
+
+def _open(places: DataFrame, labels: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Places that can still have a partner of another label, by shingle, band of sizes and side (0: the smaller set, 1: the larger).
+
+    A partner's size and position are bounded by the fewest shingles and the
+    longest rest among the other side's places, so what no partner can reach goes.
+    """
+    of_group = members.join(labels, "set").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
+    rows = places.join(of_group, "group").select("s", "group", "n", (F.col("n") - F.col("at")).alias("rest"), "lo", "hi", "m")
+    least = F.ceil(F.col("n") * percent / 100)
+    for _ in range(2):
+        met = rows.join(_spread(rows), "s").filter(_bound(F.least("rest", "rest_"), F.col("n"), F.greatest(least, "n_"), percent))
+        rows = met.drop("n_", "rest_")
+    rows = written(rows, "jaccard-alive")
+    step = math.log(100 / percent) / BANDS or math.log(2)
+    band = F.floor(F.log("n") / step).cast("int")
+    # A larger partner is at most BANDS bands up; one more for rounding.
+    sides = rows.withColumn("side", F.lit(0)).withColumn("band", band).unionByName(rows.withColumn("side", F.lit(1)).withColumn("band", F.explode(F.array(*(band - i for i in range(BANDS + 2))))))
+    for _ in range(2):
+        other_n, other_rest = (F.when(F.col("side") == 0, F.col(f"{c}1")).otherwise(F.col(f"{c}0")) for c in ("n", "rest"))
+        partner = F.greatest(F.when(F.col("side") == 0, F.col("n")).otherwise(least), other_n)
+        met = sides.join(_spread(sides, "band"), ["s", "band"]).filter(other_n.isNotNull()).filter(_bound(F.least("rest", other_rest), F.col("n"), partner, percent))
+        sides = met.drop("n0", "n1", "rest0", "rest1")
+    return written(sides.join(_spread(sides, "band").select("s", "band"), ["s", "band"], "left_semi"), "jaccard-open")
+
+
 def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Verified links (a, b) that connect all linked sets. sets: set, n, shingles, prefix, at, group."""
     members = sets.select("set", "group")
     places = sets.select("group", "n", "at", "prefix").dropDuplicates(["group"])
-    places = places.select("group", "n", "at", F.posexplode("prefix").alias("i", "s")).select("s", "group", "n", (F.col("at") + F.col("i")).alias("at"))
+    places = places.select("group", "n", "at", F.posexplode("prefix").alias("i", "s")).select("s", "group", "n", (F.col("at") + F.col("i")).alias("at"), F.col("at").alias("single"))
     places = written(places, "jaccard-places")
     leaders = members.groupBy("group").agg(F.min("set").alias("b"))
     first = members.join(leaders, "group").filter("set != b").select(F.col("set").alias("a"), "b")
     links = written(_verified(first, sets, percent), "jaccard-links")
     labels = _relabelled(sets.select("set", F.col("set").alias("label")), links, 1)
-    sizes = members.groupBy("group").agg(F.count("*").alias("m"))
     enough, before = PAIRS_FOR_EACH * members.count(), math.inf
+    # The pivot of a shingle is first the group with the fewest unrepeated shingles: that from which the others differ is often among the sets.
+    drawn = places.groupBy("s").agg(F.min(F.struct("single", F.xxhash64("group").alias("h"), "group")).alias("p"), F.count("*").alias("c")).filter("c > 1").select("s", "p")
+    asked = places.select("s", "group").join(drawn, "s").select("group", "p")
     for turn in range(PIVOT_ROUNDS + 1):
-        # Of each group, the labels' range; of each shingle, whether its groups' sets have more than one label.
-        range_ = members.join(labels, "set").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        range_ = written(range_.join(sizes, "group"), "jaccard-ranges")
-        of_label = places.join(range_, "group").groupBy("s", "lo").agg(F.sum("m").alias("m"), F.max("hi").alias("hi"), F.min(F.struct(F.xxhash64("group", "s", F.lit(turn)).alias("h"), "group")).alias("p"))
-        spread = of_label.groupBy("s").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("p").alias("p"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
-        spread = spread.filter("lo != hi").select("s", F.col("p.group").alias("p"), ((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs"))
-        spread = written(spread, "jaccard-open")
-        left = spread.agg(F.sum("pairs")).first()[0] or 0
-        if turn == PIVOT_ROUNDS or left <= enough or left > WORTHWHILE * before:
-            break
-        before = left
-        chosen = spread.join(leaders.select(F.col("group").alias("p"), F.col("b").alias("pivot")), "p").select("s", "pivot")
-        few = places.select("s", "group").join(chosen, "s").select("group", "pivot").distinct()
-        # A pivot for each open shingle; of those, a set meets the first few in an order of the round's.
-        drawn = F.array_sort(F.collect_set(F.struct(F.xxhash64("pivot", "group", F.lit(turn)).alias("h"), "pivot")))
-        few = few.groupBy("group").agg(F.slice(drawn, 1, FIRST_PIVOTS if turn == 0 else PIVOTS).alias("pivots"))
-        pairs = members.join(few, "group").select("set", F.explode("pivots.pivot").alias("b"))
+        # Of its shingles' pivots, a set meets the first few.
+        few = asked.groupBy("group").agg(F.array_sort(F.collect_set("p")).alias("p")).select("group", F.explode(F.slice("p.group", 1, FIRST_PIVOTS if turn == 0 else PIVOTS)).alias("to"))
+        few = few.join(leaders.withColumnRenamed("group", "to"), "to").select("group", "b")
         label = labels.select(F.col("set").alias("b"), F.col("label").alias("other"))
-        pairs = pairs.filter("set != b").distinct().join(labels, "set").join(label, "b").filter("label != other").select(F.col("set").alias("a"), "b")
+        pairs = members.join(few, "group").filter("set != b").join(labels, "set").join(label, "b").filter("label != other").select(F.col("set").alias("a"), "b").distinct()
         more = written(_verified(pairs, sets, percent), "jaccard-links")
         links = links.union(more)
         labels = _relabelled(labels, more)
-    open_ = places.join(spread.select("s"), "s", "left_semi").join(range_, "group")
-    x, y = (open_.select("s", *(F.col(c).alias(f"{c}{i}") for c in ("group", "n", "at", "lo", "hi"))) for i in (0, 1))
-    fits = F.least("n0", "n1") * 100 >= F.greatest("n0", "n1") * percent
-    # This shingle and what follows it in the shorter rest.
-    rest = F.least(F.col("n0") - F.col("at0"), F.col("n1") - F.col("at1"))
-    bound = rest * (100 + percent) >= percent * (F.col("n0") + F.col("n1"))
-    apart = "not (lo0 = hi0 and lo1 = hi1 and lo0 = lo1)"
-    met = x.join(y, "s").filter("group0 <= group1").filter(apart).filter(fits & bound).select("group0", "group1").distinct()
+        open_ = _open(places, labels, members, percent)
+        counts = open_.groupBy("s", "band").agg(F.sum(F.when(F.col("side") == 0, F.col("m"))).alias("x"), F.sum(F.when(F.col("side") == 1, F.col("m"))).alias("y"))
+        left = counts.agg(F.sum(F.col("x") * F.col("y"))).first()[0] or 0
+        if left <= enough or left > WORTHWHILE * before:
+            break
+        before = left
+        drawn = open_.groupBy("s", "band").agg(F.min(F.struct(F.xxhash64("group", "s", F.lit(turn)).alias("h"), "group")).alias("p"))
+        asked = open_.select("s", "band", "group").join(drawn, ["s", "band"]).select("group", "p")
+    x, y = (open_.filter(F.col("side") == i).select("s", "band", *(F.col(c).alias(f"{c}{i}") for c in ("group", "n", "rest", "lo", "hi"))) for i in (0, 1))
+    fits = (F.col("n0") * 100 >= F.col("n1") * percent) & _bound(F.least("rest0", "rest1"), F.col("n0"), F.col("n1"), percent)
+    met = x.join(y, ["s", "band"]).filter("n0 < n1 or n0 = n1 and group0 <= group1").filter("not (lo0 = hi0 and lo1 = hi1 and lo0 = lo1)").filter(fits).select("group0", "group1").distinct()
     m0, m1 = (members.join(labels, "set").select(F.col("group").alias(f"group{i}"), F.col("set").alias("ab"[i]), F.col("label").alias(f"label{i}")) for i in (0, 1))
     pairs = met.join(m0, "group0").join(m1, "group1").filter("label0 != label1 and a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return links.union(written(_verified(pairs, sets, percent), "jaccard-links"))
