@@ -15,23 +15,32 @@ hash and line number, is its duplicate or near duplicate.
 4. Equal variants meet at their earliest line (no pairs among the others).
 5. Word by word, each meeting is verified to be one edit; the earlier line wins.
 
+The edit bound is one word.  Shorter lines than ``near_words`` (a parameter) go only if
+they are repeated exactly, since a word is too large a part of them.
+
 Defined results: blank lines are never dropped; null texts have no lines and stay
 null; repeated rows of one id and text count as one document, each row getting
-the same result; an empty table gives an empty table; all columns are kept and a
-column with an output's name is replaced.
+the same result; rows without an id come first in the order; an empty table gives
+an empty table; all columns are kept, whatever their names, and a column with an
+output's name is replaced.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lintel.llm.words import lowered, row_id
+from lintel.llm.words import join_counted, lowered, row_name, set_aside
 from lintel.storage import written
 
 NEAR_WORDS = 8
 OUTPUTS = ("n_lines", "n_exact", "n_near", "kept")
 BLANKS, IN_LINE = r"[\x20\x09-\x0D]+", r"[\x20\x09\x0B-\x0D]+"
+#: Texts without any of these have single blanks between words already.
+UNEVEN = ("  ", "\t", "\v", "\f", "\r")
 
 
 def line_words(line: Column) -> Column:
@@ -41,19 +50,17 @@ def line_words(line: Column) -> Column:
 
 def _all_words(text: Column) -> Column:
     """The words of all lines of a text; blanks may stand at a line's ends."""
-    return F.regexp_replace(lowered(text), IN_LINE, " ")
-
-
-def _half(words: Column, count: Column, tag: str, first: bool) -> Column:
-    part = F.slice(words, F.lit(1) if first else F.size(words) - count + 1, count)
-    return F.xxhash64(F.lit(tag), count, F.array_join(part, " "))
+    text = lowered(text)
+    return F.when(reduce(or_, (F.contains(text, F.lit(x)) for x in UNEVEN)), F.regexp_replace(text, IN_LINE, " ")).otherwise(text)
 
 
-def _halves(words: Column) -> Column:
-    """Hashes of a line's halves, as a line of n words and as one of n - 1 words with one more."""
-    n = F.size(words)
-    of = lambda size: [F.xxhash64(size, _half(words, F.floor(size / 2).cast("int"), t, t == "first")) for t in ("first", "last")]
-    return F.array(*of(n), *of(n - 1))
+def _halves(line: Column, n: Column) -> Column:
+    """Hashes of the halves of a line of n words, as such a line and as one of n - 1 words with one more."""
+    out = []
+    for size in (n, n - 1):
+        half = F.floor(size / 2).cast("int")
+        out += [F.xxhash64(size, F.lit(tag), F.call_function("substring_index", line, F.lit(" "), count)) for tag, count in (("first", half), ("last", -half))]
+    return F.array(*out)
 
 
 def one_edit(a: Column, b: Column) -> Column:
@@ -72,8 +79,8 @@ def _one_more(a: Column, b: Column) -> Column:
 def _variants(words: DataFrame) -> DataFrame:
     """(key, line): a key for every word left out and for every gap of each line."""
     each = words.select("line", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
-    # 40 bits of a hash: sums over 2^22 words stay within a long.  Two independent sums, as lines of one key are verified against its earliest only.
-    part = lambda *of: F.shiftrightunsigned(F.xxhash64(*of), 24)
+    # 32 bits of a hash: sums over 2^31 words stay within a long.  Two independent sums, as lines of one key are verified against its earliest only.
+    part = lambda *of: F.shiftrightunsigned(F.xxhash64(*of), 32)
     from_end = F.col("n") - F.col("i")
     each = each.select("line", "n", "i", part("w", "i").alias("f"), part("w", from_end, F.lit("end")).alias("b"), part(F.lit("second"), "w", "i").alias("f2"), part(F.lit("second"), "w", from_end, F.lit("end")).alias("b2"))
     before = Window.partitionBy("line").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,8 +103,9 @@ def near_lines(lines: DataFrame, texts: DataFrame) -> DataFrame:
     met = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
     some = written(halves.join(met, "half", "left_semi").groupBy("line").agg(F.min("first").alias("first")), "lines-met")
     wanted = some.select("line", F.col("first.rid").alias("rid"), F.col("first.i").alias("i")).groupBy("rid").agg(F.collect_list(F.struct("i", "line")).alias("w"))
-    found = texts.dropDuplicates(["rid"]).join(wanted, "rid").select(F.split("text", "\n", -1).alias("l"), "w").select("l", F.explode("w").alias("w"))
-    words = written(found.select(F.col("w.line").alias("line"), F.split(line_words(F.get("l", F.col("w.i"))), " ").alias("words")), "lines-words")
+    found = texts.join(wanted, "rid").select(F.split("text", "\n", -1).alias("l"), "w").select("l", F.explode("w").alias("w"))
+    found = found.select(F.col("w.line").alias("line"), F.split(line_words(F.get("l", F.col("w.i"))), " ").alias("words"))
+    words = written(found.dropDuplicates(["line"]), "lines-words")
     keyed = written(_variants(words), "lines-variants")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = written(keyed.join(shared, "key", "left_semi").join(some, "line"), "lines-members")
@@ -109,29 +117,28 @@ def near_lines(lines: DataFrame, texts: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", near_words: int = NEAR_WORDS) -> DataFrame:
     """``docs`` with ``text`` cut to the kept lines, and n_lines (with words), n_exact and n_near (dropped), kept."""
-    columns = [c for c in docs.columns if c not in OUTPUTS]
-    rows = docs.select(*columns, row_id(F.col(key), F.col(text)).alias("_rid"))
-    texts = rows.select(F.col("_rid").alias("rid"), F.col(text).alias("text"))
-    each = rows.select(F.col(key).alias("key"), F.col("_rid").alias("rid"), F.posexplode(F.split(_all_words(F.col(text)), "\n", -1)).alias("i", "l"))
-    each = each.withColumn("l", F.trim("l")).filter("l != ''")
-    parts = F.split("l", " ")
-    each = each.select("key", "rid", "i", F.struct(F.xxhash64("l").alias("a"), F.xxhash64(F.lit("second"), "l").alias("b")).alias("line"), F.when(F.size(parts) >= near_words, _halves(parts)).alias("halves"))
-    each = written(each, "lines")
+    docs, back = set_aside(docs, key, text, OUTPUTS)
+    rows = docs.withColumn("rid", row_name(F.col("key"), F.col("text")))
+    each = rows.select("key", "rid", F.posexplode(F.split(_all_words(F.col("text")), "\n", -1)).alias("i", "l"))
+    each = each.withColumn("l", F.trim("l")).filter("l != ''").withColumn("w", F.size(F.split("l", " ")))
+    line = F.struct(F.xxhash64("l").alias("a"), F.xxhash64(F.lit("second"), "l").alias("b"))
+    each = written(each.select("key", "rid", "i", line.alias("line"), F.when(F.col("w") >= near_words, _halves(F.col("l"), F.col("w"))).alias("halves")), "lines")
     lines = each.groupBy("line").agg(F.min(F.struct("key", "rid", "i")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
     lines = written(lines, "lines-distinct")
-    near = near_lines(lines.select("line", "first", "halves"), texts).withColumn("near", F.lit(True))
-    faulty = lines.join(near, "line", "left").filter("near or n > 1").select("line", F.col("first.rid").alias("rid0"), F.col("first.i").alias("i0"), F.coalesce("near", F.lit(False)).alias("near"))
-    gone = each.select("line", "rid", "i").join(faulty, "line").filter("near or rid != rid0 or i != i0").select("rid", "i", (F.col("near") & (F.col("rid") == F.col("rid0")) & (F.col("i") == F.col("i0"))).alias("near"))
-    gone = gone.groupBy("rid").agg(F.collect_set("i").alias("_gone"), F.collect_set(F.when(F.col("near"), F.col("i"))).alias("_near"))
-    out = rows.join(gone.withColumnRenamed("rid", "_rid"), "_rid", "left")
+    near = near_lines(lines.select("line", "first", "halves"), rows.select("rid", "text")).withColumn("near", F.lit(True))
+    faulty = lines.join(near, "line", "left").filter("near or n > 1").select("line", "n", F.col("first.rid").alias("rid0"), F.col("first.i").alias("i0"), F.coalesce("near", F.lit(False)).alias("near"))
+    gone = join_counted(each.select("line", "rid", "i"), written(faulty, "lines-faulty"), "line", "n", each.count()).filter("near or rid != rid0 or i != i0")
+    gone = gone.select("rid", "i", (F.col("near") & (F.col("rid") == F.col("rid0")) & (F.col("i") == F.col("i0"))).alias("near"))
+    gone = gone.groupBy("rid").agg(F.collect_set("i").alias("gone"), F.collect_set(F.when(F.col("near"), F.col("i"))).alias("near"))
+    out = rows.join(gone, "rid", "left")
     none = F.array().cast("array<int>")
-    out = out.withColumn("_gone", F.coalesce("_gone", none)).withColumn("_near", F.coalesce("_near", none)).withColumn("_l", F.split(text, "\n", -1))
-    kept = F.filter("_l", lambda l, i: ~F.array_contains("_gone", i))
-    return (
-        out.withColumn("n_lines", F.coalesce(F.size(F.filter("_l", lambda l: l.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0)).cast("long"))
-        .withColumn("n_exact", (F.size("_gone") - F.size("_near")).cast("long"))
-        .withColumn("n_near", F.size("_near").cast("long"))
-        .withColumn(text, F.when(F.size("_gone") == 0, F.col(text)).otherwise(F.array_join(kept, "\n")))
+    out = out.withColumn("gone", F.coalesce("gone", none)).withColumn("near", F.coalesce("near", none)).withColumn("l", F.split("text", "\n", -1))
+    kept = F.filter("l", lambda l, i: ~F.array_contains("gone", i))
+    out = (
+        out.withColumn("n_lines", F.coalesce(F.size(F.filter("l", lambda l: l.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0)).cast("long"))
+        .withColumn("n_exact", (F.size("gone") - F.size("near")).cast("long"))
+        .withColumn("n_near", F.size("near").cast("long"))
+        .withColumn("text", F.when(F.size("gone") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")))
         .withColumn("kept", F.col("n_lines") - F.col("n_exact") - F.col("n_near"))
-        .drop("_rid", "_gone", "_near", "_l")
     )
+    return back(out, *OUTPUTS)
