@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("q_metrics", "q_profile", "q_flow")
+MODULES = ("q_metrics", "q_profile", "q_flow", "q_code", "q_recovery")
 
 
 def queries() -> dict:

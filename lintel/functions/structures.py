@@ -52,6 +52,11 @@ def has_content(value: Column) -> Column:
     return t.rlike(r"\S") & ~t.rlike(r"\A\s*(\[\s*\]|\{\s*\})\s*\z")
 
 
+def is_empty_map(m: Column) -> Column:
+    """Whether a typed map is null or has no entries."""
+    return F.coalesce(F.size(m), F.lit(0)) <= 0
+
+
 def is_empty_text(value: Column) -> Column:
     return ~F.coalesce(value, F.lit("")).rlike(r"\S")
 

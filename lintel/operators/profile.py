@@ -91,6 +91,17 @@ def reduction(df: DataFrame, before: str, after: str, digits: int = 4) -> DataFr
     )
 
 
+def scaled(df: DataFrame, parts: tuple[str, ...], by: float = 100.0) -> DataFrame:
+    """``df`` with every column times ``by`` whose name holds one of ``parts``."""
+    return df.select(*((F.col(f"`{c}`") * by).alias(c) if any(p in c for p in parts) else F.col(f"`{c}`") for c in df.columns))
+
+
+def split_column(df: DataFrame, column: str, first: str, rest: str) -> DataFrame:
+    """The first word of a column and what follows it, as two columns in its place."""
+    parts = F.split(column, " ", 2)
+    return df.select(*(c for c in df.columns if c != column), parts[0].alias(first), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias(rest))
+
+
 def schema_difference(df: DataFrame, expected: list[str]) -> DataFrame:
     """column, state (missing or extra)."""
     rows = [(c, "missing") for c in expected if c not in df.columns] + [(c, "extra") for c in df.columns if c not in expected]

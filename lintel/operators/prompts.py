@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +58,18 @@ def with_configs(df: DataFrame, configs: list[tuple], names: list[str]) -> DataF
     return df.withColumn("_c", F.explode(rows)).select(*df.columns, "_c.*")
 
 
+def counted_tokens(df: DataFrame, prompt: str, count: Callable[[str], int] | None = None) -> DataFrame:
+    """``tokens`` of every prompt: by the caller's tokenizer, which runs in Arrow batches, or without one by the length."""
+    if count is None:
+        return df.withColumn("tokens", approximate_tokens(F.col(prompt)))
+
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else float(count(t)) for t in texts.to_pylist()], pa.float64())
+
+    return df.withColumn("tokens", run(F.col(prompt)))
+
+
 def stats(df: DataFrame, prompt: str, by: list[str]) -> DataFrame:
     size, tokens = F.length(prompt), approximate_tokens(F.col(prompt))
     r = lambda c, name: F.round(c, 4).alias(name)

@@ -65,6 +65,16 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_r = 1").drop("_r")
 
 
+def element(df: DataFrame, value, key: str = "id") -> DataFrame:
+    """The rows of one key; there is no position to ask for in a table without an order."""
+    return df.filter(F.col(key) == value)
+
+
+def in_numeric_order(df: DataFrame, key: str = "id") -> DataFrame:
+    """Rows in the order of a key that is a number written as text."""
+    return df.orderBy(F.col(key).cast("long"))
+
+
 def numbered(df: DataFrame, by: list[str], order: list[str], out: str, total: str | None = None) -> DataFrame:
     """Rows with their number (from 1) within ``by`` in the order of ``order``, and the number of rows there as ``total``.
 

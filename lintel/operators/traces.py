@@ -79,16 +79,21 @@ def removed_lines(patch: Column, context: bool = False) -> Column:
     return F.aggregate(lines, state, step, lambda s: F.array_join(s["out"], "\n"))
 
 
-def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", depth: int = 100) -> DataFrame:
-    """(child, ancestor, level) along child -> parent, until the top or a cycle."""
-    base = edges.select(F.col(child).alias("child"), F.col(parent).alias("ancestor")).filter("child != ancestor").distinct()
-    found = step = written(base.withColumn("level", F.lit(1)), "ancestors")
-    for level in range(2, depth + 1):
-        further = step.join(base.select(F.col("child").alias("ancestor"), F.col("ancestor").alias("next")), "ancestor").select("child", F.col("next").alias("ancestor")).filter("child != ancestor").distinct()
-        step = written(further.join(found.select("child", "ancestor"), ["child", "ancestor"], "left_anti").withColumn("level", F.lit(level)), "ancestors")
-        if not step.head(1):
-            break
-        found = found.unionByName(step)
+def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """(child, ancestor, level) along child -> parent up to the top or around a cycle; level: the fewest steps.
+
+    Steps are doubled: what is up to n steps away, and what is n steps beyond
+    that; it ends when that adds nothing, whatever the depth.
+    """
+    jump = written(edges.select(F.col(child).alias("child"), F.col(parent).alias("ancestor")).filter("child != ancestor").distinct(), "ancestors-jump")
+    found, n, steps = written(jump.withColumn("level", F.lit(1)), "ancestors"), 0, 1
+    while (now := found.count()) > n:
+        n = now
+        ahead = jump.withColumnRenamed("ancestor", "middle")
+        further = ahead.join(found.select(F.col("child").alias("middle"), "ancestor", (F.col("level") + steps).alias("level")), "middle").filter("child != ancestor").select("child", "ancestor", "level")
+        found = written(found.unionByName(further).groupBy("child", "ancestor").agg(F.min("level").alias("level")), "ancestors")
+        jump = written(ahead.join(jump.withColumnRenamed("child", "middle"), "middle").select("child", "ancestor").distinct(), "ancestors-jump")
+        steps *= 2
     return found
 
 

@@ -34,10 +34,9 @@ def _right(df):
     return df.filter(_correct() & F.col("context_enabled"))
 
 
-def _prompts(df, whole=False):
-    """Prompts whose helpers are the first two lines of the text, or all of a whole one."""
+def _prompts(df):
+    """Prompts whose helpers are the lines of the text."""
     lines = F.split("test_code", "\n")
-    lines = lines if whole else F.slice(lines, 1, 2)
     helpers = F.transform(lines, lambda l, i: F.struct(F.concat(F.lit("h"), i.cast("string")).alias("name"), l.alias("body")))
     classes = F.when(F.col("id") % 3 == 0, F.array(F.struct(F.col("repo_url").alias("name"), F.array(F.struct(F.col("lang").alias("name"), F.col("test_code").alias("body"))).alias("methods"))))
     rows = P.with_configs(df, CONTEXTS, ["strategy", "context"])
@@ -45,12 +44,12 @@ def _prompts(df, whole=False):
     return rows.select("id", "strategy", "context", P.render(TEMPLATES, STRATEGIES, EXAMPLES, F.col("strategy"), F.col("context"), body).alias("prompt"))
 
 
-def _prompt_render(df, whole=False):
-    return _prompts(df, whole).select("id", "strategy", "context", F.length("prompt").cast("long").alias("chars"), F.md5("prompt").alias("md5"))
+def _prompt_render(df):
+    return _prompts(df).select("id", "strategy", "context", F.length("prompt").cast("long").alias("chars"), F.md5("prompt").alias("md5"))
 
 
-def _window_fit(df, whole=False):
-    rows = P.with_configs(_prompts(df, whole), WINDOWS, ["name", "size"])
+def _window_fit(df):
+    rows = P.with_configs(_prompts(df), WINDOWS, ["name", "size"])
     return P.window_fit(rows, S.approximate_tokens(F.col("prompt")), "size", ["name", "strategy", "context"])
 
 
@@ -129,6 +128,16 @@ def _labels(df):
     return df.select(F.explode("evidence").alias("label")).groupBy("label").agg(F.count("*").alias("n")).withColumn("artefact", T.evidence_label(F.col("label")))
 
 
+LABELS = [" Test code: x", "the @Test body", "an Assertion", "TestCase setUp", "Thread.sleep(5)", "failure log line", "Stack trace", "NullPointerException", "error message", "a HELPER", "Production code", "Class: Foo", "Method: bar", "a.b.c (1)", "a.b", "misc"]
+
+
+def _label_rules(spark, sf_dir):
+    """Every rule, and labels that two rules would take."""
+    mixed = [f"{a} {b}" for a in LABELS for b in LABELS[::3]]
+    label = F.element_at(F.array(*map(F.lit, LABELS + mixed)), (F.col("c_custkey") % (len(LABELS) + len(mixed)) + 1).cast("int"))
+    return table(spark, sf_dir, "customer").select("c_custkey", label.alias("label")).withColumn("artefact", T.evidence_label(F.col("label")))
+
+
 def _ancestors(spark, sf_dir):
     """customer k extends customer k / 2: every chain ends at 1."""
     edges = table(spark, sf_dir, "customer").filter("c_custkey > 1").select(F.col("c_custkey").alias("child"), F.floor(F.col("c_custkey") / 2).alias("parent"))
@@ -146,7 +155,7 @@ def _resolution(spark, sf_dir):
 PROMPT_SQL = """p AS (SELECT id, strategy, context, concat_ws(chr(10) || chr(10), 'You label tests.', 'Say whether the test is flaky.', 'Categories: four.',
   CASE strategy WHEN 'zero_shot' THEN 'Decide at once.' ELSE 'Follow the examples.' END, CASE WHEN strategy = 'few_shot_cot' THEN CASE WHEN context THEN 'Example with context.' ELSE 'Example of code.' END END,
   '## Input', CASE WHEN test_code <> '' THEN '### 1. Test Code' || chr(10) || chr(10) || trim(test_code, ws) END,
-  CASE WHEN context THEN '### 2. Helper Methods' || chr(10) || chr(10) || array_to_string(list_transform(string_split(test_code, chr(10))[1:2], lambda l, i: 'Method: h' || (i - 1) || chr(10) || chr(10) || trim(l, ws) || chr(10) || chr(10) || repeat('-', 40)), chr(10) || chr(10)) END,
+  CASE WHEN context THEN '### 2. Helper Methods' || chr(10) || chr(10) || array_to_string(list_transform(string_split(test_code, chr(10)), lambda l, i: 'Method: h' || (i - 1) || chr(10) || chr(10) || trim(l, ws) || chr(10) || chr(10) || repeat('-', 40)), chr(10) || chr(10)) END,
   CASE WHEN context AND failure_log <> '' THEN '### 3. Failure Log' || chr(10) || chr(10) || trim(failure_log, ws) END,
   CASE WHEN context AND id % 3 = 0 THEN '### 4. Production Code' || chr(10) || chr(10) || 'Class: ' || repo_url || chr(10) || chr(10) || 'Method: ' || lang || chr(10) || chr(10) || trim(test_code, ws) || chr(10) || chr(10) || repeat('-', 40) END,
   'Answer in JSON.') AS prompt FROM (SELECT *, ' ' || chr(9) || chr(10) || chr(13) AS ws FROM cases), (VALUES ('zero_shot', false), ('zero_shot', true), ('few_shot_cot', true)) AS c(strategy, context))"""
@@ -161,8 +170,8 @@ def _chunk_sql(size: str, budget: float, most: int | None) -> str:
 SELECT lang, chunk, count(*) AS n, min(id) AS first_id, max(id) AS last_id, sum(bytes)::BIGINT AS bytes FROM f GROUP BY lang, chunk"""
 
 
-LABEL = """CASE WHEN lower(label) LIKE 'test code%' OR lower(label) LIKE '%@test%' OR lower(label) LIKE '%assert%' THEN 'Test Code' WHEN lower(label) LIKE 'failure log%' OR lower(label) LIKE '%exception%' THEN 'Failure Log'
-  WHEN lower(label) LIKE '%helper%' THEN 'Helper Methods' WHEN regexp_matches(lower(label), '\\w+(\\.\\w+)+\\s*\\(') THEN 'Production Code' ELSE 'Other' END"""
+LABEL = """CASE WHEN trim(lower(label)) LIKE 'test code%' OR regexp_matches(lower(label), '@test|assert|testcase|thread[.]sleep') THEN 'Test Code' WHEN trim(lower(label)) LIKE 'failure log%' OR regexp_matches(lower(label), 'stack trace|exception|error message') THEN 'Failure Log'
+  WHEN lower(label) LIKE '%helper%' THEN 'Helper Methods' WHEN trim(lower(label)) LIKE 'production code%' OR regexp_matches(lower(label), 'class:|method:|\\w+(\\.\\w+)+\\s*\\(') THEN 'Production Code' ELSE 'Other' END"""
 TEXT = "CASE WHEN raw LIKE '```%' THEN trim(replace(replace(raw, '```json', ''), '```', ''), ' ' || chr(10)) ELSE raw END"
 OK = "(json_valid(t) AND coalesce(CASE WHEN json_valid(t) THEN json_type(t) END, '') = 'OBJECT')"
 RECOVERED = f"""r AS (SELECT *, {TEXT} AS t FROM responses), q AS (SELECT *, {OK} AS good, nullif(regexp_extract(raw, '"classification"\\s*:\\s*"([^"]*)"', 1), '') AS said, nullif(regexp_extract(raw, '"category"\\s*:\\s*"([^"]*)"', 1), '') AS cat FROM r),
@@ -185,14 +194,12 @@ QUERIES = {
     "evidence_utilisation": on("predictions", lambda df: E.utilisation(_right(df))),
     "evidence_utilisation_by_model": on("predictions", lambda df: E.utilisation(_right(df), "model")),
     "evidence_labels": on("predictions", _labels),
+    "evidence_label_rules": _label_rules,
     "evidence_unmatched": on("predictions", lambda df: E.unmatched(_right(df))),
     "reasoning_themes": on("predictions", lambda df: E.themes(df.filter(~_correct() & F.col("context_enabled")))),
     "prompt_render": on("cases", _prompt_render),
     "prompt_stats": on("cases", lambda df: P.stats(_prompts(df), "prompt", ["strategy", "context"])),
     "window_fit": on("cases", _window_fit),
-    "whole_prompt_render": on("cases", lambda df: _prompt_render(df, True)),
-    "whole_prompt_stats": on("cases", lambda df: P.stats(_prompts(df, True), "prompt", ["strategy", "context"])),
-    "whole_window_fit": on("cases", lambda df: _window_fit(df, True)),
     "token_chunks": on("cases", _chunks(20000, None, S.approximate_tokens)),
     "byte_chunks": on("cases", _chunks(100000, 30, S.line_bytes)),
     "request_lines": on("cases", _requests),
@@ -220,6 +227,7 @@ SQL = {
     "evidence_utilisation": sql("predictions", f"WITH {SETS} SELECT artefact, count(*) AS n, (SELECT count(*) FROM r) AS rows, round(count(*) * 100.0 / (SELECT count(*) FROM r), 4) AS percent FROM x WHERE artefact <> 'Other' GROUP BY 1"),
     "evidence_utilisation_by_model": sql("predictions", f"WITH {SETS}, t AS (SELECT model, count(*) AS rows FROM r GROUP BY 1), u AS (SELECT model, artefact, count(*) AS n FROM x WHERE artefact <> 'Other' GROUP BY ALL) SELECT model, artefact, n, rows, round(n * 100.0 / rows, 4) AS percent FROM u JOIN t USING (model)"),
     "evidence_labels": sql("predictions", f"SELECT label, count(*) AS n, {LABEL} AS artefact FROM (SELECT unnest(evidence) AS label FROM predictions) GROUP BY label"),
+    "evidence_label_rules": "WITH l AS (SELECT c_custkey, ([" + ", ".join(f"'{x}'" for x in LABELS + [f"{a} {b}" for a in LABELS for b in LABELS[::3]]) + f"])[c_custkey % {len(LABELS) + len(LABELS) * len(LABELS[::3])} + 1] AS label FROM customer) SELECT c_custkey, label, {LABEL} AS artefact FROM l",
     "evidence_unmatched": sql("predictions", f"WITH {RIGHT} SELECT DISTINCT label FROM x WHERE artefact = 'Other' ORDER BY label LIMIT 50"),
     "reasoning_themes": sql("predictions", "WITH w AS (SELECT lower(coalesce(reasoning, '')) AS t FROM predictions WHERE context_enabled AND actual_category <> predicted_category) " + " UNION ALL ".join(f"SELECT '{n}' AS theme, count(*) FILTER (regexp_matches(t, '{'|'.join(p)}')) AS n, round(count(*) FILTER (regexp_matches(t, '{'|'.join(p)}')) * 100.0 / count(*), 4) AS percent FROM w" for n, p in T.THEMES.items())),
     "prompt_render": sql("cases", f"WITH {PROMPT_SQL} SELECT id, strategy, context, length(prompt) AS chars, md5(prompt) AS md5 FROM p"),
@@ -242,7 +250,8 @@ SELECT *, CASE WHEN unresolved = 0 THEN 'complete' WHEN recovered > 0 THEN 'part
     "trace_modes": sql("rounds", f"WITH {MODES} SELECT test, md5(key) AS key, n, first, md5(trace) AS trace FROM m"),
     "top_failure_mode": sql("rounds", f"WITH {MODES} SELECT test, n, md5('Failed Rounds: ' || n || '/10' || chr(10) || trace) AS log FROM m QUALIFY row_number() OVER (PARTITION BY test ORDER BY n DESC, first, key) = 1"),
     "trace_keys": sql("cases", f"SELECT id, md5({KEY}) AS key FROM (SELECT id, {LINES.format(c='failure_log')} AS ls FROM cases)"),
-    "stack_frames": sql("cases", "SELECT id, 'com.acme.C' || id % 7 || 'Test' AS class, 'm' || id % 5 AS method FROM cases WHERE failure_log <> ''"),
+    "stack_frames": sql("cases", r"""WITH x AS (SELECT DISTINCT id, unnest(regexp_extract_all(failure_log, 'at\s+[\w.$]+\.[\w$<>]+\(')) AS f FROM cases), y AS (SELECT id, regexp_extract(f, 'at\s+([\w.$]+)\.[\w$<>]+\(', 1) AS class, regexp_extract(f, '\.([\w$<>]+)\($', 1) AS method FROM x)
+SELECT DISTINCT * FROM y WHERE method NOT IN ('<init>', '<clinit>') AND NOT regexp_matches(lower(class), '^(java|javax|sun)\.') AND NOT regexp_matches(class, '^(org\.(junit|mockito|hamcrest|easymock|jacoco|testng|assertj)|junit\.framework|com\.google\.common\.truth)\.')"""),
     "class_ancestors": """WITH RECURSIVE a AS (SELECT c_custkey AS child, c_custkey // 2 AS ancestor, 1 AS level FROM customer WHERE c_custkey > 1
   UNION ALL SELECT child, ancestor // 2, level + 1 FROM a WHERE ancestor > 1) SELECT child, ancestor, CAST(level AS BIGINT) AS level FROM a""",
     "import_resolution": """WITH f AS (SELECT DISTINCT p_brand || '.' || p_type AS fqn FROM part WHERE p_partkey % 5 = 0), n AS (SELECT p_partkey AS file, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS package, p_type AS name FROM part)
@@ -251,5 +260,3 @@ SELECT file, package, name, CASE WHEN file % 3 = 0 THEN 'org.x.' || name WHEN pa
 for _name in ("token_chunks", "byte_chunks"):
     _views = with_views("SELECT 1", "cases").removesuffix(" SELECT 1").removeprefix("WITH ")
     SQL[_name] = SQL[_name].replace("WITH RECURSIVE ", f"WITH RECURSIVE {_views}, ", 1)
-for _name in ("prompt_render", "prompt_stats", "window_fit"):
-    SQL[f"whole_{_name}"] = SQL[_name].replace("string_split(test_code, chr(10))[1:2]", "string_split(test_code, chr(10))")

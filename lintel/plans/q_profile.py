@@ -21,17 +21,16 @@ def sql(text: str) -> str:
     return with_views(text, "cases")
 
 
-def _maps(df, whole=False):
-    """helpers: map of line number to line of the text (first three, or all of a whole one); code: map of source to (map of language to text)."""
+def _maps(df):
+    """helpers: map of line number to line of the text; code: map of source to (map of language to text)."""
     lines = F.split("test_code", "\n")
-    lines = lines if whole else F.slice(lines, 1, 3)
     entries = F.transform(lines, lambda l, i: F.struct(F.concat(F.lit("h"), i.cast("string")).alias("k"), l.alias("v")))
     inner = F.map_from_arrays(F.array("lang", F.lit("blank")), F.array(F.col("java_code"), F.lit(" ")))
     return df.select("id", "is_flaky", "failure_log", F.map_from_entries(entries).alias("helpers"), F.map_from_arrays(F.array("repo_url"), F.array(inner)).alias("code"))
 
 
-def _map_sizes(df, whole=False):
-    return _maps(df, whole).select("id", S.map_size(F.col("helpers")).cast("long").alias("helpers"), S.nested_count(F.col("code")).cast("long").alias("methods"), S.nested_chars(F.col("code")).cast("long").alias("chars"), S.nested_blank(F.col("code")).cast("long").alias("blank"))
+def _map_sizes(df):
+    return _maps(df).select("id", S.map_size(F.col("helpers")).cast("long").alias("helpers"), S.nested_count(F.col("code")).cast("long").alias("methods"), S.nested_chars(F.col("code")).cast("long").alias("chars"), S.nested_blank(F.col("code")).cast("long").alias("blank"))
 
 
 def _clean_maps(df):
@@ -134,8 +133,8 @@ def _merge(spark, sf_dir):
     return L.renumbered([df.filter("is_flaky"), df.filter(~F.col("is_flaky"))], "old_id", "id")
 
 
-def _csv_form(df, whole=False):
-    m = _maps(df, whole)
+def _csv_form(df):
+    m = _maps(df)
     return m.select("id", F.when(F.size("helpers") == 0, "").otherwise(F.to_json("helpers")).alias("helpers_text"), S.spaced_json_length(F.create_map(F.lit("a"), F.col("id").cast("string"), F.lit("b"), F.lit("x"))).cast("long").alias("json_length")).select("id", F.length("helpers_text").cast("long").alias("chars"), "json_length")
 
 
@@ -197,8 +196,6 @@ QUERIES = {
     "clean_maps": on_cases(_clean_maps),
     "explode_maps": on_cases(_exploded_maps),
     "map_csv_form": on_cases(_csv_form),
-    "whole_map_sizes": on_cases(lambda df: _map_sizes(df, True)),
-    "whole_map_csv_form": on_cases(lambda df: _csv_form(df, True)),
     "masked_code": on_cases(_masked_code),
     "extracted_methods": on_cases(_methods),
     "context_score": on_cases(lambda df: _scored(df).groupBy("is_flaky", "context_score").agg(F.count("*").alias("n"))),
@@ -238,12 +235,10 @@ SELECT bin_no, bin, coalesce(n, 0) AS n, round(coalesce(n, 0) / sum(n) OVER () *
   round(sum(length(b) - length(x)) * 100.0 / sum(length(b)), 4) AS reduction_percent, count(*) FILTER (b <> x) AS modified, round(count(*) FILTER (b <> x) * 100.0 / count(*), 4) AS modified_percent FROM (SELECT java_code AS b, {JAVA_STRIP.format(c='java_code')} AS x FROM cases)"""),
     "normalise_logs": sql(f"SELECT id, {LOG.format(c='failure_log')} AS log FROM cases"),
     "first_changed_log": sql(f"SELECT repo_url, id, md5(failure_log) AS before, md5(x) AS after FROM (SELECT *, {LOG.format(c='failure_log')} AS x FROM cases) WHERE failure_log <> x QUALIFY row_number() OVER (PARTITION BY repo_url ORDER BY id) = 1"),
-    "map_sizes": sql("SELECT id, least(len(string_split(test_code, chr(10))), 3) AS helpers, 2 AS methods, length(java_code) + 1 AS chars, 1 + CAST(trim(java_code) = '' AS INT) AS blank FROM cases"),
-    "clean_maps": sql(f"SELECT id, true AS same_keys, length(x) AS chars, md5(x || '|') AS md5 FROM (SELECT id, {JAVA_STRIP.format(c='java_code')} AS x FROM cases)"),
+    "clean_maps": sql(f"SELECT id, map_keys(MAP {{lang: java_code, 'blank': ' '}}) = map_keys(MAP {{lang: x, 'blank': ''}}) AS same_keys, length(x) AS chars, md5(x || '|') AS md5 FROM (SELECT id, lang, java_code, {JAVA_STRIP.format(c='java_code')} AS x FROM cases)"),
     "explode_maps": sql("SELECT id, repo_url AS class, lang AS method, length(java_code) AS chars FROM cases UNION ALL SELECT id, repo_url, 'blank', 1 FROM cases"),
-    "map_csv_form": sql("""SELECT id, length('{' || array_to_string(list_transform(string_split(test_code, chr(10))[1:3], lambda l, i: '"h' || (i - 1) || '":' || CAST(to_json(l) AS VARCHAR)), ',') || '}') AS chars, length('{"a": "' || id || '", "b": "x"}') AS json_length FROM cases"""),
-    "whole_map_sizes": sql("SELECT id, len(string_split(test_code, chr(10))) AS helpers, 2 AS methods, length(java_code) + 1 AS chars, 1 + CAST(trim(java_code) = '' AS INT) AS blank FROM cases"),
-    "whole_map_csv_form": sql("""SELECT id, length('{' || array_to_string(list_transform(string_split(test_code, chr(10)), lambda l, i: '"h' || (i - 1) || '":' || CAST(to_json(l) AS VARCHAR)), ',') || '}') AS chars, length('{"a": "' || id || '", "b": "x"}') AS json_length FROM cases"""),
+    "map_sizes": sql("SELECT id, len(string_split(test_code, chr(10))) AS helpers, len(map_keys(MAP {lang: java_code, 'blank': ' '})) AS methods, length(java_code) + 1 AS chars, 1 + CAST(trim(java_code) = '' AS INT) AS blank FROM cases"),
+    "map_csv_form": sql("""SELECT id, length('{' || array_to_string(list_transform(string_split(test_code, chr(10)), lambda l, i: '"h' || (i - 1) || '":' || CAST(to_json(l) AS VARCHAR)), ',') || '}') AS chars, length('{"a": "' || id || '", "b": "x"}') AS json_length FROM cases"""),
     "masked_code": sql(f"""SELECT id, length(m) AS chars, md5(m) AS md5 FROM (SELECT id, 'class T {{ ' || repeat(' ', 15) || ' int a = t(' || repeat(' ', 3) || '); @Test public void t() {{ char c = ' || repeat(' ', 3) || '; '
   || regexp_replace('/* ' || replace(test_code, '*/', '') || ' */', '[^\n]', ' ', 'g') || ' if (a) {{ x(' || repeat(' ', 3) || '); }} ' || repeat(' ', 4) || chr(10) || '}} int u() {{ return 1; }} }}' AS m FROM cases)"""),
     "extracted_methods": sql(f"""SELECT id, NULL AS raw, md5(m) AS masked, 'int u() {{ return 1; }}' AS other FROM (SELECT id, '@Test public void t() {{ char c = ''}}''; /* ' || replace(test_code, '*/', '') || ' */ if (a) {{ x("{{"); }} // {{' || chr(10) || '}}' AS m FROM cases)"""),
@@ -257,8 +252,8 @@ SELECT id, is_flaky, context_score, md5(id || '|42') AS shuffled FROM (SELECT id
     "recode": sql("""SELECT id, CASE issue_category WHEN 'Time Dependent' THEN 'td' WHEN 'Order Dependent' THEN 'od' WHEN 'Non-Idempotent' THEN 'nio' WHEN 'Implementation Dependent' THEN 'id' ELSE 'none' END AS code,
   CASE WHEN trim(failure_log) = '' THEN 'Unknown' ELSE substr(failure_log, 1, 6) END AS log, CASE WHEN id % 2 = 0 THEN 25.0 ELSE 75.0 END AS percent, greatest(id % 7, id % 5) AS larger FROM cases"""),
     "merge_reid": sql("SELECT row_number() OVER (ORDER BY is_flaky DESC, id) AS id, id AS old_id, test_id, is_flaky FROM cases WHERE is_flaky IS NOT NULL"),
-    "commit_lookup": """SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'repo-' || s_name WHEN s_nationkey % 2 = 0 THEN 'repo-' || n_name ELSE '' END AS url, CASE WHEN s_suppkey % 3 = 0 THEN 'name' WHEN s_nationkey % 2 = 0 THEN 'nation' ELSE 'none' END AS "by"
-FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
+    "commit_lookup": """WITH a AS (SELECT s_name, 'repo-' || s_name AS url FROM supplier WHERE s_suppkey % 3 = 0), b AS (SELECT n_nationkey, 'repo-' || n_name AS url FROM nation WHERE n_nationkey % 2 = 0)
+SELECT s_suppkey, coalesce(a.url, b.url, '') AS url, CASE WHEN a.url IS NOT NULL THEN 'name' WHEN b.url IS NOT NULL THEN 'nation' ELSE 'none' END AS "by" FROM supplier LEFT JOIN a USING (s_name) LEFT JOIN b ON s_nationkey = n_nationkey""",
     "upsert": sql("WITH f AS (SELECT id * 2 AS id, 'new' AS state FROM cases WHERE id % 4 = 0) SELECT id, 'old' AS state FROM cases WHERE id NOT IN (SELECT id FROM f) UNION ALL SELECT * FROM f"),
     "composite_keys": sql("SELECT id, CASE WHEN total = 1 THEN concat_ws('-', repo_url, lang) ELSE concat_ws('-', repo_url, lang, CAST(position AS VARCHAR)) END AS key, position, total FROM (SELECT *, row_number() OVER (PARTITION BY repo_url, lang ORDER BY id) AS position, count(*) OVER (PARTITION BY repo_url, lang) AS total FROM cases)"),
     "align_distributions": sql("SELECT lang, count(*) FILTER (is_flaky) AS flaky, count(*) FILTER (NOT is_flaky) AS stable FROM cases WHERE is_flaky IS NOT NULL GROUP BY lang"),
