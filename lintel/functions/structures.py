@@ -61,11 +61,16 @@ def is_empty_text(value: Column) -> Column:
     return ~F.coalesce(value, F.lit("")).rlike(r"\S")
 
 
+def once(value: Column) -> Column:
+    """``value``, which the optimizer may neither repeat nor move: to it, the partition's number is not deterministic."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def parsed_object(text: Column, schema: str = MODEL_OUTPUT) -> Column:
     """The struct of a text that is exactly one JSON object, else null."""
     found = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{schema}>", {"allowSingleQuotes": "false"})
-    one = (F.size(found) == 1) & F.get(found, F.lit(0)).isNotNull() & text.rlike(r"(?s)\A\s*\{.*\}\s*\z")
-    return F.when(F.coalesce(one, F.lit(False)), F.get(found, F.lit(0)))
+    only = F.transform(F.array(found), lambda f: F.when(F.size(f) == 1, F.get(f, F.lit(0))))
+    return F.when(text.rlike(r"(?s)\A\s*\{.*\}\s*\z"), F.get(only, F.lit(0)))
 
 
 def recovered_fields(text: Column, categories: list[str]) -> Column:

@@ -8,22 +8,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lintel.functions.structures import parsed_object, recovered_fields
+from lintel.functions.structures import once, parsed_object, recovered_fields
 from lintel.functions.text import CATEGORIES, unfenced
 from lintel.operators.select import require_empty
+from lintel.storage import written
 
 FIELDS = ("classification", "category", "reasoning", "evidence")
 
 
 def parse(df: DataFrame, raw: str = "raw") -> DataFrame:
     """``output`` (struct or null) and ``error`` of each reply: it must be one JSON object, fences aside."""
-    out = df.withColumn("output", parsed_object(unfenced(F.col(raw))))
+    out = df.withColumn("output", once(parsed_object(unfenced(F.col(raw)))))
     return out.withColumn("error", F.when(F.col("output").isNull(), "not a JSON object"))
 
 
 def recover(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Like ``parse``; a reply that fails is read field by field, and its error is that of the fields."""
-    out = parse(df, raw).withColumn("_f", recovered_fields(F.col(raw), CATEGORIES)).withColumn("recovered", F.col("output").isNull() & F.col("_f.error").isNull())
+    out = parse(df, raw).withColumn("_f", once(F.when(F.col("output").isNull(), recovered_fields(F.col(raw), CATEGORIES)))).withColumn("recovered", F.col("output").isNull() & F.col("_f.error").isNull())
     fields = F.struct(*(F.col(f"_f.{f}").alias(f) for f in FIELDS))
     return out.withColumn("error", F.when(F.col("output").isNull(), F.col("_f.error"))).withColumn("output", F.coalesce("output", F.when(F.col("recovered"), fields))).drop("_f")
 
@@ -101,21 +102,24 @@ def chunked(df: DataFrame, by: str, order: str, size: Column, budget: float, max
 
 
 def submit_by_halves(requests: DataFrame, submit: Callable[[DataFrame], bool], key: str = "sample_id") -> list:
-    """Submit all; what fails is halved and tried again, down to single requests, whose keys are returned."""
-    skipped, waiting = [], [requests]
+    """Submit all; what fails is halved by the hash of the key and tried again, down to single requests, whose keys are returned.
+
+    Requests are written once with their hash; every part is a range of hashes, so no plan grows.
+    """
+    rows = written(requests.withColumn("_h", F.xxhash64(key)), "halves")
+    skipped, waiting = [], [(-(1 << 63), (1 << 63) - 1)]
     while waiting:
-        part = waiting.pop()
-        if submit(part):
+        low, high = waiting.pop()
+        part = rows.filter(F.col("_h").between(low, high))
+        n, first, last = part.agg(F.count("*"), F.min("_h"), F.max("_h")).first()
+        if not n or submit(part.drop("_h")):
             continue
-        n = part.count()
-        if n == 1:
-            skipped.append(part.head()[key])
+        if first == last:
+            skipped += [r[0] for r in part.select(key).toLocalIterator()]
             continue
-        middle = part.select(F.percentile_approx(F.xxhash64(key), 0.5)).head()[0]
-        left = part.filter(F.xxhash64(key) <= middle)
-        if left.count() == n:
-            left = part.orderBy(key).limit(n // 2)
-        waiting += [part.join(left.select(key), key, "left_anti"), left]
+        # The percentile is a rounded one; either half must have a row.
+        middle = max(first, min(part.agg(F.percentile_approx("_h", 0.5)).first()[0], last - 1))
+        waiting += [(middle + 1, last), (first, middle)]
     return sorted(skipped)
 
 
@@ -125,11 +129,10 @@ def passes(todo: DataFrame, attempt: Callable[[DataFrame], DataFrame], key: str
     for _ in range(most):
         if not left:
             break
-        done = attempt(todo)
-        rest = todo.join(done.select(key), key, "left_anti")
-        now = rest.count()
+        done = written(attempt(todo), "pass")
+        todo = written(todo.join(done.select(key), key, "left_anti"), "pass-rest")
+        now = todo.count()
         parts.append(done)
-        todo = rest
         if now == left:
             break
         left = now

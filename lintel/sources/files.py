@@ -49,10 +49,14 @@ def json_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
-def csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; names and fields are trimmed, absent fields empty, bytes that are no UTF-8 replaced."""
+def csv_rows(spark: SparkSession, path: str, lossy: bool = False) -> DataFrame:
+    """CSV with a header; names and fields are trimmed, absent fields empty, bytes that are no UTF-8 replaced.
+
+    lossy: such bytes are left out, and so are replacement characters.
+    """
     df = spark.read.csv(path, header=True, escape='"', multiLine=True, maxCharsPerColumn=-1)
-    return df.select(*[F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c.strip()) for c in df.columns])
+    whole = lambda c: F.replace(c, F.lit("\ufffd"), F.lit("")) if lossy else c
+    return df.select(*[F.trim(whole(F.coalesce(F.col(f"`{c}`"), F.lit("")))).alias(c.strip()) for c in df.columns])
 
 
 def first_fields(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -70,7 +74,7 @@ def csv_fields(line: Column) -> Column:
 def round_results(spark: SparkSession, path: str) -> DataFrame:
     """(round, status, test, result, trace) from ragged lines: the first field from the fourth on that is a JSON object."""
     rows = spark.read.text(path).select(csv_fields(F.col("value")).alias("f"))
-    objects = F.filter(F.slice("f", 4, 1_000_000), lambda x: F.trim(x).startswith("{") & F.trim(x).endswith("}"))
+    objects = F.filter("f", lambda x, i: (i >= 3) & F.trim(x).startswith("{") & F.trim(x).endswith("}"))
     found = rows.select(F.trim(F.get("f", F.lit(0))).alias("round"), F.trim(F.get("f", F.lit(1))).alias("status"), F.from_json(F.get(objects, F.lit(0)), ROUND_RESULTS).alias("o"))
     each = found.select("round", "status", F.explode("o.results").alias("test", "r"))
     return each.select("round", "status", "test", "r.result", F.array_join("r.stackTrace", "\n").alias("trace"))

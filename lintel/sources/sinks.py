@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -41,6 +41,16 @@ def to_new(df: DataFrame, path: str, skip: bool = False) -> None:
     df.write.mode("ignore" if skip else "errorifexists").json(path)
 
 
+def to_texts(df: DataFrame, path: str, name: str, text: str, mode: str = "overwrite") -> None:
+    """A folder for each value of ``name`` with its text."""
+    df.select(name, F.col(text).alias("value")).write.mode(mode).partitionBy(name).text(path)
+
+
+def to_one(spark: SparkSession, parts: list[str], path: str) -> None:
+    """The lines of several sets of files as one set."""
+    spark.read.text(parts).write.text(path)
+
+
 def to_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 

@@ -34,6 +34,7 @@ def test_json_tree(spark, tmp_path):
 def test_csv(spark, tmp_path):
     (tmp_path / "h.csv").write_bytes(b'a , b\n 1 ,"x, ""y"""\n2,\xff\n3,\n')
     assert rows(files.csv_rows(spark, str(tmp_path / "h.csv"))) == [("1", 'x, "y"'), ("2", "�"), ("3", "")]
+    assert rows(files.csv_rows(spark, str(tmp_path / "h.csv"), lossy=True)) == [("1", 'x, "y"'), ("2", ""), ("3", "")]
     (tmp_path / "l.csv").write_text("c,src,test,more\nd,src\n")
     assert rows(files.first_fields(spark, str(tmp_path / "l.csv"), ["sha", "src", "test"])) == [("c", "src", "test")]
 
