@@ -16,7 +16,8 @@ and shuffled beyond.  Lists of windows with one rarest word are cut into blocks.
 Defined results: null and empty texts have no words and are never hit; items
 without words have no window; repeated items count once by their id; repeated
 rows of documents get equal results; empty tables are fine on either side; all
-columns of the documents are kept and a column with an output's name is replaced.
+columns of the documents are kept, whatever their names, and a column with an
+output's name is replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lintel.llm.words import row_id, small, split_words
+from lintel.llm.words import row_name, set_aside, small, split_words
 from lintel.storage import written
 
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -74,22 +75,24 @@ def _hits(w: Column, candidates: Column) -> Column:
 
 def decontaminate(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = 13, share: int = 20) -> DataFrame:
     """``docs`` with n_words, n_hit, items (ids of items that occur), hits and contaminated (share * n_hit >= n_words > 0)."""
-    kept = [c for c in docs.columns if c not in OUTPUTS]
-    rows = docs.select(*kept, row_id(F.col(key), F.col(text)).alias("_rid"))
+    docs, back = set_aside(docs, key, text, OUTPUTS)
+    rows = docs.withColumn("rid", row_name(F.col("key"), F.col("text")))
     found = written(windows(bench, item, item_text, size), "decontaminate-windows")
-    blocks = written(with_rarest(found, docs.select(words(F.col(text)).alias("w"))), "decontaminate-blocks")
-    places = rows.select("_rid", F.posexplode(words(F.col(text))).alias("at", "word"))
+    blocks = written(with_rarest(found, docs.select(words(F.col("text")).alias("w"))), "decontaminate-blocks")
+    places = rows.select("rid", F.posexplode(words(F.col("text"))).alias("at", "word"))
     keys = small(blocks.select("word").distinct())
-    met = places.join(keys, "word", "left_semi").groupBy("_rid", "word").agg(F.collect_set("at").alias("at"))
-    candidates = met.join(small(blocks), "word").groupBy("_rid").agg(F.collect_list(F.struct("at", "windows")).alias("_candidates"))
-    out = rows.join(candidates, "_rid", "left").withColumn("_w", words(F.col(text)))
+    met = places.join(keys, "word", "left_semi").groupBy("rid", "word").agg(F.collect_set("at").alias("at"))
+    candidates = met.join(small(blocks), "word").groupBy("rid").agg(F.collect_list(F.struct("at", "windows")).alias("candidates"))
+    out = rows.join(candidates, "rid", "left").withColumn("w", words(F.col("text")))
     none = F.array().cast("array<struct<start:int,n:int,items:array<string>>>")
-    out = out.withColumn("hits", F.when(F.col("_candidates").isNull(), none).otherwise(_hits(F.col("_w"), F.col("_candidates"))))
+    # The partition's number is not deterministic to the optimizer: hits are computed once, and filters on what follows from them stay above.
+    some = F.col("candidates").isNotNull() & (F.spark_partition_id() >= 0)
+    out = out.withColumn("hits", F.when(some, _hits(F.col("w"), F.col("candidates"))).otherwise(none))
     covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["n"] - 1))))
-    return (
-        out.withColumn("n_words", F.size("_w").cast("long"))
+    out = (
+        out.withColumn("n_words", F.size("w").cast("long"))
         .withColumn("n_hit", F.size(covered).cast("long"))
         .withColumn("items", F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
-        .drop("_rid", "_candidates", "_w")
     )
+    return back(out, *OUTPUTS)
