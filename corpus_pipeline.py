@@ -8,6 +8,14 @@ rows that the one before it kept:
 3. near_duplicates: of each component one row stays, that with the smallest id;
 4. decontamination: contaminated documents go;
 5. encoding: token ids of what is left, with digests of ids and decoded bytes.
+
+Defined results of every stage: null and empty texts are scored, have no lines,
+no shingles and no words, and stay; all columns of documents come back as they
+were, whatever their names, but for ``text`` (lines) and ``n_chars`` where there
+is one; equal rows share their fate, except that near_duplicates keeps one of
+each component; rows without an id take part; an empty table stays empty.  The
+last stage adds n_tokens, ids, ids_sha256 and decoded_sha256 and takes these
+names for itself.
 """
 
 from __future__ import annotations
@@ -23,14 +31,23 @@ from lintel.llm.lines import dedup_lines
 from lintel.llm.q_bpe import RANKS, digests
 from lintel.llm.q_quality import LEAST_SCORE, held_out
 from lintel.llm.quality import learned, scored
-from lintel.llm.words import row_id
-from lintel.storage import table, written
+from lintel.llm.words import row_id, set_aside
+from lintel.storage import fresh_path, scratch, table, written
+
+
+def _with(docs: DataFrame, key: str = "doc_id", text: str = "text"):
+    """``docs`` with its id, text and n_chars, all other columns under names that no operator uses; and what names them again."""
+    inner, back = set_aside(docs, key, text)
+    named = dict(zip(docs.columns, inner.columns))
+    names = {"key": key, "text": text} | ({named["n_chars"]: "n_chars"} if "n_chars" in named else {})
+    undo = {theirs: mine for mine, theirs in names.items()}
+    return inner.withColumnsRenamed(names), lambda out: back(out.withColumnsRenamed(undo))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5))
-    good = scored(docs, learned(docs, labels), score="_score").filter(F.col("_score") >= LEAST_SCORE)
-    return good.drop("_score")
+    docs, back = _with(docs)
+    return back(scored(docs, learned(docs, labels)).filter(F.col("score") >= LEAST_SCORE))
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -39,26 +56,28 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = dedup_lines(docs).filter("kept > 0 or n_lines = 0")
-    return _recounted(out.select(*docs.columns))
+    docs, back = _with(docs)
+    return back(_recounted(dedup_lines(docs).filter("kept > 0 or n_lines = 0")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component one row stays: the smallest id, rows without an id last, then the lowest hash of id and text."""
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
-    ids = rows.select("_row", "doc_id", row_id(F.col("doc_id"), F.col("text")).alias("h"))
-    found = near_duplicates(rows, "_row").select("_row", "component_id").join(ids, "_row")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "_row"))
-    kept = found.groupBy("component_id").agg(first.alias("first")).select("first._row")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    docs, back = _with(docs)
+    rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "near-rows")
+    ids = rows.select("row", "doc_id", row_id(F.col("doc_id"), F.col("text")).alias("h"))
+    found = near_duplicates(rows, "row").select("row", "component_id").join(ids, "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "row"))
+    kept = found.groupBy("component_id").agg(first.alias("first")).select("first.row")
+    return back(rows.join(kept, "row", "left_semi"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate(docs, table(spark, sf_dir, "benchmark")).filter(~F.col("contaminated")).select(*docs.columns)
+    docs, back = _with(docs)
+    return back(decontaminate(docs, table(spark, sf_dir, "benchmark")).filter(~F.col("contaminated")))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, back="decoded")
+    out = encode(docs, RANKS, public_tokenizers.PATTERN, back="decoded")
     return digests(out).drop("decoded")
 
 
@@ -75,7 +94,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what a stage writes on its way is removed when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = fresh_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            docs = stage(spark, docs, sf_dir)
+            docs.write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
     return docs
