@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from lintel.storage import written
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of ``edges`` (a, b); root is the component's smallest node.
 
-    Each round is a written table, so lineage stays short.  Nodes without edges
+    Each round is a written table, so lineage stays short; rounds go on until the
+    stars are single ones.  Nodes without edges
     do not occur; self-loops and repeated edges are harmless; no edges give an
     empty table.
     """
     stars = written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
-    for _ in range(rounds):
+    while True:
         both = stars.union(stars.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
