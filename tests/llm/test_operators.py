@@ -1,6 +1,7 @@
 """The training-data operators against SQL or brute force on a small fixture with every awkward row."""
 
 import hashlib
+import heapq
 import json
 import math
 import random
@@ -92,6 +93,78 @@ def test_lm_scores(docs, empty):
     assert {r.base_score for r in lm.score(docs, none).collect()} == {0.0}
 
 
+def _exact_score(texts, train, order):
+    """Scores with exact counts, quantised as the filter does it but without its errors."""
+    def grams(t):
+        w = ("</s>", *words(t), "</s>")
+        return [w[i + 1 - k : i + 1] for i in range(1, len(w)) for k in range(1, order + 1) if k == 1 or i + 1 - k >= 0]
+
+    counts = Counter(g for t in train for g in grams(t))
+    n, v = sum(c for g, c in counts.items() if len(g) == 1), sum(len(g) == 1 for g in counts)
+    count = lambda g: lm.COUNT_OF[np.searchsorted(lm.THRESHOLDS, counts[g], side="right")] if counts[g] else 0.0
+    out = []
+    for t in texts:
+        w, total = ("</s>", *words(t), "</s>"), 0.0
+        for i in range(1, len(w)):
+            p = (count(w[i : i + 1]) + 0.1) / (n + 0.1 * (v + 1))
+            for k in range(2, order + 1):
+                if i + 1 - k >= 0:
+                    g = w[i + 1 - k : i + 1]
+                    p = (count(g) + lm.MU * p) / (max(count(g[:-1]), count(g)) + lm.MU)
+            total += math.log10(p)
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_lm_scores_against_exact_counts(docs, order):
+    """The filter's errors only raise counts; over all tokens they move a score by little."""
+    rows = [r.text for r in docs.collect()]
+    got = {r.text: (r.score, r.n_tokens) for r in lm.score(docs, lm.learn(docs, order=order)).collect()}
+    for t, want in zip(rows, _exact_score(rows, rows, order)):
+        score, n = got[t]
+        assert abs(score - want) <= 0.5 + 0.02 * n
+
+
+def test_results_do_not_depend_on_settings(spark, docs):
+    """Two numbers of shuffle partitions, and a table whose rows share one key."""
+    path = "byte_bpe_multi_50k.tiktoken"
+    one = docs.withColumn("doc_id", F.lit(1).cast("long"))
+    found = []
+    for parts in ("2", "60"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        scores = sorted((r.doc_id or 0, r.text or "", r.score) for r in lm.score(docs, lm.learn(docs)).collect())
+        langs = sorted((r.text or "", r.lang_pred, r.score) for r in langid.predicted(one, langid.learned(one, path)).collect())
+        near = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in jaccard.near_duplicates(docs).collect())
+        found.append((scores, langs, near))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1]
+    assert {lang for _, lang, _ in found[0][1]} == {"en", "und"}
+
+
+CLASHES = "kept items hits _rid _score rid w l in_0 in_1 gone near candidates key lm n lang_pred part name shard _key component_id".split()
+
+
+@pytest.mark.parametrize("name", ["lines", "decontaminate", "lm", "quality", "langid", "bpe", "jaccard", "shards"])
+def test_clashing_columns(spark, docs, name):
+    """Columns that no output replaces come back as they were, whatever an operator calls its own."""
+    wide = docs.select("*", *(F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in CLASHES))
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    bench = spark.createDataFrame([(1, "two words")], "item_id long, text string")
+    labels = spark.createDataFrame([(6, 1), (4, 0)], "doc_id long, quality int")
+    run = {
+        "lines": lambda: lines.dedup_lines(wide), "decontaminate": lambda: decontaminate(wide, bench), "lm": lambda: lm.score(wide, lm.learn(wide)),
+        "quality": lambda: quality.scored(wide, quality.learned(wide, labels)), "langid": lambda: langid.predicted(wide, langid.learned(wide, path)),
+        "bpe": lambda: byte_bpe.encode(wide, path, public_tokenizers.PATTERN), "jaccard": lambda: jaccard.near_duplicates(wide), "shards": lambda: shards.shard(wide, 3),
+    }[name]()
+    got = run.collect()
+    assert len(got) == len(TEXTS)
+    if name not in ("jaccard", "shards"):
+        mine = {"lines": lines.OUTPUTS, "decontaminate": ("n_words", "n_hit", "items", "hits", "contaminated"), "lm": tuple(lm.OUTPUTS), "quality": ("score",), "langid": ("lang_pred", "score"), "bpe": ("ids",)}[name]
+        for c in set(CLASHES) - set(mine):
+            assert all(r[c] == (None if r.doc_id is None else f"{c} of {r.doc_id}") for r in got), c
+
+
 def test_bloom_levels_follow_counts():
     import numpy as np
 
@@ -213,7 +286,40 @@ def test_shards(docs, empty):
             where[text[r.doc_id]].add(r.shard)
     assert all(len(x) == 1 for x in where.values())
     assert shards.shard(empty, 4).count() == 0
-    assert shards.longest_first([("a", 5), ("b", 4), ("c", 3), ("d", 3)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.integers(1, 5000), st.integers(1, 300), max_size=8), st.integers(1, 40))
+def test_schedule_equals_plain_lpt(sizes, n):
+    loads, want = [(0, shard) for shard in range(n)], Counter()
+    for size in sorted(sizes, reverse=True):
+        for _ in range(sizes[size]):
+            load, shard = heapq.heappop(loads)
+            want[size, shard] += 1
+            heapq.heappush(loads, (load + size, shard))
+    got, ranks = Counter(), defaultdict(list)
+    for size, shard, a, b in shards.schedule(list(sizes.items()), n):
+        got[size, shard] += b - a
+        ranks[size] += range(a, b)
+    assert got == want and all(ranks[size] == list(range(count)) for size, count in sizes.items())
+
+
+def test_shards_equal_plain_lpt_over_all_groups(spark):
+    """The whole query against a heap over every group by itself."""
+    sf = "/root/testdata/sf0.01"
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = registry.queries()["op6_sharding"](spark, sf).collect()
+    assert len(got) == len(text)
+    where, total = {}, Counter()
+    for r in got:
+        assert where.setdefault(text[r.doc_id], r.shard) == r.shard
+        total[text[r.doc_id]] += r.size
+    loads, want = [(0, shard) for shard in range(40)], Counter()
+    for size in sorted(total.values(), reverse=True):
+        load, shard = heapq.heappop(loads)
+        want[size, shard] += 1
+        heapq.heappush(loads, (load + size, shard))
+    assert Counter((total[t], shard) for t, shard in where.items()) == want
 
 
 def test_shards_near_equal(spark):

@@ -60,3 +60,43 @@ def test_one_row_of_each_component(spark):
     got = [tuple(r) for r in corpus_pipeline.near_copies(spark, docs, SF).collect()]
     want = [(3, a), (None, b), (7, c), (8, d), (9, ""), (9, ""), (None, None)]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def _documents(spark):
+    """Nulls in any column, empty and long texts, ties, repeated rows, and columns with an operator's names."""
+    body = " ".join(f"word{i} stands here" for i in range(30))
+    texts = [(1, None), (2, ""), (3, " \n\t"), (4, body), (4, body), (5, body + " end"), (None, "one line\nanother line"), (None, None), (6, "long " * 30_000), (7, "x\n\nx")]
+    names = ["kept", "items", "hits", "_rid", "_score", "_row", "n_lines", "contaminated", "component_id", "key", "rid"]
+    rows = [(k, t, None, "src", -1, *(f"{n} {i}" for n in names)) for i, (k, t) in enumerate(texts)]
+    return names, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+
+
+def test_stages_leave_other_columns_alone(spark):
+    names, docs = _documents(spark)
+    docs = written(docs, "test")
+    before = {r.kept: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns, name
+        rows = got.collect()
+        assert rows and len({r.kept for r in rows}) == len(rows), name
+        for r in rows:
+            was = before[r.kept]
+            assert [r[c] for c in ("doc_id", "source", *names)] == [was[c] for c in ("doc_id", "source", *names)], name
+            assert r.text == was.text or name == "lines"
+            assert r.n_chars == was.n_chars or name == "lines" and r.n_chars == (None if r.text is None else len(r.text))
+    last = corpus_pipeline.encoding(spark, docs, SF).collect()
+    assert len(last) == len(before) and all(r.hits == before[r.kept].hits for r in last)
+
+
+def test_stages_of_an_empty_table(spark):
+    _, docs = _documents(spark)
+    empty = written(docs.filter("false"), "test")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0, name
+
+
+def test_hits_are_computed_once(spark):
+    """The filter on the decision does not repeat the verification, which alone asks for the partition's number."""
+    plan = corpus_pipeline.decontamination(spark, table(spark, SF, "documents"), SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("SPARK_PARTITION_ID()") == 1
