@@ -236,19 +236,24 @@ def _spread(rows: DataFrame, *more: str) -> DataFrame:
     return rows.groupBy("s", *more).agg(F.min("lo").alias("lo_"), F.max("hi").alias("hi_"), *of).filter("lo_ != hi_").drop("lo_", "hi_")
 
 
-def _open(places: DataFrame, labels: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Places that can still have a partner of another label, by shingle, band of sizes and side (0: the smaller set, 1: the larger).
+def _alive(places: DataFrame, labels: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Places of shingles with several labels that some other place of the shingle could reach, with their groups' labels."""
+    of_group = members.join(labels, "set").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
+    rows = places.select("s", "group", "n", "rest").join(of_group, "group")
+    least = F.ceil(F.col("n") * percent / 100)
+    for _ in range(2):
+        met = rows.join(_spread(rows), "s").filter(_bound(F.least("rest", "rest_"), F.col("n"), F.greatest(least, "n_"), percent))
+        rows = written(met.drop("n_", "rest_"), "jaccard-alive")
+    return rows
+
+
+def _open(rows: DataFrame, percent: int) -> DataFrame:
+    """Alive places that can still have a partner, by shingle, band of sizes and side (0: the smaller set, 1: the larger).
 
     A partner's size and position are bounded by the fewest shingles and the
     longest rest among the other side's places, so what no partner can reach goes.
     """
-    of_group = members.join(labels, "set").groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
-    rows = places.join(of_group, "group").select("s", "group", "n", (F.col("n") - F.col("at")).alias("rest"), "lo", "hi", "m")
     least = F.ceil(F.col("n") * percent / 100)
-    for _ in range(2):
-        met = rows.join(_spread(rows), "s").filter(_bound(F.least("rest", "rest_"), F.col("n"), F.greatest(least, "n_"), percent))
-        rows = met.drop("n_", "rest_")
-    rows = written(rows, "jaccard-alive")
     step = math.log(100 / percent) / BANDS or math.log(2)
     band = F.floor(F.log("n") / step).cast("int")
     # A larger partner is at most BANDS bands up; one more for rounding.
@@ -257,15 +262,15 @@ def _open(places: DataFrame, labels: DataFrame, members: DataFrame, percent: int
         other_n, other_rest = (F.when(F.col("side") == 0, F.col(f"{c}1")).otherwise(F.col(f"{c}0")) for c in ("n", "rest"))
         partner = F.greatest(F.when(F.col("side") == 0, F.col("n")).otherwise(least), other_n)
         met = sides.join(_spread(sides, "band"), ["s", "band"]).filter(other_n.isNotNull()).filter(_bound(F.least("rest", other_rest), F.col("n"), partner, percent))
-        sides = met.drop("n0", "n1", "rest0", "rest1")
-    return written(sides.join(_spread(sides, "band").select("s", "band"), ["s", "band"], "left_semi"), "jaccard-open")
+        sides = written(met.drop("n0", "n1", "rest0", "rest1"), "jaccard-open")
+    return sides
 
 
 def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Verified links (a, b) that connect all linked sets. sets: set, n, shingles, prefix, at, group."""
     members = sets.select("set", "group")
     places = sets.select("group", "n", "at", "prefix").dropDuplicates(["group"])
-    places = places.select("group", "n", "at", F.posexplode("prefix").alias("i", "s")).select("s", "group", "n", (F.col("at") + F.col("i")).alias("at"), F.col("at").alias("single"))
+    places = places.select("group", "n", "at", F.posexplode("prefix").alias("i", "s")).select("s", "group", "n", (F.col("n") - F.col("at") - F.col("i")).alias("rest"), F.col("at").alias("single"))
     places = written(places, "jaccard-places")
     leaders = members.groupBy("group").agg(F.min("set").alias("b"))
     first = members.join(leaders, "group").filter("set != b").select(F.col("set").alias("a"), "b")
@@ -274,7 +279,7 @@ def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     enough, before = PAIRS_FOR_EACH * members.count(), math.inf
     # The pivot of a shingle is first the group with the fewest unrepeated shingles: that from which the others differ is often among the sets.
     drawn = places.groupBy("s").agg(F.min(F.struct("single", F.xxhash64("group").alias("h"), "group")).alias("p"), F.count("*").alias("c")).filter("c > 1").select("s", "p")
-    asked = places.select("s", "group").join(drawn, "s").select("group", "p")
+    asked, alive = places.select("s", "group").join(drawn, "s").select("group", "p"), places
     for turn in range(PIVOT_ROUNDS + 1):
         # Of its shingles' pivots, a set meets the first few.
         few = asked.groupBy("group").agg(F.array_sort(F.collect_set("p")).alias("p")).select("group", F.explode(F.slice("p.group", 1, FIRST_PIVOTS if turn == 0 else PIVOTS)).alias("to"))
@@ -284,7 +289,9 @@ def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         more = written(_verified(pairs, sets, percent), "jaccard-links")
         links = links.union(more)
         labels = _relabelled(labels, more)
-        open_ = _open(places, labels, members, percent)
+        # Labels only merge, so what is out of reach stays so.
+        alive = _alive(alive, labels, members, percent)
+        open_ = _open(alive, percent)
         counts = open_.groupBy("s", "band").agg(F.sum(F.when(F.col("side") == 0, F.col("m"))).alias("x"), F.sum(F.when(F.col("side") == 1, F.col("m"))).alias("y"))
         left = counts.agg(F.sum(F.col("x") * F.col("y"))).first()[0] or 0
         if left <= enough or left > WORTHWHILE * before:
