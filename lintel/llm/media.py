@@ -35,6 +35,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 ARCHIVE_BYTES = 128 << 20
 RANGE_BYTES = 8 << 20
+#: Ranges that the driver plans at most, besides one for each archive.
+MOST_RANGES = 100_000
 BATCH_BYTES = 4 << 20
 ATTEMPTS = 3
 RATE = 8000
@@ -160,7 +162,10 @@ class ArchiveReader(DataSourceReader):
         return [(f.base_name, f.size) for f in files.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.base_name.endswith(".zip")]
 
     def partitions(self) -> list[ByteRange]:
-        return [ByteRange(name, at, min(at + self.step, size)) for name, size in sorted(self.archives()) for at in range(0, size, self.step)] or [ByteRange("", 0, 0)]
+        """Byte ranges; they grow with the total, so that there are at most ``MOST_RANGES`` and one for each archive."""
+        found = sorted(self.archives())
+        step = max(self.step, -(-sum(size for _, size in found) // MOST_RANGES))
+        return [ByteRange(name, at, min(at + step, size)) for name, size in found for at in range(0, size, step)] or [ByteRange("", 0, 0)]
 
     def _member(self, files, path: str, info: zipfile.ZipInfo) -> tuple[bytes | None, str | None]:
         """A member's payload, read by itself at its offset, again if need be."""

@@ -205,6 +205,61 @@ def test_media_round_trip(spark, docs, tmp_path):
     assert len(again) == len(TEXTS)
 
 
+def test_media_of_nothing_and_clashing_columns(spark, docs, tmp_path):
+    wide = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("payload"), F.lit("x").alias("key"), F.lit("y").alias("archive"))
+    media.store(wide, f"{tmp_path}/a").write.parquet(f"{tmp_path}/b")
+    assert media.stored(spark, f"{tmp_path}/a", f"{tmp_path}/b").count() == len(TEXTS)
+    media.store(wide.filter("false"), f"{tmp_path}/c").write.parquet(f"{tmp_path}/d")
+    assert media.stored(spark, f"{tmp_path}/c", f"{tmp_path}/d").count() == 0
+
+
+def test_media_ranges_are_bounded(monkeypatch):
+    monkeypatch.setattr(media, "MOST_RANGES", 10)
+    reader = media.ArchiveReader({"path": "/nowhere", "rangebytes": "5"})
+    monkeypatch.setattr(reader, "archives", lambda: [("a", 1000), ("b", 7)])
+    parts = reader.partitions()
+    assert len(parts) <= 12
+    for name, size in (("a", 1000), ("b", 7)):
+        mine = [(p.start, p.stop) for p in parts if p.archive == name]
+        assert mine[0][0] == 0 and mine[-1][1] == size and all(x[1] == y[0] for x, y in zip(mine, mine[1:]))
+
+
+def test_chat_loss_mask_is_on_the_formatted_text(spark):
+    """The spans of the mask, cut out of the formatted text and unescaped, are the assistant's texts."""
+    text = r"\### Assistant: </turn> ok"
+    rows = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, "assistant", "\U0001f600 é\n"), (2, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    rows = rows.withColumn("formatted", F.lit("clash")).withColumn("_turn", F.lit("clash"))
+    chats = chat.read_back(chat.format_chats(rows)).withColumn("spans", chat.loss_spans(F.col("formatted")))
+    cut = F.transform("spans", lambda s: chat.unescape(F.substr(F.col("formatted"), s["start"] + 1, s["length"])))
+    got = {r.conv_id: (r.cut, r.loss) for r in chats.withColumn("cut", cut).collect()}
+    assert got == {1: ([text, "\U0001f600 é\n"], [text, "\U0001f600 é\n"]), 2: ([], [])}
+
+
+def test_expected_counts_equal_all_segmentations():
+    """One step of expectation against a sum over every way to cut each word."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows, _ = langid.pieces(path)
+    table = np.random.default_rng(2).random((len(rows) + 1, 1))
+    table[-1] = 0
+
+    def cuts(data):
+        if not data:
+            yield []
+        for n in range(1, len(data) + 1):
+            if data[:n] in rows:
+                for rest in cuts(data[n:]):
+                    yield [rows[data[:n]], *rest]
+
+    some, weights = ["a", "niño", "join"], np.array([1.0, 3.0, 2.0])
+    want = np.zeros(len(rows))
+    for w, weight in zip(some, weights):
+        found = [(c, np.prod(table[c, 0])) for c in cuts(b" " + w.encode())]
+        total = sum(p for _, p in found)
+        for c, p in found:
+            np.add.at(want, c, weight * p / total)
+    assert np.allclose(langid.expected(some, weights, table, path), want)
+
+
 def test_media_query(spark):
     got = {r.doc_id: r for r in registry.queries()["op3_media_columns"](spark, SF).collect()}
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
