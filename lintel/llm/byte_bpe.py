@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lintel.llm.words import vocabulary_file
+
 #: Distinct pieces, prefixes and token pairs that one worker keeps; a full store is emptied.
 KEPT = 600_000
 
@@ -36,7 +38,7 @@ class Vocabulary:
     """Token bytes, ranks and the pair of tokens that each token was merged from."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
+        with open(vocabulary_file(path), "rb") as lines:
             pairs = [line.split() for line in lines]
         self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.token = {rank: token for token, rank in self.rank.items()}

@@ -31,7 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lintel.llm.words import row_id
+from lintel.llm.words import row_id, vocabulary_file
+from lintel.storage import written
 
 SAMPLE, ROUNDS, SMOOTHING = 4_000, 2, 0.05
 #: Words whose log probabilities one worker keeps; a full store is emptied.
@@ -48,7 +49,7 @@ def text_words(text: str | None) -> list[str]:
 @lru_cache(maxsize=2)
 def pieces(path: str) -> tuple[dict[bytes, int], int]:
     """Piece -> row of the probability table, and the longest piece's length."""
-    with open(path, "rb") as lines:
+    with open(vocabulary_file(path), "rb") as lines:
         found = {base64.b64decode(line.split()[0]): i for i, line in enumerate(lines)}
     return found, max(map(len, found))
 
@@ -155,8 +156,6 @@ class Model:
 
 def learned(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
     """A model of all languages, from all rows of those with at most ``sample`` different rows and about ``sample`` of each other."""
-    from lintel.storage import written
-
     named = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("lang")).filter("t is not null and lang is not null")
     named = named.select("lang", "t", row_id(F.col("k"), F.col("t")).alias("h"))
     found = named.groupBy("lang", "h").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("different")).collect()
@@ -219,13 +218,12 @@ def predicted(docs: DataFrame, model: Model, text: str = "text", lang: str = "la
     return out.withColumn(lang, F.col(f"{both}.lang")).withColumn(score, F.col(f"{both}.score")).drop(both)
 
 
-_models: dict = {}
+_kept: list = []
 
 
 def _model(shared) -> Model:
-    """One model per worker process and broadcast."""
+    """One model per worker process and broadcast; it holds the broadcast's value, whose identity it is known by."""
     parts = shared.value
-    if id(parts) not in _models:
-        _models.clear()
-        _models[id(parts)] = Model(*parts)
-    return _models[id(parts)]
+    if not _kept or _kept[0] is not parts:
+        _kept[:] = parts, Model(*parts)
+    return _kept[1]

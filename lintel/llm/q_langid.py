@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = learned(docs.filter(~held_out(F.col("doc_id"), 5)), public_tokenizers.path(VOCABULARY))
+    model = learned(docs.filter(~held_out(F.col("doc_id"), 5)), VOCABULARY)
     out = predicted(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
 
