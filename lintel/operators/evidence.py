@@ -39,7 +39,7 @@ def utilisation(df: DataFrame, *by: str) -> DataFrame:
     rows = labelled(df)
     total = rows.groupBy(*by).agg(F.count("*").alias("rows"))
     used = rows.select(*by, F.explode(F.array_distinct(F.filter("labels", lambda l: l != OTHER))).alias("artefact")).groupBy(*by, "artefact").agg(F.count("*").alias("n"))
-    joined = used.join(F.broadcast(total), list(by)) if by else used.join(F.broadcast(total))
+    joined = used.join(total, list(by)) if by else used.join(F.broadcast(total))  # one row
     return joined.withColumn("percent", F.round(F.col("n") * 100.0 / F.col("rows"), 4))
 
 

@@ -21,20 +21,14 @@ def hash_order(key: str, seed: int) -> Column:
 
 
 def balance(df: DataFrame, positive: str, score: str, key: str = "id") -> DataFrame:
-    """All positives and as many of the best negatives; ties go to the lower id.
+    """All positives and as many of the best negatives; ties go to the lower id, rows without a score are not taken.
 
-    The cut is a score: negatives above it stay, and of those at it the lowest
-    ids fill up.  Scores are few values, so only the ones at the cut are numbered.
+    Negatives are numbered within ranges of the order, so neither all of them nor those at the cut meet in one task.
     """
-    counts = df.groupBy(positive, score).agg(F.count("*").alias("_n"))
     wanted = df.agg(F.count_if(F.col(positive)).alias("_want"))
-    above = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
-    cut = counts.filter(~F.col(positive)).join(F.broadcast(wanted)).withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0))).filter("_above < _want")
-    cut = cut.select(score, (F.col("_want") - F.col("_above")).alias("_room"), "_n")
-    negatives = df.filter(~F.col(positive)).join(F.broadcast(cut), score)
-    whole = negatives.filter("_n <= _room")
-    some = numbered(negatives.filter("_n > _room"), [score], [key], "_r").filter("_r <= _room").drop("_r")
-    return df.filter(positive).unionByName(whole.select(*df.columns)).unionByName(some.select(*df.columns))
+    negatives = df.filter(~F.col(positive) & F.col(score).isNotNull()).withColumn("_low", -F.col(score))
+    best = numbered(negatives, [], ["_low", key], "_r").join(F.broadcast(wanted)).filter("_r <= _want")
+    return df.filter(positive).unionByName(best.select(*df.columns))
 
 
 def sample(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
