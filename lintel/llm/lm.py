@@ -1,19 +1,27 @@
 """LM scoring with a log-frequency Bloom filter.
 
-Training counts every word and word pair.  A count is quantised to a level (its
-place among thresholds that grow by half), and a gram of level q puts q keys,
-(gram, 1) to (gram, q), into a Bloom filter.  Scoring asks for (gram, 1),
-(gram, 2) ... until a key is absent; the last present level gives the count back.
-A token's probability is the pair's count smoothed by the word's:
+Training counts every word and every run of two to ``order`` words.  A count is
+quantised to a level (its place among thresholds that grow by half), and a gram
+of level q puts q keys, (gram, 1) to (gram, q), into a Bloom filter.  Scoring asks
+for (gram, 1), (gram, 2) ... until a key is absent; the last present level gives
+the count back.  A token's probability is smoothed from the shorter gram's:
 
-    p(w | v) = (c(v w) + MU * p(w)) / (max(c(v), c(v w)) + MU),
-    p(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)),   counts from the filter.
+    p(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)),
+    p(w | h) = (c(h w) + MU * p(w | h')) / (max(c(h), c(h w)) + MU),
+
+with h' the context h without its first word, and counts from the filter.  Before
+a text's first word stands an end; contexts do not reach further back.
 
 Grams are 64-bit hashes.  Tasks count the grams of some MB of text at a time with
 numpy and send sorted runs, cut into segments by the hash's top bits; each
 segment is summed in a task of its own, which also builds the segment's part of
 the filter, sized for its own grams.  So the filter grows with the corpus at a
-constant error rate (one absent key in 2^PROBES counts as present).
+constant error rate: one absent key in 2^PROBES counts as present, which takes a
+gram's count up by one level.  The number of segments follows from the bytes of
+the texts alone, so results do not depend on a session's settings.
+
+``order`` is two unless the caller asks for more: of 0.5 GB of text, pairs and words
+take 113 MB in every Python worker, triples 92 MB more.
 
 Filter and word counts are broadcast while they take at most ``BROADCAST_BYTES``
 together; larger ones stay in their segments, and the documents' distinct grams
@@ -21,22 +29,26 @@ go to them by a shuffle and back by joins, with equal results.
 
 Defined results: null texts count as empty and have one token, the end; repeated
 rows are learned from and scored each by itself; with no training rows N = V = 0
-and every text has base score 0; other columns are kept and a column with an
-output's name is replaced.
+and every text has base score 0; other columns are kept, whatever their names,
+and a column with an output's name is replaced.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lintel.llm.words import row_id
+from lintel.llm.words import row_name, set_aside
 from lintel.storage import written
 
 BROADCAST_BYTES = 256 << 20
-PROBES, MU, ADD = 5, 4.0, 0.1
+PROBES, MU, ADD, ORDER = 5, 4.0, 0.1, 2
+#: Bytes of texts for each segment of a kind.
+SEGMENT_BYTES = 32 << 20
 CHUNK_BYTES, RUN_TOKENS = 2 << 20, 1_500_000
 OUTPUTS = {"n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
 
@@ -95,6 +107,17 @@ def pairs(before: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return mixed(before * _U(0xD1342543DE82EF95) + grams)
 
 
+def longer(grams: np.ndarray, starts: np.ndarray, order: int):
+    """(grams, contexts, whether there is one) of two words, three, ... up to ``order``, for every token."""
+    head, valid = contexts(grams, starts), np.ones(len(grams), bool)
+    for size in range(2, order + 1):
+        both = pairs(head, grams)
+        yield both, head, valid
+        # The next context is this gram, one token earlier; the first tokens have none so long.
+        head, valid = contexts(both, starts), np.concatenate([[False], valid[:-1]]) if len(valid) else valid
+        valid[starts] = False
+
+
 def chunks(texts: list):
     """Texts as bytes in runs of some MB."""
     some, size = [], 0
@@ -152,10 +175,10 @@ def _bit(grams: np.ndarray, level: int, probe: int) -> np.ndarray:
 
 
 class Model:
-    """Filters of words and pairs, exact word counts by sorted hash, and totals."""
+    """Filters by length of gram, exact word counts by sorted hash, and totals."""
 
-    def __init__(self, single: Filter, double: Filter, known: np.ndarray, counts: np.ndarray, n: int, v: int):
-        self.single, self.double, self.known, self.counts, self.n, self.v = single, double, known, counts, n, v
+    def __init__(self, filters: list[Filter], known: np.ndarray, counts: np.ndarray, n: int, v: int):
+        self.filters, self.known, self.counts, self.n, self.v = filters, known, counts, n, v
 
     def score(self, texts: list) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of each text."""
@@ -170,13 +193,16 @@ class Model:
             at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
             exact = np.where(self.known[at] == distinct, self.counts[at], 0).astype(np.float64)
         total = self.n + ADD * (self.v + 1)
-        single = COUNT_OF[self.single.levels(distinct)]
-        before = contexts(grams, starts)
-        around = np.empty(len(grams))
-        around[1:] = single[which[:-1]]
-        around[starts] = COUNT_OF[self.single.levels(np.array([END]))][0]
-        double = COUNT_OF[self.double.levels(pairs(before, grams))]
-        p = (double + MU * ((single + ADD) / total)[which]) / (np.maximum(around, double) + MU)
+        count = COUNT_OF[self.filters[0].levels(distinct)][which]
+        p = (count + ADD) / total
+        first = COUNT_OF[self.filters[0].levels(np.array([END]))][0]
+        for found, (both, _, valid) in zip(self.filters[1:], longer(grams, starts, len(self.filters))):
+            # A context's count is that of the shorter gram, one token earlier.
+            around = np.concatenate([[first], count[:-1]])
+            around[starts] = first
+            count = np.zeros(len(grams))
+            count[valid] = COUNT_OF[found.levels(both[valid])]
+            p = np.where(valid, (count + MU * p) / (np.maximum(around, count) + MU), p)
         sums = lambda x: np.add.reduceat(x, starts)
         return np.diff(np.append(starts, len(grams))), sums((exact > 0)[which].astype(np.int64)), sums(np.log10((exact + ADD) / total)[which]), sums(np.log10(p))
 
@@ -185,8 +211,8 @@ RUN = "kind int, seg int, grams binary, counts binary"
 SEGMENT = "kind int, seg int, bits binary, grams binary, counts binary, n long, v long"
 
 
-def _runs(bits: int):
-    """Sorted runs of counted grams, cut into segments."""
+def _runs(bits: int, order: int):
+    """Sorted runs of counted grams, cut into segments; kind: words of a gram less one."""
 
     def cut(kind: int, grams: np.ndarray):
         distinct, counts = np.unique(grams, return_counts=True)
@@ -196,11 +222,11 @@ def _runs(bits: int):
                 yield kind, seg, distinct[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes()
 
     def run(batches):
-        held: list[list[np.ndarray]] = [[], []]
+        held: list[list[np.ndarray]] = [[] for _ in range(order)]
         size = 0
 
         def flush():
-            rows = [row for kind in (0, 1) if held[kind] for row in cut(kind, np.concatenate(held[kind]))]
+            rows = [row for kind in range(order) if held[kind] for row in cut(kind, np.concatenate(held[kind]))]
             names = ["kind", "seg", "grams", "counts"]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names)
 
@@ -208,11 +234,12 @@ def _runs(bits: int):
             for some in chunks(batch.column(0).to_pylist()):
                 grams, starts = tokens(some)
                 held[0].append(grams)
-                held[1].append(pairs(contexts(grams, starts), grams))
+                for kind, (both, _, valid) in enumerate(longer(grams, starts, order), 1):
+                    held[kind].append(both[valid])
                 size += len(grams)
                 if size >= RUN_TOKENS:
                     yield flush()
-                    held, size = [[], []], 0
+                    held, size = [[] for _ in range(order)], 0
         if size:
             yield flush()
 
@@ -237,25 +264,25 @@ def _summed(table: pa.Table) -> pa.Table:
 class Learned:
     """Segments of filter and counts as a table, and the totals."""
 
-    def __init__(self, segments: DataFrame, bits: int):
-        self.segments, self.bits = segments, bits
+    def __init__(self, segments: DataFrame, bits: int, order: int):
+        self.segments, self.bits, self.order = segments, bits, order
         totals = segments.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
         self.n, self.v = totals
         self.bytes = segments.agg(F.coalesce(F.sum(F.octet_length("bits") + F.octet_length("grams") + F.octet_length("counts")), F.lit(0))).first()[0]
 
 
-def learn(texts: DataFrame, text: str = "text") -> Learned:
-    """Counts of all rows' words and pairs, in segments: 4 for each shuffle partition, 64 at least."""
-    spark = texts.sparkSession
-    bits = max(6, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    runs = texts.select(F.col(text)).mapInArrow(_runs(bits), RUN)
-    return Learned(written(runs.groupBy("kind", "seg").applyInArrow(_summed, SEGMENT), "lm-segments"), bits)
+def learn(texts: DataFrame, text: str = "text", order: int = ORDER) -> Learned:
+    """Counts of all rows' words and longer grams, in segments: 64 of a kind at least, and one for each ``SEGMENT_BYTES`` of text."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    bits = max(6, (size // SEGMENT_BYTES).bit_length())
+    runs = texts.select(F.col(text)).mapInArrow(_runs(bits, order), RUN)
+    return Learned(written(runs.groupBy("kind", "seg").applyInArrow(_summed, SEGMENT), "lm-segments"), bits, order)
 
 
 def _model(learned: Learned) -> Model:
     """The whole model in memory; its size has been checked."""
     filters = []
-    for kind in (0, 1):
+    for kind in range(learned.order):
         rows = learned.segments.filter(F.col("kind") == kind).select("seg", "bits").orderBy("seg").toArrow()
         lengths = np.zeros(1 << learned.bits, np.int64)
         lengths[rows["seg"].to_numpy()] = [len(x.as_buffer()) // 8 for x in rows["bits"]]
@@ -264,14 +291,14 @@ def _model(learned: Learned) -> Model:
         del rows
     rows = learned.segments.filter("kind = 0").select("seg", "grams", "counts").orderBy("seg").toArrow()
     known, counts = (np.concatenate([np.zeros(0, t), *(np.frombuffer(x.as_buffer(), t) for x in rows[c])]) for c, t in (("grams", np.uint64), ("counts", np.int64)))
-    return Model(*filters, known, np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32) if not len(counts) or counts.max() < 1 << 32 else counts, learned.n, learned.v)
+    return Model(filters, known, np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32) if not len(counts) or counts.max() < 1 << 32 else counts, learned.n, learned.v)
 
 
 def score(docs: DataFrame, learned: Learned, key: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` with n_tokens, n_known, base_score and score."""
-    docs = docs.select(*(c for c in docs.columns if c not in OUTPUTS))
+    docs, back = set_aside(docs, key, text, tuple(OUTPUTS))
     if learned.bytes > broadcast_bytes:
-        return _score_by_joins(docs, learned, key, text)
+        return back(_score_by_joins(docs, learned), *OUTPUTS)
     shared = docs.sparkSession.sparkContext.broadcast(_model(learned))
 
     @F.arrow_udf("struct<" + ",".join(f"{k}:{t}" for k, t in OUTPUTS.items()) + ">")
@@ -280,32 +307,42 @@ def score(docs: DataFrame, learned: Learned, key: str = "doc_id", text: str = "t
         kinds = {"long": pa.int64(), "double": pa.float64()}
         return pa.StructArray.from_arrays([pa.array(x, kinds[t]) for x, t in zip(found, OUTPUTS.values())], list(OUTPUTS))
 
-    return docs.withColumn("_lm", run(F.col(text))).select(*docs.columns, "_lm.*")
+    return back(docs.withColumn("lm", run(F.col("text"))), "lm.*")
+
 
+def _gram_rows(order: int):
+    """(rid, g0 .. , h1 .. , n): each text's distinct grams of all lengths that end in one token, with their contexts; null: none so long."""
 
-def _gram_rows(batches):
-    """(rid, w, v, pair, n): each text's distinct pairs."""
-    for batch in batches:
-        rids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-        done = 0
-        for some in chunks(texts):
-            grams, starts = tokens(some)
-            before = contexts(grams, starts)
-            text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(grams)))).astype(np.uint64)
-            rows, counts = np.unique(np.stack([text, grams, before], 1), axis=0, return_counts=True)
-            both = pairs(rows[:, 2], rows[:, 1])
-            cols = [rids[done + rows[:, 0].astype(np.int64)], *(x.astype(np.int64) for x in (rows[:, 1], rows[:, 2], both)), counts]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["rid", "w", "v", "pair", "n"])
-            done += len(some)
+    def run(batches):
+        for batch in batches:
+            rids, done = batch.column(0), 0
+            for some in chunks(batch.column(1).to_pylist()):
+                grams, starts = tokens(some)
+                text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(grams))))
+                cols, valid = [text.astype(np.uint64), grams], []
+                for both, head, good in longer(grams, starts, order):
+                    cols += [np.where(good, both, _U(0)), np.where(good, head, _U(0))]
+                    valid.append(good)
+                _, at, counts = np.unique(np.stack(cols, 1), axis=0, return_index=True, return_counts=True)
+                out = [rids.take(pa.array(done + text[at])), pa.array(grams[at].astype(np.int64))]
+                for k, good in enumerate(valid):
+                    out += [pa.array(cols[2 + 2 * k + i][at].astype(np.int64), mask=~good[at]) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*out, pa.array(counts, pa.int64())], ["rid", "g0", *(f"{c}{k}" for k in range(1, order) for c in "gh"), "n"])
+                done += len(some)
+
+    return run
 
 
-def _score_by_joins(docs: DataFrame, learned: Learned, key: str, text: str) -> DataFrame:
+def _score_by_joins(docs: DataFrame, learned: Learned) -> DataFrame:
     """The same scores without a broadcast: distinct grams meet their segments, and their counts come back by joins."""
-    bits = learned.bits
-    rows = docs.withColumn("_rid", row_id(F.col(key), F.col(text)))
-    grams = written(rows.dropDuplicates(["_rid"]).select("_rid", text).mapInArrow(_gram_rows, "rid long, w long, v long, pair long, n long"), "lm-grams")
-    wanted = grams.select(F.lit(0).alias("kind"), F.col("w").alias("g")).union(grams.select(F.lit(0), "v")).union(grams.select(F.lit(1), "pair")).distinct()
-    wanted = wanted.withColumn("seg", F.shiftrightunsigned("g", 64 - bits).cast("int"))
+    bits, order = learned.bits, learned.order
+    rows = docs.withColumn("rid", row_name(F.col("key"), F.col("text")))
+    names = ["g0", *(f"{c}{k}" for k in range(1, order) for c in "gh")]
+    kind = {name: int(name[1:]) - (name[0] == "h") for name in names}
+    grams = rows.dropDuplicates(["rid"]).select("rid", "text").mapInArrow(_gram_rows(order), f"rid struct<a:long,b:long>, {', '.join(f'{c} long' for c in names)}, n long")
+    grams = written(grams, "lm-grams")
+    wanted = [grams.select(F.lit(kind[c]).alias("kind"), F.col(c).alias("g")).filter("g is not null") for c in names]
+    wanted = reduce(DataFrame.unionByName, wanted).distinct().withColumn("seg", F.shiftrightunsigned("g", 64 - bits).cast("int"))
 
     def ask(asked: pa.Table, segment: pa.Table) -> pa.Table:
         g = asked["g"].to_numpy().astype(np.uint64)
@@ -320,14 +357,18 @@ def _score_by_joins(docs: DataFrame, learned: Learned, key: str, text: str) -> D
 
     found = wanted.groupBy("kind", "seg").cogroup(learned.segments.select("kind", "seg", "bits", "grams", "counts").groupBy("kind", "seg"))
     found = written(found.applyInArrow(ask, "kind int, g long, c double, exact long"), "lm-counts")
-    of = lambda kind, name: found.filter(F.col("kind") == kind).select(F.col("g").alias(name), F.col("c").alias(f"c_{name}"), F.col("exact").alias(f"exact_{name}"))
-    all_ = grams.join(of(0, "w"), "w").join(of(0, "v"), "v").join(of(1, "pair"), "pair")
+    all_ = grams
+    for c in names:
+        all_ = all_.join(found.filter(F.col("kind") == kind[c]).select(F.col("g").alias(c), F.col("c").alias(f"c_{c}"), F.col("exact").alias(f"exact_{c}")), c, "left")
     total = learned.n + ADD * (learned.v + 1)
-    p = (F.col("c_pair") + MU * ((F.col("c_w") + ADD) / total)) / (F.greatest("c_v", "c_pair") + MU)
+    p = (F.col("c_g0") + ADD) / total
+    for k in range(1, order):
+        c = F.col(f"c_g{k}")
+        p = F.when(F.col(f"g{k}").isNull(), p).otherwise((c + MU * p) / (F.greatest(F.col(f"c_h{k}"), c) + MU))
     sums = all_.groupBy("rid").agg(
         F.sum("n").alias("n_tokens"),
-        F.sum(F.when(F.col("exact_w") > 0, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("n") * F.log10((F.col("exact_w") + ADD) / total)).alias("base_score"),
+        F.sum(F.when(F.col("exact_g0") > 0, F.col("n")).otherwise(0)).alias("n_known"),
+        F.sum(F.col("n") * F.log10((F.col("exact_g0") + ADD) / total)).alias("base_score"),
         F.sum(F.col("n") * F.log10(p)).alias("score"),
     )
-    return rows.join(sums.withColumnRenamed("rid", "_rid"), "_rid", "left").select(*docs.columns, *OUTPUTS)
+    return rows.join(sums, "rid", "left")
