@@ -88,7 +88,8 @@ def _summary_text(df):
 
 def _holm(df):
     tests = M.contingency(df).withColumn("p_value", G.chi_square_p("chi_square"))
-    return G.holm(tests, order=["model", "prompt_type"])
+    out = G.holm(tests, order=["model", "prompt_type"])
+    return out.withColumns({c: F.round(c, 9) for c in ("p_value", "p_corrected")})
 
 
 QUERIES = {
@@ -122,6 +123,9 @@ QUERIES = {
     "experiment_outcomes": on_predictions(_outcomes),
 }
 CAT = "count(*) AS n, count(*) FILTER (actual_category = predicted_category) AS correct"
+#: The chance of a larger chi_square of one degree of freedom, by the series of the error function; beyond 50 it is under 1e-11.
+CHI_SQUARE_P = """CASE WHEN chi_square > 50 THEN 0.0 ELSE 1 - list_sum(list_transform(range(0, 200), lambda n: exp(n * 2 * ln(2) + (2 * n + 1) * ln(greatest(sqrt(chi_square / 2), 1e-300)) + lgamma(n + 1) - lgamma(2 * n + 2))))
+  * exp(-chi_square / 2) * 2 / sqrt(pi()) END"""
 SQL = {
     "binary_metrics_by_config": sql(f"""SELECT *, round((tp + tn) / n, 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
   round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1
@@ -146,6 +150,10 @@ SELECT a.model, a.prompt_type, """ + ", ".join(f"round(a.{m}, 4) AS {m}_baseline
     "mcnemar_statistic": sql(f"""WITH {PAIRED}, t AS (SELECT model, prompt_type, count(*) FILTER (base = actual AND context = actual) AS "both", count(*) FILTER (base = actual AND context <> actual) AS only_baseline,
   count(*) FILTER (base <> actual AND context = actual) AS only_context, count(*) FILTER (base <> actual AND context <> actual) AS neither FROM pairs GROUP BY ALL)
 SELECT *, round(coalesce(pow(abs(only_baseline - only_context) - 1.0, 2) / nullif(only_baseline + only_context, 0), 0), 6) AS chi_square FROM t"""),
+    "mcnemar_holm": sql(f"""WITH {PAIRED}, t AS (SELECT model, prompt_type, count(*) FILTER (base = actual AND context = actual) AS "both", count(*) FILTER (base = actual AND context <> actual) AS only_baseline,
+  count(*) FILTER (base <> actual AND context = actual) AS only_context, count(*) FILTER (base <> actual AND context <> actual) AS neither FROM pairs GROUP BY ALL), c AS (SELECT *, round(coalesce(pow(abs(only_baseline - only_context) - 1.0, 2) / nullif(only_baseline + only_context, 0), 0), 6) AS chi_square FROM t),
+  p AS (SELECT *, {CHI_SQUARE_P} AS p_value FROM c), i AS (SELECT *, row_number() OVER (ORDER BY p_value, model, prompt_type) AS i, count(*) OVER () AS m FROM p), h AS (SELECT *, least(max((m - i + 1) * p_value) OVER (ORDER BY i), 1) AS p_corrected FROM i)
+SELECT * EXCLUDE (i, m, p_value, p_corrected), round(p_value, 9) AS p_value, round(p_corrected, 9) AS p_corrected, p_value < 0.05 AS significant, p_corrected < 0.05 AS significant_corrected FROM h"""),
     "macro_f1_by_config": sql(f"""WITH e AS (SELECT {KEYS}, actual_category AS label, 1 AS s, 0 AS p, CAST(actual_category = predicted_category AS INT) AS t FROM predictions
   UNION ALL SELECT {KEYS}, predicted_category, 0, 1, 0 FROM predictions), l AS (SELECT {KEYS}, label, sum(s) AS s, sum(p) AS p, sum(t) AS t FROM e GROUP BY ALL)
 SELECT {KEYS}, count(*) AS labels, round(avg(2 * t / (s + p)), 6) AS macro_f1 FROM l GROUP BY {KEYS}"""),
