@@ -49,8 +49,8 @@ RUN_DOCS, RUN_SHINGLES = 60_000, 1_000_000
 PIVOT_ROUNDS, PAIRS_FOR_EACH, WORTHWHILE = 8, 1, 0.5
 #: Bands of sizes between a set and the largest that it can link with.
 BANDS = 3
-#: Pivots that a set meets in a round.
-FIRST_PIVOTS, PIVOTS = 2, 8
+#: Pivots that a set meets in a round after the first.
+PIVOTS = 8
 
 _U = np.uint64
 PACKED = "to long, chunk long, low binary, high binary, docs binary, keys binary, sizes binary, sets binary"
@@ -271,18 +271,17 @@ def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = sets.select("set", "group")
     places = sets.select("group", "n", "at", "prefix").dropDuplicates(["group"])
     places = places.select("group", "n", "at", F.posexplode("prefix").alias("i", "s")).select("s", "group", "n", (F.col("n") - F.col("at") - F.col("i")).alias("rest"), F.col("at").alias("single"))
-    places = written(places, "jaccard-places")
+    # Shingles of one group's prefix only join nothing.  The pivot of a shingle is first the group with the fewest
+    # unrepeated shingles: that from which the others differ is often among the sets.
+    met = places.groupBy("s").agg(F.min(F.struct("single", F.xxhash64("group").alias("h"), "group")).alias("p"), F.count("*").alias("c")).filter("c > 1").select("s", "p")
+    places = written(places.drop("single").join(met, "s"), "jaccard-places")
     leaders = members.groupBy("group").agg(F.min("set").alias("b"))
     first = members.join(leaders, "group").filter("set != b").select(F.col("set").alias("a"), "b")
     links = written(_verified(first, sets, percent), "jaccard-links")
     labels = _relabelled(sets.select("set", F.col("set").alias("label")), links, 1)
     enough, before = PAIRS_FOR_EACH * members.count(), math.inf
-    # The pivot of a shingle is first the group with the fewest unrepeated shingles: that from which the others differ is often among the sets.
-    drawn = places.groupBy("s").agg(F.min(F.struct("single", F.xxhash64("group").alias("h"), "group")).alias("p"), F.count("*").alias("c")).filter("c > 1").select("s", "p")
-    asked, alive = places.select("s", "group").join(drawn, "s").select("group", "p"), places
+    few, alive = places.groupBy("group").agg(F.min("p").alias("p")).select("group", F.col("p.group").alias("to")), places
     for turn in range(PIVOT_ROUNDS + 1):
-        # Of its shingles' pivots, a set meets the first few.
-        few = asked.groupBy("group").agg(F.array_sort(F.collect_set("p")).alias("p")).select("group", F.explode(F.slice("p.group", 1, FIRST_PIVOTS if turn == 0 else PIVOTS)).alias("to"))
         few = few.join(leaders.withColumnRenamed("group", "to"), "to").select("group", "b")
         label = labels.select(F.col("set").alias("b"), F.col("label").alias("other"))
         pairs = members.join(few, "group").filter("set != b").join(labels, "set").join(label, "b").filter("label != other").select(F.col("set").alias("a"), "b").distinct()
@@ -298,7 +297,9 @@ def linked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
         before = left
         drawn = open_.groupBy("s", "band").agg(F.min(F.struct(F.xxhash64("group", "s", F.lit(turn)).alias("h"), "group")).alias("p"))
-        asked = open_.select("s", "band", "group").join(drawn, ["s", "band"]).select("group", "p")
+        asked = open_.select("s", "band", "group").join(drawn, ["s", "band"])
+        # Of its shingles' pivots, a set meets the first few.
+        few = asked.groupBy("group").agg(F.array_sort(F.collect_set("p")).alias("p")).select("group", F.explode(F.slice("p.group", 1, PIVOTS)).alias("to"))
     x, y = (open_.filter(F.col("side") == i).select("s", "band", *(F.col(c).alias(f"{c}{i}") for c in ("group", "n", "rest", "lo", "hi"))) for i in (0, 1))
     fits = (F.col("n0") * 100 >= F.col("n1") * percent) & _bound(F.least("rest0", "rest1"), F.col("n0"), F.col("n1"), percent)
     met = x.join(y, ["s", "band"]).filter("n0 < n1 or n0 = n1 and group0 <= group1").filter("not (lo0 = hi0 and lo1 = hi1 and lo0 = lo1)").filter(fits).select("group0", "group1").distinct()
