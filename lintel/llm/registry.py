@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("q_lm", "q_chat", "q_media", "q_lines", "q_quality", "q_shards", "q_jaccard", "q_decontaminate", "q_bpe", "q_langid", "q_infill", "q_divergence")
+MODULES = ("q_lm", "q_chat", "q_media", "q_lines", "q_quality", "q_shards", "q_jaccard", "q_decontaminate", "q_bpe", "q_langid", "q_infill", "q_divergence", "q_private")
 
 
 def queries() -> dict:
