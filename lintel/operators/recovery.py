@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lintel.functions.text import unfenced
@@ -45,18 +45,48 @@ def parsed_with_rejects(replies: DataFrame, raw: str = "raw", key: str = "sample
 
 
 def retry_manifest(requests: DataFrame, failed: DataFrame, key: str = "sample_id") -> tuple[DataFrame, DataFrame]:
-    """(requests to ask again, manifest: one row with how many, and their keys in order in ``parts`` of a row each)."""
+    """(requests to ask again, manifest: their keys, a row each, in order); stops if a failed reply has no request."""
     require_empty(failed.join(requests, key, "left_anti").select(key), "failed replies without a request")
     again = written(requests.join(failed.select(key).distinct(), key, "left_semi"), "retry")
     return again, again.select(key).orderBy(key)
 
 
-def retry_parsed(replies: DataFrame, expected: DataFrame, strict: bool = True, raw: str = "raw", key: str = "sample_id", error: str | None = None) -> dict[str, DataFrame]:
-    """Replies to asked keys, read as JSON or else by field: ``parsed`` (key, output, recovered), ``failures`` (key, error) and ``unresolved`` keys.
+def prepared_retry(requests: DataFrame, failed: DataFrame, path: str, key: str = "sample_id", overwrite: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``retry_manifest`` in a folder: what a run has prepared there is used again by the next, whatever failed since.
+
+    The manifest is written after the requests, so requests without one are those
+    of a run that broke off: they are refused.  overwrite: prepare anew.
+    """
+    spark = requests.sparkSession
+    there = {name: _exists(spark, f"{path}/{name}") for name in ("requests", "manifest")}
+    if overwrite or not there["requests"]:
+        again, keys = retry_manifest(requests, failed, key)
+        mode = "overwrite" if overwrite else "errorifexists"
+        again.write.mode(mode).parquet(f"{path}/requests")
+        keys.write.mode(mode).parquet(f"{path}/manifest")
+    elif not there["manifest"]:
+        raise FileExistsError(f"{path}/requests exists but its manifest is missing")
+    return tuple(spark.read.parquet(f"{path}/{name}") for name in ("requests", "manifest"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a writer has finished there, on any file system that Spark reads."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
+def retry_parsed(replies: DataFrame, expected: DataFrame, strict: bool = True, raw: str = "raw", key: str = "sample_id", error: str | None = None, order: str | None = None, line: str | None = None) -> dict[str, DataFrame]:
+    """Replies to asked keys, read as JSON or else by field.
+
+    ``parsed`` (key, output, recovered), ``failures`` (key, error), ``unresolved``
+    keys, and ``recoveries``: which replies were read by field and why (key,
+    json_error).  line: a column that failures and recoveries take along.
 
     Replies to other keys are passed over.  strict: stops at any failure, repeated
-    key or missing key; otherwise the last good reply of a key counts.  error: a
-    column whose text marks a reply as failed.
+    key or missing key.  Otherwise equal good replies of a key count once and
+    different ones stop, unless ``order`` names a column, whose last good reply
+    then counts; a well-formed reply goes before one read by field that is equal.
+    error: a column whose text marks a reply as failed.
     """
     mine = replies.join(expected.select(key).distinct(), key, "left_semi")
     read = recover(mine, raw)
@@ -64,16 +94,35 @@ def retry_parsed(replies: DataFrame, expected: DataFrame, strict: bool = True, r
         read = read.withColumn("error", F.when(F.col(error).isNotNull(), F.concat(F.lit("reported: "), F.col(error))).otherwise(F.col("error")))
         read = read.withColumn("output", F.when(F.col(error).isNull(), F.col("output")))
     read = written(read, "retry-read")
-    good, bad = read.filter("error is null").select(key, "output", "recovered"), read.filter("error is not null").select(key, "error")
+    along = [line] if line else []
+    good, bad = read.filter("error is null"), read.filter("error is not null").select(key, *along, "error")
+    recoveries = good.filter("recovered").select(key, *along, F.lit("not a JSON object").alias("json_error"))
     if strict:
         require_empty(bad, "malformed replies")
         require_empty(good.groupBy(key).count().filter("count > 1"), "repeated replies")
+        good = good.select(key, "output", "recovered")
+    elif order:
+        good = good.groupBy(key).agg(F.max_by(F.struct("output", "recovered"), F.struct(order, ~F.col("recovered"), F.to_json("output"))).alias("g")).select(key, "g.*")
     else:
-        good = good.groupBy(key).agg(F.max_by(F.struct("output", "recovered"), F.struct("recovered", F.to_json("output"))).alias("g")).select(key, "g.*")
+        good = written(good.groupBy(key, "output").agg(F.min("recovered").alias("recovered")), "retry-good")
+        require_empty(good.groupBy(key).count().filter("count > 1"), "different replies to one key")
     unresolved = expected.select(key).distinct().join(good, key, "left_anti")
     if strict:
         require_empty(unresolved, "replies still missing")
-    return {"parsed": good, "failures": bad, "unresolved": unresolved}
+    return {"parsed": good, "failures": bad, "unresolved": unresolved, "recoveries": recoveries}
+
+
+def run_pending(experiments: dict[str, tuple[DataFrame, DataFrame]], run_one: Callable[[str, DataFrame], DataFrame], path: str, key: str = "sample_id", pending_only: bool = True, overwrite: bool = False) -> dict[str, DataFrame | None]:
+    """One run for each experiment (its requests, its failed replies), out of ``path``/name; None where nothing failed.
+
+    pending_only: experiments without a failed reply are passed over; otherwise
+    they are run as well, with no requests.  Each is one job of the caller's.
+    """
+    out: dict[str, DataFrame | None] = {}
+    for name, (requests, failed) in experiments.items():
+        again, keys = prepared_retry(requests, failed, f"{path}/{name}", key, overwrite)
+        out[name] = None if pending_only and not keys.head(1) else run_one(name, again)
+    return out
 
 
 def strict_requests(requests: DataFrame, unresolved: DataFrame, prompt: str = "input", key: str = "sample_id") -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,34 +72,6 @@ def request_lines(df: DataFrame, key: str, prompt: str, model: str, max_tokens:
     return df.withColumn("line", F.to_json(F.struct(sample_name(F.col(key)).alias("custom_id"), F.lit("POST").alias("method"), F.lit("/v1/responses").alias("url"), body.alias("body"))))
 
 
-def chunked(df: DataFrame, by: str, order: str, size: Column, budget: float, max_rows: int | None = None) -> DataFrame:
-    """``chunk`` numbers, from 1, by greedy filling in order: a row that would break the budget opens a chunk.
-
-    Greedy filling is sequential within an experiment, so narrow rows of one
-    experiment stream through one task in order, with two numbers of state; the
-    rows themselves are joined back.
-    """
-    narrow = df.select(F.col(by).cast("string").alias("_by"), F.col(order).cast("string").alias("_key"), F.col(order).alias("_order"), size.cast("double").alias("_size"))
-
-    def fold(batches):
-        last, chunk, total, rows = object(), 0, 0.0, 0
-        for batch in batches:
-            numbers = []
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if name != last:
-                    last, chunk, total, rows = name, 1, 0.0, 0
-                if rows and (total + value > budget or max_rows is not None and rows >= max_rows):
-                    chunk, total, rows = chunk + 1, 0.0, 0
-                total, rows = total + value, rows + 1
-                numbers.append(chunk)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(numbers, pa.int64())], ["_by", "_key", "chunk"])
-
-    ordered = narrow.repartition("_by").sortWithinPartitions("_by", "_order").select("_by", "_size", "_key")
-    numbers = ordered.mapInArrow(fold, "_by string, _key string, chunk long")
-    keyed = df.withColumn("_by", F.col(by).cast("string")).withColumn("_key", F.col(order).cast("string"))
-    return keyed.join(numbers, ["_by", "_key"]).drop("_by", "_key")
-
-
 def submit_by_halves(requests: DataFrame, submit: Callable[[DataFrame], bool], key: str = "sample_id") -> list:
     """Submit all; what fails is halved by the hash of the key and tried again, down to single requests, whose keys are returned.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lintel.functions import structures as S
 from lintel.functions import text as T
 from lintel.operators import evidence as E
+from lintel.operators import filling
 from lintel.operators import prompts as P
 from lintel.operators import responses as R
 from lintel.operators import traces as X
@@ -55,7 +56,7 @@ def _window_fit(df):
 
 def _chunks(budget, most, size):
     def run(df):
-        rows = R.chunked(df.select("id", "lang", "test_code"), "lang", "id", size(F.col("test_code")), budget, most)
+        rows = filling.chunked(df.select("id", "lang", "test_code"), "lang", "id", size(F.col("test_code")), budget, most)
         return rows.groupBy("lang", "chunk").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.sum(F.octet_length("test_code")).alias("bytes"))
 
     return run
@@ -152,6 +153,21 @@ def _resolution(spark, sf_dir):
     return X.resolved_names(names, imports, files)
 
 
+def _filled_groups(spark, sf_dir):
+    """Groups, one of them null, in which keys repeat and some keys and sizes are null."""
+    df = table(spark, sf_dir, "lineitem")
+    rows = df.select(F.when(F.col("l_orderkey") % 300 < 299, F.col("l_orderkey") % 300).alias("g"), F.when(F.col("l_partkey") % 11 > 0, F.col("l_partkey") % 50).alias("k"), F.when(F.col("l_linenumber") < 7, F.col("l_quantity")).alias("v"))
+    out = filling.chunked(rows, "g", "k", F.col("v"), 120, 9)
+    return out.groupBy("g", "chunk").agg(F.count("*").alias("n"), F.sum(F.coalesce("v", F.lit(0))).cast("double").alias("size"), F.min("k").alias("first_key"), F.max("k").alias("last_key"))
+
+
+FILLED_SQL = """WITH RECURSIVE r AS (SELECT CASE WHEN l_orderkey % 300 < 299 THEN l_orderkey % 300 END AS g, CASE WHEN l_partkey % 11 > 0 THEN l_partkey % 50 END AS k, CASE WHEN l_linenumber < 7 THEN CAST(l_quantity AS DOUBLE) ELSE 0 END AS v FROM lineitem),
+  s AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY k NULLS FIRST, v) AS i FROM r),
+  f AS (SELECT g, k, i, v, 1 AS chunk, v AS total, 1 AS rows FROM s WHERE i = 1
+    UNION ALL SELECT s.g, s.k, s.i, s.v, CASE WHEN total + s.v > 120 OR rows + 1 > 9 THEN chunk + 1 ELSE chunk END, CASE WHEN total + s.v > 120 OR rows + 1 > 9 THEN s.v ELSE total + s.v END,
+      CASE WHEN total + s.v > 120 OR rows + 1 > 9 THEN 1 ELSE rows + 1 END FROM f JOIN s ON s.g IS NOT DISTINCT FROM f.g AND s.i = f.i + 1)
+SELECT g, chunk, count(*) AS n, sum(v) AS size, min(k) AS first_key, max(k) AS last_key FROM f GROUP BY g, chunk"""
+
 PROMPT_SQL = """p AS (SELECT id, strategy, context, concat_ws(chr(10) || chr(10), 'You label tests.', 'Say whether the test is flaky.', 'Categories: four.',
   CASE strategy WHEN 'zero_shot' THEN 'Decide at once.' ELSE 'Follow the examples.' END, CASE WHEN strategy = 'few_shot_cot' THEN CASE WHEN context THEN 'Example with context.' ELSE 'Example of code.' END END,
   '## Input', CASE WHEN test_code <> '' THEN '### 1. Test Code' || chr(10) || chr(10) || trim(test_code, ws) END,
@@ -202,6 +218,7 @@ QUERIES = {
     "window_fit": on("cases", _window_fit),
     "token_chunks": on("cases", _chunks(20000, None, S.approximate_tokens)),
     "byte_chunks": on("cases", _chunks(100000, 30, S.line_bytes)),
+    "filled_groups": _filled_groups,
     "request_lines": on("cases", _requests),
     "parse_responses": on("responses", _parsed),
     "rejects": on("responses", _rejects),
@@ -237,6 +254,7 @@ SQL = {
   round(count(*) FILTER (length(prompt) / 4 <= size) * 100.0 / count(*), 4) AS fit_percent FROM p, (VALUES ('a', 700), ('b', 1500), ('c', 131072)) AS w(name, size) GROUP BY ALL"""),
     "token_chunks": _chunk_sql("length(test_code) / 4", 20000, None),
     "byte_chunks": _chunk_sql("strlen(test_code) + 1", 100000, 30),
+    "filled_groups": FILLED_SQL,
     "request_lines": sql("cases", """SELECT id, '{"custom_id":"sample_' || id || '","method":"POST","url":"/v1/responses","body":{"model":"m1","input":"' || lang || '","max_output_tokens":2048}}' AS line FROM cases"""),
     "parse_responses": sql("responses", f"""WITH r AS (SELECT *, {TEXT} AS t FROM responses) SELECT sample_id, t ->> '$.classification' AS classification, t ->> '$.category' AS category, t ->> '$.reasoning' AS reasoning, array_to_string(t ->> '$.evidence[*]', ';') AS evidence FROM r WHERE {OK}"""),
     "rejects": sql("responses", f"WITH r AS (SELECT *, {TEXT} AS t FROM responses) SELECT sample_id, 'not a JSON object' AS error, md5(raw) AS raw_md5 FROM r WHERE NOT {OK}"),

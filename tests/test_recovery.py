@@ -100,3 +100,39 @@ def test_scoring_one_by_one(spark):
     got = {r.prompt: r for r in V.with_error_rows(V.scored(rows, client)).collect()}
     assert got["good"].output.category == "Time Dependent" and got["good"].latency_ms is not None
     assert tuple(got["bad"].output)[:3] == ("ERROR", "ERROR", "down")
+
+
+def test_repeated_keys_in_best_effort(spark):
+    """Equal replies count once, the well-formed one first; different ones stop, unless an order says which came last."""
+    asked = keys(spark, "a")
+    same = V.retry_parsed(replies(spark, ("a", GOOD), ("a", GOOD), ("a", "no")), asked, strict=False)
+    assert [tuple(r)[2] for r in same["parsed"].collect()] == [False]
+    with pytest.raises(ValueError, match="different replies"):
+        V.retry_parsed(replies(spark, ("a", GOOD), ("a", FIELDS)), asked, strict=False)
+    for last, recovered in ((GOOD, False), (FIELDS, True)):
+        first = FIELDS if last == GOOD else GOOD
+        rows = spark.createDataFrame([("a", first, 1), ("a", last, 2), ("a", "no", 3)], "sample_id string, raw string, at int")
+        got = V.retry_parsed(rows, asked, strict=False, order="at", line="at")
+        assert [r.recovered for r in got["parsed"].collect()] == [recovered]
+        assert [tuple(r) for r in got["failures"].select("sample_id", "at").collect()] == [("a", 3)]
+        assert [tuple(r) for r in got["recoveries"].collect()] == [("a", 2 if recovered else 1, "not a JSON object")]
+
+
+def test_prepared_retries_are_used_again(spark, tmp_path):
+    requests = spark.createDataFrame([("a", "p"), ("b", "q")], "sample_id string, input string")
+    first = V.prepared_retry(requests, keys(spark, "b"), f"{tmp_path}/r")
+    again = V.prepared_retry(requests, keys(spark, "a", "b"), f"{tmp_path}/r")
+    for got in (first, again):
+        assert [tuple(r) for r in got[0].collect()] == [("b", "q")] and [r.sample_id for r in got[1].collect()] == ["b"]
+    assert V.prepared_retry(requests, keys(spark, "a", "b"), f"{tmp_path}/r", overwrite=True)[1].count() == 2
+    requests.write.parquet(f"{tmp_path}/broken/requests")
+    with pytest.raises(FileExistsError, match="manifest"):
+        V.prepared_retry(requests, keys(spark, "a"), f"{tmp_path}/broken")
+
+
+@pytest.mark.parametrize("pending", [True, False])
+def test_pending_runs(spark, tmp_path, pending):
+    requests = spark.createDataFrame([("a", "p"), ("b", "q")], "sample_id string, input string")
+    some = {"x": (requests, keys(spark, "b")), "y": (requests, keys(spark, "z").limit(0))}
+    out = V.run_pending(some, lambda name, again: again, f"{tmp_path}/{pending}", pending_only=pending)
+    assert out["x"].count() == 1 and (out["y"] is None if pending else out["y"].count() == 0)
