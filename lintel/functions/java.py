@@ -1,8 +1,17 @@
-"""Structure of Java code that no expression can follow: Python runs in Arrow batches."""
+"""Structure of Java code that no expression can follow: one scan of a file gives all its classes and methods.
+
+A method is a name with a parenthesis behind it and, before it, white space and a
+word (a type or modifier, not ``new``), a closed generic or an array bracket.  Its
+body is opened by the first brace behind the name, unless a semicolon comes first.
+It begins behind the last semicolon or brace before the name; comments there belong
+to it, whatever signs they hold.  Of several of one name the first counts, with a
+body or not.  Braces and semicolons of literals and comments are no such signs.
+"""
 
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -10,8 +19,30 @@ from pyspark.sql import functions as F
 
 _HIDDEN = re.compile(r""""(?:[^"\\]|\\(?:[\s\S]|\Z))*(?:"|\Z)|'(?:[^'\\]|\\(?:[\s\S]|\Z))*(?:'|\Z)|//[^\n]*|/\*[\s\S]*?(?:\*/|\Z)""")
 _NOT_LINE_END = re.compile(r"[^\n]")
-_BRACE = re.compile(r"[{}]")
-_MODIFIER = r"(?<!\.)\b(?:public|protected|private|static|final|synchronized|void|(?!new\b)[\w<>\[\]\.]+)\s+"
+#: What the scan stops at: a class with its name, a sign, or a name and its parenthesis.
+_STOPS = re.compile(r"(?<![\w$.])(?P<kind>class|interface|enum|record)\s+(?P<type>[\w$]+)|(?P<sign>[{};])|(?P<name>[\w$]+)\s*\(")
+_LAST_WORD = re.compile(r"[\w$]+\Z")
+_WORDS = re.compile(r"[\w$.]+")
+
+
+class Method(NamedTuple):
+    """A declaration: where its name stands, where it begins and ends, the classes around it, how deep it lies, and its modifiers and type."""
+
+    name: str
+    at: int
+    start: int
+    end: int | None
+    inside: str
+    depth: int
+    head: tuple[str, ...]
+
+
+class Type(NamedTuple):
+    name: str
+    kind: str
+    parent: str | None
+    inside: str
+    at: int
 
 
 def _blank(found: re.Match) -> str:
@@ -24,28 +55,86 @@ def masked_code(code: str) -> str:
     return _HIDDEN.sub(_blank, code)
 
 
-def method_body(code: str, name: str, search_masked: bool = False) -> str | None:
-    """The first method of that name, from its modifiers to its last brace; null if there is none or it isn't closed.
+def _declared(seen: str, at: int) -> bool:
+    """Whether what stands before the name at ``at`` is a type or modifier."""
+    end = at
+    while end and seen[end - 1].isspace():
+        end -= 1
+    if end == at or not end:
+        return False
+    if seen[end - 1] in ">]":
+        return True
+    word = _LAST_WORD.search(seen, max(0, end - 256), end)
+    return bool(word) and word[0] != "new"
+
+
+def _parent(header: str) -> str | None:
+    """The class behind ``extends`` in what follows a class's name, generics left out."""
+    plain, depth = [], 0
+    for c in header:
+        depth += c == "<"
+        plain.append(c if not depth and c not in "<>" else " ")
+        depth -= c == ">" and depth > 0
+    words = _WORDS.findall("".join(plain))
+    return words[words.index("extends") + 1] if "extends" in words[:-1] else None
 
-    search_masked: whether the declaration is looked for in masked code, rather than in the code as it is.
+
+def outline(code: str, masked: str | None = None, search_masked: bool = True) -> tuple[list[Type], list[Method]]:
+    """All classes and declared methods of a file, in order, from one scan; ``end`` is None without a body that is closed.
+
+    search_masked: whether names are looked for in masked code, rather than in the
+    code as it is; signs are always those of masked code.
     """
-    masked = masked_code(code)
+    masked = masked_code(code) if masked is None else masked
+    stops = _STOPS.finditer(masked)
+    if not search_masked:
+        signs = [m for m in _STOPS.finditer(masked) if m["sign"] or m["kind"]]
+        stops = sorted([*signs, *(m for m in _STOPS.finditer(code) if m["name"])], key=re.Match.start)
     seen = masked if search_masked else code
-    found = re.search(_MODIFIER + re.escape(name) + r"\b\s*\(", seen)
-    if not found:
-        return None
-    at = re.compile(rf"\b{re.escape(name)}\b").search(seen, found.start())
-    at = at.start() if at else found.start()
-    opened, ended = masked.find("{", at), masked.find(";", at)
-    if opened < 0 or 0 <= ended < opened:
+    types: list[Type] = []
+    methods: list[Method] = []
+    stack: list[tuple[str | None, list[int]]] = []
+    path: list[str] = []
+    named, waiting, begin = None, [], 0
+    for m in stops:
+        sign = m["sign"]
+        if sign is None:
+            inside = "$".join(path)
+            if m["kind"]:
+                named = m
+            elif _declared(seen, m.start()):
+                waiting.append(len(methods))
+                head = tuple(_WORDS.findall(masked[begin : m.start()]))
+                methods.append(Method(m["name"], m.start(), begin, None, inside, len(stack), head))
+            continue
+        if sign == "{":
+            if named:
+                types.append(Type(named["type"], named["kind"], _parent(masked[named.end() : m.start()]), "$".join(path), named.start()))
+                path.append(named["type"])
+            stack.append((named and named["type"], waiting))
+        elif sign == "}" and stack:
+            name, opened = stack.pop()
+            if name:
+                path.pop()
+            for i in opened:
+                methods[i] = methods[i]._replace(end=m.end())
+        if sign != "}":
+            named, waiting = None, []
+        begin = m.end()
+    if named:  # a class whose brace is missing
+        types.append(Type(named["type"], named["kind"], _parent(masked[named.end() :]), "$".join(path), named.start()))
+    return types, methods
+
+
+def body(code: str, method: Method | None) -> str | None:
+    return None if method is None or method.end is None else code[method.start : method.end].strip()
+
+
+def method_body(code: str, name: str, search_masked: bool = False) -> str | None:
+    """The first method of that name, from its modifiers to its last brace; null if there is none or it has no closed body."""
+    if name not in code:
         return None
-    depth = 0
-    for brace in _BRACE.finditer(masked, opened):
-        depth += 1 if brace.group() == "{" else -1
-        if not depth:
-            start = max(code.rfind(c, 0, at) for c in ";{}") + 1
-            return code[start : brace.end()].strip()
-    return None
+    return body(code, next((m for m in outline(code, None, search_masked)[1] if m.name == name), None))
 
 
 def mask(code: Column) -> Column:
@@ -67,3 +156,36 @@ def method(code: Column, name: Column, search_masked: bool = False) -> Column:
         return pa.array([None if c is None or n is None else method_body(c, n, search_masked) for c, n in both], pa.string())
 
     return run(code, name)
+
+
+#: One scan's result: ``first`` marks the first method of a name, ``first_open`` the first with a body that other classes may call.
+OUTLINE = "struct<masked:string,types:array<struct<name:string,kind:string,parent:string,inside:string>>,methods:array<struct<name:string,inside:string,depth:int,at:int,first:boolean,first_open:boolean,constructor:boolean,body:string>>>"
+
+
+def _row(code: str, search_masked: bool) -> dict:
+    masked = masked_code(code)
+    types, methods = outline(code, masked, search_masked)
+    names: set[str] = set()
+    open_names: set[str] = set()
+    rows = []
+    for m in methods:
+        is_open = ("public" in m.head or "protected" in m.head) and m.end is not None and m.name not in open_names
+        made = m.name == m.inside.rpartition("$")[2]
+        rows.append({"name": m.name, "inside": m.inside, "depth": m.depth, "at": m.at, "first": m.name not in names, "first_open": is_open, "constructor": made, "body": body(code, m)})
+        names.add(m.name)
+        if is_open:
+            open_names.add(m.name)
+    return {"masked": masked, "types": [t._asdict() for t in types], "methods": rows}
+
+
+def outlined(code: Column, search_masked: bool = False) -> Column:
+    """``OUTLINE`` of a column: masked code, classes and methods; null stays."""
+    type_ = pa.struct([("name", pa.string()), ("kind", pa.string()), ("parent", pa.string()), ("inside", pa.string())])
+    method_ = pa.struct([("name", pa.string()), ("inside", pa.string()), ("depth", pa.int32()), ("at", pa.int32()), ("first", pa.bool_()), ("first_open", pa.bool_()), ("constructor", pa.bool_()), ("body", pa.string())])
+    whole = pa.struct([("masked", pa.string()), ("types", pa.list_(type_)), ("methods", pa.list_(method_))])
+
+    @F.arrow_udf(OUTLINE)
+    def run(codes: pa.Array) -> pa.Array:
+        return pa.array([None if c is None else _row(c, search_masked) for c in codes.to_pylist()], whole)
+
+    return run(code)

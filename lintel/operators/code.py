@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lintel.functions import java as J
 from lintel.functions import text as T
+from lintel.functions.structures import once
 from lintel.operators.traces import ancestors
 from lintel.storage import written
 
@@ -27,19 +28,15 @@ TOO_COMMON = T.NOT_HELPERS + [
 NOT_METHODS = ["class", "interface", "enum", "new", "throws", "return", "if", "for", "while", "switch", "catch"]
 SOURCE_ROOTS = ["src/main/java/", "src/test/java/", "src/", "source/", "tests/"]
 COMMON_CLASSES = ["com.alibaba.fastjson.JSON", "com.alibaba.fastjson2.JSON", "com.fasterxml.jackson.databind.ObjectMapper", "com.google.gson.Gson"]
-#: Declarations that may be called from outside: the name of the method, or of the class for a constructor.
-OPEN_METHOD = r"\b(?:public|protected)\s+(?:(?:static|final|synchronized)\s+)*[\w<>\[\].]+\s+(\w+)\s*\("
-OPEN_CONSTRUCTOR = r"\b(?:public|protected)\s+(\w+)\s*\("
-DECLARED = r"\b(?:public|protected|private|static|final|void|[\w<>\[\]]+)\s+(\w+)\s*\("
 
 
 def simple_name(fqn: Column) -> Column:
     return F.regexp_extract(fqn, r"([^.$]*)$", 1)
 
 
-def declared_methods(masked: Column) -> Column:
-    """Sorted names before which a type or modifier stands."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(masked, F.lit(DECLARED), F.lit(1))))
+def declared_methods(methods: Column) -> Column:
+    """Sorted names of an outline's methods."""
+    return F.array_sort(F.array_distinct(F.transform(methods, lambda m: m["name"])))
 
 
 def without_orphan_comments(patch: Column) -> Column:
@@ -57,12 +54,25 @@ def fqn_of_path(path: Column, source_dir: Column) -> Column:
     return F.replace(F.regexp_replace(rest, r"\.[^./]*$", ""), F.lit("/"), F.lit("."))
 
 
-def classes(files: DataFrame) -> DataFrame:
-    """repo, fqn, code, masked, package, imports and parent (full name or null) of every file."""
-    out = files.select("repo", "fqn", "code", J.mask(F.col("code")).alias("masked"))
+def classes(files: DataFrame, search_masked: bool = False) -> DataFrame:
+    """One row for each repo and fqn, from one scan of its code: masked, package, imports, parent (full name or null), variables, types and methods.
+
+    Of repeated files the one with the least path counts, or the least code where
+    there is no path.  search_masked: whether methods are looked for in masked code.
+    """
+    order = [c for c in ("path",) if c in files.columns]
+    one = files.groupBy("repo", "fqn").agg(F.min(F.struct(*order, "code")).alias("f")).select("repo", "fqn", "f.code")
+    out = one.withColumn("o", once(J.outlined(F.col("code"), search_masked))).select("repo", "fqn", "code", "o.*")
     masked, own = F.col("masked"), F.col("fqn")
-    parent = F.nullif(T.parent_fqn(masked, T.parent_class(masked)["parent"], own), own)
-    return written(out.select("*", T.package(masked).alias("package"), T.imports(masked).alias("imports"), parent.alias("parent")), "classes")
+    name = F.get(F.filter("types", lambda t: t["kind"] == "class"), F.lit(0))["parent"]
+    parent = F.nullif(T.parent_fqn(masked, name, own), own)
+    found = out.select("repo", "fqn", "code", "masked", T.package(masked).alias("package"), T.imports(masked).alias("imports"), parent.alias("parent"), T.variable_types(masked).alias("variables"), "types", "methods")
+    return written(found, "classes")
+
+
+def method_index(found: DataFrame) -> DataFrame:
+    """(repo, fqn, name, inside, depth, at, first, first_open, constructor, body) of every declared method."""
+    return found.select("repo", "fqn", F.explode("methods").alias("m")).select("repo", "fqn", "m.*")
 
 
 def hierarchy(found: DataFrame, most: int | None = None) -> DataFrame:
@@ -77,12 +87,15 @@ def hierarchy(found: DataFrame, most: int | None = None) -> DataFrame:
 
 
 def methods(asked: DataFrame, chain: DataFrame, found: DataFrame) -> DataFrame:
-    """(repo, class, method, owner, body): each asked method's body in the nearest class of the chain that has it."""
-    code = found.select("repo", F.col("fqn").alias("owner"), "code")
+    """(repo, class, method, owner, body): each asked method's body in the nearest class of the chain that has it.
+
+    Names are looked up in the index first; bodies follow for what was found only.
+    """
+    index = method_index(found).filter("first and body is not null").withColumnRenamed("fqn", "owner")
     name = F.when(F.col("method") == "<init>", simple_name(F.col("class"))).otherwise(F.col("method"))
-    tried = asked.select("repo", "class", "method").distinct().join(chain, ["repo", "class"]).join(code, ["repo", "owner"]).withColumn("body", J.method(F.col("code"), name))
-    best = tried.filter("body is not null").groupBy("repo", "class", "method").agg(F.min_by(F.struct("owner", "body"), "level").alias("b"))
-    return best.select("repo", "class", "method", "b.*")
+    tried = asked.select("repo", "class", "method", name.alias("name")).distinct().join(chain, ["repo", "class"]).join(index.select("repo", "owner", "name"), ["repo", "owner", "name"])
+    best = tried.groupBy("repo", "class", "method", "name").agg(F.min(F.struct("level", "owner"))["owner"].alias("owner"))
+    return best.join(index.select("repo", "owner", "name", "body"), ["repo", "owner", "name"]).select("repo", "class", "method", "owner", "body")
 
 
 def _map_of(key: str, value: str) -> Column:
@@ -106,9 +119,10 @@ def patch_code(patches: DataFrame) -> DataFrame:
     out = patches.withColumn("alone", alone).withColumn("test_code", F.coalesce("alone", J.method(F.col("context"), F.col("method")))).filter("test_code is not null")
     out = out.withColumn("source", F.when(F.col("alone").isNotNull(), F.col("removed")).otherwise(F.col("context")))
     called = F.array_except(T.helper_calls(J.mask(F.col("test_code"))), F.array("method", *map(F.lit, ["get", "set", "size", "add", "put", "remove", "contains", "isEmpty"])))
-    calls = out.select("test_id", "source", F.explode(F.array_intersect(called, declared_methods(J.mask(F.col("source"))))).alias("name"))
-    helpers = calls.withColumn("body", J.method(F.col("source"), F.col("name"))).filter("body is not null").groupBy("test_id").agg(_map_of("name", "body").alias("helpers"))
-    return out.select("test_id", "test_code").join(helpers, "test_id", "left").withColumn("helpers", F.coalesce("helpers", F.create_map().cast("map<string,string>")))
+    out = out.withColumns({"called": once(called), "declared": once(J.outlined(F.col("source")))})
+    helpers = F.filter("declared.methods", lambda m: m["first"] & m["body"].isNotNull() & F.array_contains("called", m["name"]))
+    entries = F.array_sort(F.transform(helpers, lambda m: F.struct(m["name"].alias("key"), m["body"].alias("value"))))
+    return out.select("test_id", "test_code", F.map_from_entries(entries).alias("helpers"))
 
 
 def test_files(tests: DataFrame, files: DataFrame) -> DataFrame:
@@ -129,11 +143,11 @@ def test_files(tests: DataFrame, files: DataFrame) -> DataFrame:
 
 def _scope(chain: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What a class and those it extends make known: imports, packages and variables' types, the nearest first."""
-    all_ = chain.join(found.select("repo", F.col("fqn").alias("owner"), "imports", "package", "masked"), ["repo", "owner"])
+    all_ = chain.join(found.select("repo", F.col("fqn").alias("owner"), "imports", "package", "variables"), ["repo", "owner"])
     imports = all_.select("repo", "class", "level", F.explode("imports").alias("import")).withColumn("name", simple_name(F.col("import")))
     imports = imports.groupBy("repo", "class", "name").agg(F.min(F.struct("level", "import")).alias("x")).select("repo", "class", "name", F.col("x.import").alias("fqn"))
     packages = all_.groupBy("repo", "class", "package").agg(F.min("level").alias("level"))
-    types = all_.select("repo", "class", "level", F.explode(T.variable_types(F.col("masked"))).alias("variable", "type"))
+    types = all_.select("repo", "class", "level", F.explode("variables").alias("variable", "type"))
     types = types.groupBy("repo", "class", "variable").agg(F.min(F.struct("level", "type")).alias("x")).select("repo", "class", "variable", F.col("x.type").alias("type"))
     return imports, packages, types
 
@@ -168,13 +182,10 @@ def static_calls(bodies: DataFrame, chain: DataFrame, found: DataFrame) -> DataF
 
 
 def public_methods(found: DataFrame) -> DataFrame:
-    """(repo, fqn, method, body): the public and protected methods of every class, its constructor as <init>."""
-    own = simple_name(F.col("fqn"))
-    names = F.array_except(F.regexp_extract_all("masked", F.lit(OPEN_METHOD), F.lit(1)), F.array(*map(F.lit, NOT_METHODS)))
-    built = F.array_contains(F.regexp_extract_all("masked", F.lit(OPEN_CONSTRUCTOR), F.lit(1)), own)
-    each = found.select("repo", "fqn", "code", F.explode(F.concat(names, F.when(built, F.array(F.lit("<init>"))).otherwise(F.array().cast("array<string>")))).alias("method"))
-    body = J.method(F.col("code"), F.when(F.col("method") == "<init>", own).otherwise(F.col("method")))
-    return each.withColumn("body", body).filter("body is not null").select("repo", "fqn", "method", "body")
+    """(repo, fqn, method, body): the first public or protected method of each name in every class, its constructor as <init>."""
+    own = F.col("name") == simple_name(F.col("fqn"))
+    each = method_index(found).filter("first_open").filter(own | ~F.col("constructor")).filter(~F.col("name").isin(NOT_METHODS))
+    return each.select("repo", "fqn", F.when(own, "<init>").otherwise(F.col("name")).alias("method"), "body")
 
 
 def _nested(rows: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ The SQL reads the same fixture tables but knows only the rule by which they were
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lintel.functions import java as J
@@ -48,7 +49,24 @@ def _tests(spark, sf_dir):
 def _structure(spark, sf_dir):
     found = C.classes(_files(spark, sf_dir).select("repo", "fqn", "code"))
     m = F.col("masked")
-    return found.select("fqn", "package", F.array_join("imports", ",").alias("imports"), F.coalesce("parent", F.lit("")).alias("parent"), F.array_join(C.declared_methods(m), ",").alias("declared"), F.array_join(T.helper_calls(m), ",").alias("calls"), T.variable_types(m)["v"].alias("type_of_v"))
+    return found.select("fqn", "package", F.array_join("imports", ",").alias("imports"), F.coalesce("parent", F.lit("")).alias("parent"), F.array_join(C.declared_methods(F.col("methods")), ",").alias("declared"), F.array_join(T.helper_calls(m), ",").alias("calls"), F.col("variables")["v"].alias("type_of_v"))
+
+
+#: Document k as a Java file: its whole text in comments and literals, generics, overloads, a nested class, an abstract method, and for some a brace too few or two files of one class.
+AWKWARD = """SELECT k, 'a.D' || CAST(k % 997 AS STRING) AS fqn, 'z' || CAST(k AS STRING) AS path, 'package a;' || chr(10) || '/* class Old {{ ' || replace(t, '*/', '') || ' */ public class D extends Base<List<Map<String, D>>> {{' || chr(10)
+  || '  // see; above {{' || chr(10) || '  @Override public Map<String, List<String>> run(int a) {{ // ' || replace(t, chr(10), ' ') || chr(10) || '    if (a > 0) {{ return one("}}{{;" + ' || CAST(length(t) AS STRING) || '); }} return null; }}' || chr(10)
+  || '  protected int[] one(String s) {{ char c = chr(34) ; return new int[] {{ s.length() }}; }}' || chr(10) || '  private void one(int i) {{ while (i > 0) {{ i--; }} }}' || chr(10)
+  || '  static class In {{ In() {{ }} public <T> T deep(T x) {{ String q = "' || replace(replace(replace(t, chr(92), ''), chr(34), ''), chr(10), ' ') || '"; return x; }} abstract void none(); }}' || chr(10)
+  || '  void last() {{ run(1); }}' || chr(10) || CASE WHEN k % 10 = 3 THEN '' ELSE '}}' END AS code
+FROM (SELECT doc_id AS k, coalesce(text, '') AS t FROM {documents}) AS d"""
+
+
+def _method_index(spark, sf_dir):
+    files = on("documents", AWKWARD)(spark, sf_dir).select(F.lit("r").alias("repo"), "fqn", "path", "code")
+    index = C.method_index(C.classes(files, search_masked=True))
+    marks = F.when(F.col("body").isNotNull(), F.size(F.regexp_extract_all(J.mask(F.col("body")), F.lit("[{};]"), F.lit(0))).cast("long"))
+    place = F.row_number().over(Window.partitionBy("fqn").orderBy("at")).cast("long")
+    return index.select("fqn", place.alias("place"), "name", F.col("depth").cast("long").alias("depth"), marks.alias("marks"), "first")
 
 
 def _hierarchy(spark, sf_dir):
@@ -193,6 +211,7 @@ def _preprocessed(spark, sf_dir, checks=False):
 
 QUERIES = {
     "class_structure": _structure,
+    "method_index": _method_index,
     "class_hierarchy": _hierarchy,
     "parent_only": _one_level,
     "cases_with_code": _cases_with_code,
@@ -218,6 +237,16 @@ SQL = {
     "class_structure": f"""WITH {SOURCES} SELECT fqn, 'com.acme.p' || k % 5 AS package, 'org.junit.Assert.fail,' || {NAME.format("k + 3")} AS imports, CASE WHEN up > 0 THEN {NAME.format("k - 15")} ELSE '' END AS parent,
   array_to_string(list_sort(list_filter(['C' || k, CASE WHEN up = 0 THEN 'base' END, CASE WHEN up = 0 OR k % 2 = 0 THEN 'helper' END, 'run' || k], lambda x: x IS NOT NULL)), ',') AS declared,
   array_to_string(list_sort(list_filter(['C' || k, CASE WHEN up = 0 THEN 'base' END, CASE WHEN up = 0 OR k % 2 = 0 THEN 'helper' END, 'length', CASE WHEN up = 0 THEN 'missing' END, 'run' || k], lambda x: x IS NOT NULL)), ',') AS calls, 'C' || (k + 3) AS type_of_v FROM s""",
+    "method_index": f"""WITH f AS ({AWKWARD.format(documents="documents")}), u AS (SELECT fqn, min_by(code, path) AS code FROM f GROUP BY fqn),
+  m AS (SELECT fqn, regexp_replace(code, '"(?:[^"\\\\]|\\\\.)*"|//[^\\n]*|/\\*.*?\\*/', ' ', 'gs') AS code FROM u),
+  l AS (SELECT fqn, regexp_extract_all(code, '[{{}};]|(?:[a-zA-Z0-9_$]+|[>\\]])\\s+[a-zA-Z0-9_$]+\\s*\\(') AS s FROM m),
+  t AS (SELECT fqn, i, s[i] AS x FROM (SELECT fqn, s, unnest(range(1, len(s) + 1)) AS i FROM l)),
+  d AS (SELECT *, sum(CASE x WHEN '{{' THEN 1 WHEN '}}' THEN -1 ELSE 0 END) OVER (PARTITION BY fqn ORDER BY i) AS after, length(x) = 1 AS sign FROM t),
+  n AS (SELECT *, min(CASE WHEN x IN ('{{', ';') THEN i END) OVER (PARTITION BY fqn ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM d),
+  c AS (SELECT n.fqn, n.i, regexp_extract(n.x, '([a-zA-Z0-9_$]+)\\s*\\($', 1) AS name, n.after AS depth, o.x = '{{' AS opened, n.next FROM n LEFT JOIN d o ON o.fqn = n.fqn AND o.i = n.next WHERE NOT n.sign AND NOT regexp_matches(n.x, '^new\\s')),
+  e AS (SELECT c.fqn, c.i, c.name, c.depth, c.next, min(d.i) AS shut FROM c LEFT JOIN d ON c.opened AND d.fqn = c.fqn AND d.i > c.next AND d.x = '}}' AND d.after = c.depth GROUP BY ALL),
+  w AS (SELECT e.fqn, e.i, e.name, e.depth, e.shut, count(d.i) AS marks FROM e LEFT JOIN d ON d.fqn = e.fqn AND d.sign AND d.i BETWEEN e.next AND e.shut GROUP BY ALL)
+SELECT fqn, row_number() OVER (PARTITION BY fqn ORDER BY i) AS place, name, CAST(depth AS BIGINT) AS depth, CASE WHEN shut IS NOT NULL THEN marks END AS marks, row_number() OVER (PARTITION BY fqn, name ORDER BY i) = 1 AS first FROM w""",
     "class_hierarchy": f"WITH {SOURCES} SELECT fqn AS class, {NAME.format('k - 15 * l')} AS owner, l AS level FROM (SELECT *, unnest(range(0, up + 1)) AS l FROM s)",
     "parent_only": f"WITH {SOURCES} SELECT fqn AS class, {NAME.format('k - 15')} AS owner FROM s WHERE up > 0",
     "cases_with_code": f"WITH {SOURCES} SELECT k AS test_id, {BASE.format('(k - 15 * up)')} AS test_code, 'helper' AS names, {HELPER} AS bodies FROM s",

@@ -268,7 +268,7 @@ SELECT *, CASE WHEN unresolved = 0 THEN 'complete' WHEN recovered > 0 THEN 'part
     "trace_modes": sql("rounds", f"WITH {MODES} SELECT test, md5(key) AS key, n, first, md5(trace) AS trace FROM m"),
     "top_failure_mode": sql("rounds", f"WITH {MODES} SELECT test, n, md5('Failed Rounds: ' || n || '/10' || chr(10) || trace) AS log FROM m QUALIFY row_number() OVER (PARTITION BY test ORDER BY n DESC, first, key) = 1"),
     "trace_keys": sql("cases", f"SELECT id, md5({KEY}) AS key FROM (SELECT id, {LINES.format(c='failure_log')} AS ls FROM cases)"),
-    "stack_frames": sql("cases", r"""WITH x AS (SELECT DISTINCT id, unnest(regexp_extract_all(failure_log, 'at\s+[\w.$]+\.[\w$<>]+\(')) AS f FROM cases), y AS (SELECT id, regexp_extract(f, 'at\s+([\w.$]+)\.[\w$<>]+\(', 1) AS class, regexp_extract(f, '\.([\w$<>]+)\($', 1) AS method FROM x)
+    "stack_frames": sql("cases", r"""WITH x AS (SELECT DISTINCT id, unnest(regexp_extract_all(failure_log, 'at\s+[\w.$]+\.[\w$<>]+\([\w.]+[.]java:[0-9]+\)')) AS f FROM cases), y AS (SELECT id, regexp_extract(f, 'at\s+([\w.$]+)\.[\w$<>]+\(', 1) AS class, regexp_extract(f, '\.([\w$<>]+)\(', 1) AS method FROM x)
 SELECT DISTINCT * FROM y WHERE method NOT IN ('<init>', '<clinit>') AND NOT regexp_matches(lower(class), '^(java|javax|sun)\.') AND NOT regexp_matches(class, '^(org\.(junit|mockito|hamcrest|easymock|jacoco|testng|assertj)|junit\.framework|com\.google\.common\.truth)\.')"""),
     "class_ancestors": """WITH RECURSIVE a AS (SELECT c_custkey AS child, c_custkey // 2 AS ancestor, 1 AS level FROM customer WHERE c_custkey > 1
   UNION ALL SELECT child, ancestor // 2, level + 1 FROM a WHERE ancestor > 1) SELECT child, ancestor, CAST(level AS BIGINT) AS level FROM a""",
