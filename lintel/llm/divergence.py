@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lintel.llm.words import small
 from lintel.storage import written
 
 SCALE = 1_000_000_000
@@ -99,8 +100,10 @@ class Counted:
         counted = rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
         counts = written(counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "divergence-counts")
         kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("all"), F.sum("docs").alias("docs")).filter(F.col("docs") >= least)
-        chunks = kept.groupBy("lang").agg(F.count("*").alias("v")).select("lang", F.ceil(F.col("v") / CHUNK).alias("chunks"))
-        kept = kept.join(chunks, "lang").withColumn("chunk", F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int"))
+        kept = written(kept.drop("docs"), "divergence-vocabulary")
+        # One row for each language: tables of languages are broadcast, as a language may have most rows of the other side.
+        chunks = written(kept.groupBy("lang").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "divergence-chunks")
+        kept = kept.join(small(chunks), "lang").withColumn("chunk", F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int"))
         # A chunk has about CHUNK terms, by their hashes.
         kept = kept.withColumn("at", F.row_number().over(Window.partitionBy("lang", "chunk").orderBy("term")) - 1)
         self.terms = written(kept.select("lang", "term", "all", "chunk", "at"), "divergence-terms")
@@ -108,12 +111,12 @@ class Counted:
         sizes = self.terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all").alias("all_n"))
         here = written(rows.select("lang", "source").distinct(), "divergence-names")
         blocks = here.groupBy("lang").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        self.langs = written(blocks.join(sizes, "lang", "left").na.fill(0, ["v", "all_n"]), "divergence-langs")
+        self.langs = small(written(blocks.join(sizes, "lang", "left").na.fill(0, ["v", "all_n"]), "divergence-langs"))
         self.counts = written(counts.drop("docs").join(self.terms, ["lang", "term"]), "divergence-kept")
         totals = self.counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
         groups = here.join(totals, ["lang", "source"], "left").na.fill(0, ["total"]).join(self.langs, "lang")
         block = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int")
-        self.groups = written(groups.select("lang", "source", "total", "v", "blocks", block.alias("block")), "divergence-groups")
+        self.groups = small(written(groups.select("lang", "source", "total", "v", "blocks", block.alias("block")), "divergence-groups"))
 
 
 def _tiles(rows: DataFrame) -> DataFrame:
@@ -173,9 +176,9 @@ def _swept(batches):
 def pairs(counted: Counted) -> DataFrame:
     """lang, source, item (another source) and value."""
     sizes = counted.terms.groupBy("lang", "chunk").agg(F.count("*").cast("int").alias("size"))
-    stripes = sizes.groupBy("lang", F.floor(F.col("chunk") / STRIPE).cast("int").alias("stripe")).agg(F.sum("size").alias("size"))
+    stripes = written(sizes.groupBy("lang", F.floor(F.col("chunk") / STRIPE).cast("int").alias("stripe")).agg(F.sum("size").alias("size")), "divergence-stripes")
     # A language without terms has one stripe of none, so that its pairs come out as 0.
-    heads = counted.groups.join(stripes, "lang", "left").na.fill(0, ["stripe", "size"])
+    heads = counted.groups.join(small(stripes), "lang", "left").na.fill(0, ["stripe", "size"])
     none = F.array().cast("array<int>")
     heads = heads.select("lang", "stripe", "blocks", "block", F.lit(-1).alias("chunk"), "source", "total", "v", "size", none.alias("at"), none.cast("array<long>").alias("n"))
     packed = counted.counts.groupBy("lang", "source", "chunk").agg(F.collect_list(F.struct("at", "n")).alias("c")).join(counted.groups, ["lang", "source"]).join(sizes, ["lang", "chunk"])
