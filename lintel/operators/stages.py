@@ -9,6 +9,7 @@ from lintel.functions import text as T
 from lintel.operators import code as C
 from lintel.operators import traces as X
 from lintel.operators.select import filled_only, numbered, renumbered
+from lintel.sources.git import blobs
 from lintel.sources.sinks import to_csv, to_json_lines
 from lintel.storage import written
 
@@ -97,9 +98,9 @@ def stable_logs(cases: DataFrame, triggers: DataFrame, force: bool = False) -> D
     return done.unionByName(fresh.withColumn("failure_log", F.when(F.col("_log").isNotNull(), header).otherwise(F.col("failure_log"))).select(*cases.columns))
 
 
-def with_code(cases: DataFrame, tests: DataFrame, files: DataFrame, patched: DataFrame | None = None, most: int | None = None) -> DataFrame:
+def with_code(cases: DataFrame, tests: DataFrame, files: DataFrame, patched: DataFrame | None = None, most: int | None = None, search_masked: bool = False) -> DataFrame:
     """Cases with ``test_code`` and ``helper_methods_json`` from their classes and what these extend, else from ``patched`` (test_id, test_code, helpers)."""
-    found = C.classes(files)
+    found = C.classes(files, search_masked)
     code = C.tests_and_helpers(tests, C.hierarchy(found, most), found)
     if patched is not None:
         code = code.unionByName(patched.select(*code.columns).join(code.select("test_id"), "test_id", "left_anti"))
@@ -108,6 +109,26 @@ def with_code(cases: DataFrame, tests: DataFrame, files: DataFrame, patched: Dat
     return out.select(*cases.drop("test_code", "helper_methods_json").columns, F.coalesce("test_code", F.lit("")).alias("test_code"), F.coalesce("helpers", none).alias("helper_methods_json"))
 
 
+def files_of_classes(index: DataFrame, asked: DataFrame) -> DataFrame:
+    """(repo, fqn, path, code) of classes (repo, commit, source_dir, fqn) out of packs, where their package says; those that aren't there are left out."""
+    outer = F.replace(F.regexp_extract("fqn", r"^[^$]*", 0), F.lit("."), F.lit("/"))
+    named = asked.select("repo", "commit", "fqn", F.concat(F.concat_ws("/", F.nullif("source_dir", F.lit("")), outer), F.lit(".java")).alias("path")).distinct()
+    return blobs(index, named).filter("data is not null").select("repo", "fqn", "path", F.decode("data", "UTF-8").alias("code"))
+
+
+def with_code_from_packs(cases: DataFrame, tests: DataFrame, index: DataFrame, patched: DataFrame | None = None) -> DataFrame:
+    """``with_code`` from commits: tests (test_id, repo, commit, source_dir, class, method), and the classes that theirs extend, one level up.
+
+    A repository at a commit is a repository of its own; cases without code there take that of ``patched``.
+    """
+    at = tests.withColumn("repo", F.concat_ws("@", "repo", "commit"))
+    own = written(files_of_classes(index, at.withColumnRenamed("class", "fqn")), "packs-own")
+    parents = C.classes(own, search_masked=True).filter("parent is not null").select("repo", F.col("parent").alias("fqn"))
+    where = at.select("repo", "commit", "source_dir").distinct()
+    files = own.unionByName(files_of_classes(index, parents.join(where, "repo").join(own.select("repo", "fqn"), ["repo", "fqn"], "left_anti")))
+    return with_code(cases, at, files, patched, most=1, search_masked=True)
+
+
 def with_code_under_test(cases: DataFrame, tests: DataFrame, files: DataFrame, covered: DataFrame, common: list[str] | None = None) -> DataFrame:
     """Cases (test_code, helper_methods_json, failure_log) with ``code_under_test_json``: what coverage, traces and calls name, else the fallbacks."""
     found = C.classes(files)
