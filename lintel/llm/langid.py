@@ -25,6 +25,7 @@ import base64
 from functools import lru_cache
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -54,17 +55,37 @@ def pieces(path: str) -> tuple[dict[bytes, int], int]:
     return found, max(map(len, found))
 
 
+#: Between words in a text for the automaton: no byte.
+_GAP = chr(256)
+
+
+@lru_cache(maxsize=2)
+def _finder(path: str) -> ahocorasick.Automaton:
+    """Finds all pieces in a text whose characters stand for bytes; a piece's value is its row and, in 16 bits, its length."""
+    finder = ahocorasick.Automaton()
+    for piece, row in pieces(path)[0].items():
+        finder.add_word(piece.decode("latin-1"), (row << 16) | len(piece))
+    finder.make_automaton()
+    return finder
+
+
 def _cuts(words: list[bytes], path: str):
     """For equally long words: at each end, (length, rows of the table) of the pieces that end there; -1: none."""
-    rows, longest = pieces(path)
-    get = rows.get
-    for end in range(1, len(words[0]) + 1):
-        found = []
-        for length in range(1, min(end, longest) + 1):
-            at = np.array([get(w[end - length : end], -1) for w in words])
-            if (at >= 0).any():
-                found.append((length, at))
-        yield end, found
+    n = len(words[0])
+    matches = _finder(path).iter(_GAP.join(w.decode("latin-1") for w in words))
+    found = np.fromiter(chain.from_iterable(matches), np.int64).reshape(-1, 2)
+    word, end = np.divmod(found[:, 0], n + 1)
+    row, length = found[:, 1] >> 16, found[:, 1] & 0xFFFF
+    # By end, then length, in runs.
+    key = (end << 16) | length
+    order = np.argsort(key, kind="stable")
+    starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+    by_end: list[list] = [[] for _ in range(n)]
+    for run in np.split(order, starts[1:]) if len(order) else ():
+        at = np.full(len(words), -1)
+        at[word[run]] = row[run]
+        by_end[end[run[0]]].append((int(length[run[0]]), at))
+    yield from enumerate(by_end, 1)
 
 
 def _forward(cuts, table: np.ndarray, count: int, n: int):
