@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("q_metrics", "q_profile", "q_flow", "q_code", "q_recovery", "q_git")
+MODULES = ("q_metrics", "q_profile", "q_flow", "q_code", "q_recovery", "q_git", "q_sources")
 
 
 def queries() -> dict:

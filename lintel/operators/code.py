@@ -126,19 +126,21 @@ def patch_code(patches: DataFrame) -> DataFrame:
 
 
 def test_files(tests: DataFrame, files: DataFrame) -> DataFrame:
-    """(test_id, path): where a test's class (repo, class, source_dir) stands among files (repo, path, code).
+    """(test_id, path, kind): where a test's class (repo, class, source_dir) stands among files (repo, path, code).
 
-    First the path that source root and package give, then a file of its name
-    below a test folder that names the class, then any file of its name; the
-    least path of a kind.
+    First (1) the path that source root and package give, then (2) a file of its
+    name below a test folder that names the class, then (3) any file of its name; the
+    least path of a kind.  Whole paths are looked up by themselves, and of the files
+    of one name only the least of each kind go on, so a common name is no pile.
     """
     base = F.regexp_extract("class", r"^[^$]*", 0)
-    asked = tests.select("test_id", "repo", F.concat_ws("/", "source_dir", F.replace(base, F.lit("."), F.lit("/"))).alias("at"), simple_name(base).alias("simple"))
-    there = files.filter(F.col("path").endswith(".java")).select("repo", "path", "code", F.regexp_extract("path", r"([^/]*)\.java$", 1).alias("simple"))
-    direct = F.col("path") == F.concat("at", F.lit(".java"))
+    asked = tests.select("test_id", "repo", F.concat(F.concat_ws("/", "source_dir", F.replace(base, F.lit("."), F.lit("/"))), F.lit(".java")).alias("at"), simple_name(base).alias("simple"))
+    there = files.filter(F.col("path").endswith(".java")).select("repo", "path", F.regexp_extract("path", r"([^/]*)\.java$", 1).alias("simple"), "code")
     tested = F.lower("path").rlike("test|spec") & F.contains("code", "simple")
-    kind = F.when(direct, 1).when(tested, 2).otherwise(3)
-    return asked.join(there, ["repo", "simple"]).groupBy("test_id").agg(F.min(F.struct(kind.alias("kind"), "path")).alias("f")).select("test_id", "f.path", "f.kind")
+    named = there.groupBy("repo", "simple").agg(F.min(F.when(tested, F.col("path"))).alias("tested"), F.min("path").alias("any"))
+    direct = asked.join(there.select("repo", F.col("path").alias("at")).distinct(), ["repo", "at"]).select("test_id", F.lit(1).alias("kind"), F.col("at").alias("path"))
+    other = asked.join(named, ["repo", "simple"]).select("test_id", F.when(F.col("tested").isNotNull(), 2).otherwise(3).alias("kind"), F.coalesce("tested", "any").alias("path"))
+    return direct.unionByName(other).groupBy("test_id").agg(F.min(F.struct("kind", "path")).alias("f")).select("test_id", "f.path", "f.kind")
 
 
 def _scope(chain: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lintel.functions.structures import percent
 from lintel.functions.text import LOG_PATTERNS
+from lintel.operators.quantiles import with_quantiles
 
 #: Upper ends of the size bins, each included; fixed values.
 BINS = [("<10K", 10_000), ("10K–25K", 25_000), ("25K–50K", 50_000), ("50K–100K", 100_000), ("100K–250K", 250_000), (">250K", None)]
@@ -42,9 +43,11 @@ def availability(df: DataFrame, sources: dict[str, Column]) -> DataFrame:
 
 def describe(df: DataFrame, value: Column, by=(), digits: int = 4) -> DataFrame:
     """count, min, quartiles, 95 %, mean, max and sample standard deviation, all exact."""
-    r = lambda c, name: F.round(c, digits).alias(name)
-    q = lambda p, name: r(F.percentile("_v", F.lit(p)), name)
-    return df.withColumn("_v", value).groupBy(*by).agg(F.count("_v").alias("count"), F.min("_v").alias("min"), q(0.25, "q25"), q(0.5, "median"), r(F.avg("_v"), "mean"), q(0.75, "q75"), q(0.95, "q95"), F.max("_v").alias("max"), r(F.stddev_samp("_v"), "std"))
+    rows, v = df.withColumn("_v", value), F.col("_v")
+    plain = rows.groupBy(*by).agg(F.count("_v").alias("count"), F.min("_v").alias("min"), F.avg("_v").alias("mean"), F.max("_v").alias("max"), F.stddev_samp("_v").alias("std"))
+    out = with_quantiles(plain, rows, list(by), {"q25": (v, 0.25), "median": (v, 0.5), "q75": (v, 0.75), "q95": (v, 0.95)})
+    r = lambda name: F.round(name, digits).alias(name)
+    return out.select(*by, "count", "min", r("q25"), r("median"), r("mean"), r("q75"), r("q95"), "max", r("std"))
 
 
 def size_bins(df: DataFrame, size: Column) -> DataFrame:

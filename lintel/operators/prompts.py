@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from lintel.functions.structures import approximate_tokens
 from lintel.functions.text import stripped
+from lintel.operators.quantiles import with_quantiles
+from lintel.storage import written
 
 RULE = "-" * 40
 #: What a prompt is made of, in order; ``strategy`` and ``examples`` depend on the configuration.
@@ -71,11 +73,13 @@ def counted_tokens(df: DataFrame, prompt: str, count: Callable[[str], int] | Non
 
 
 def stats(df: DataFrame, prompt: str, by: list[str]) -> DataFrame:
-    size, tokens = F.length(prompt), approximate_tokens(F.col(prompt))
-    r = lambda c, name: F.round(c, 4).alias(name)
-    return df.withColumn("_t", tokens).withColumn("_s", size).groupBy(*by).agg(
-        F.count("*").alias("n"), F.min("_s").alias("min_chars"), F.max("_s").alias("max_chars"), r(F.avg("_s"), "mean_chars"), r(F.percentile("_s", F.lit(0.5)), "median_chars"),
-        r(F.stddev_samp("_s"), "std_chars"), r(F.percentile("_t", F.lit(0.95)), "p95_tokens"), r(F.percentile("_t", F.lit(0.99)), "p99_tokens"), r(F.sum("_t"), "tokens"))
+    """Sizes of prompts by group, in characters and tokens; quantiles are exact."""
+    rows = written(df.select(*by, F.length(prompt).alias("_s"), approximate_tokens(F.col(prompt)).alias("_t")), "prompt-sizes")
+    plain = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("_s").alias("min_chars"), F.max("_s").alias("max_chars"), F.avg("_s").alias("mean_chars"), F.stddev_samp("_s").alias("std_chars"), F.sum("_t").alias("tokens"))
+    s, t = F.col("_s"), F.col("_t")
+    out = with_quantiles(plain, rows, by, {"median_chars": (s, 0.5), "p95_tokens": (t, 0.95), "p99_tokens": (t, 0.99)})
+    r = lambda name: F.round(name, 4).alias(name)
+    return out.select(*by, "n", "min_chars", "max_chars", r("mean_chars"), r("median_chars"), r("std_chars"), r("p95_tokens"), r("p99_tokens"), r("tokens"))
 
 
 def window_fit(df: DataFrame, tokens: Column, window: str, by: list[str]) -> DataFrame:

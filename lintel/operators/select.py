@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lintel.functions.structures import has_content, is_empty_text
+from lintel.operators.quantiles import group_key, quantiles
 
 
 def context_score(df: DataFrame, helpers: Column, code: Column, log: Column) -> DataFrame:
@@ -38,8 +39,9 @@ def sample(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
 
 def representative(df: DataFrame, features: list[str], by: str, key: str = "id") -> DataFrame:
     """distance_from_median (sum over features of |x - median| / median) and its rank within a class."""
-    medians = df.agg(*(F.percentile(f, F.lit(0.5)).alias(f"_m_{f}") for f in features))
-    out = df.join(F.broadcast(medians))
+    medians = quantiles(df, [], {f"_m_{f}": (F.col(f), 0.5) for f in features})
+    # One row, or none if no feature has a value.
+    out = df.withColumn("_by", group_key([])).join(F.broadcast(medians), "_by", "left").drop("_by")
     distance = sum((F.coalesce(F.try_divide(F.abs(F.col(f) - F.col(f"_m_{f}")), F.col(f"_m_{f}")), F.lit(0.0)) for f in features), F.lit(0.0))
     out = out.withColumn("distance_from_median", F.round(distance, 9)).drop(*(f"_m_{f}" for f in features))
     return numbered(out, [by], ["distance_from_median", key], "rank")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from lintel.functions.structures import once, ratio
 from lintel.operators.metrics import CONFIG, confusion
 
 RESAMPLES, SEED, ALPHA = 1000, 42, 0.05
@@ -34,29 +34,56 @@ def holm(df: DataFrame, p: str = "p_value", order: list[str] | None = None, alph
     return out.withColumn("significant", F.col(p) < alpha).withColumn("significant_corrected", F.col("p_corrected") < alpha)
 
 
-def _f1_bounds(resamples: int, seed: int):
-    @F.pandas_udf("struct<low:double,high:double>")
-    def bounds(tp: pd.Series, fp: pd.Series, fn: pd.Series, tn: pd.Series) -> pd.DataFrame:
-        rows = []
-        for cells in zip(tp, fp, fn, tn):
-            n = int(sum(cells))
-            if not n:
-                rows.append((0.0, 0.0))
-                continue
-            drawn = np.random.RandomState(seed).multinomial(n, np.array(cells, float) / n, resamples)
-            below = 2 * drawn[:, 0] + drawn[:, 1] + drawn[:, 2]
-            f1 = np.where(below > 0, 2 * drawn[:, 0] / np.maximum(below, 1), 0.0)
-            rows.append(tuple(np.percentile(f1, [2.5, 97.5])))
-        return pd.DataFrame(rows, columns=["low", "high"])
+#: Random bits that one hash gives, and binary digits of a probability that are looked at.
+WORD, DIGITS = 60, 40
 
-    return bounds
+
+def ones(name: Column, bits: Column) -> Column:
+    """How many of the first ``bits`` fair bits of the stream ``name`` are 1.
+
+    The generator is a counter: word i of a stream is the first 60 bits of the MD5
+    of name and i, which any engine with MD5 and integers repeats.
+    """
+    word = lambda i: F.conv(F.substring(F.md5(F.concat_ws("|", name, i.cast("string"))), 1, WORD // 4), 16, 10).cast("long")
+    used = lambda i: F.least(bits - i * WORD, F.lit(WORD)).cast("int")
+    counts = F.transform(F.sequence(F.lit(0), F.floor((bits - 1) / WORD).cast("int")), lambda i: F.bit_count(word(i).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), used(i)) - 1)))
+    return F.when(bits > 0, F.aggregate(counts, F.lit(0).cast("long"), lambda s, c: s + c)).otherwise(F.lit(0).cast("long"))
+
+
+def binomial(name: Column, n: Column, part: Column, whole: Column) -> Column:
+    """A draw of how many of ``n`` uniform numbers are below part / whole, in integers.
+
+    The numbers are compared with the probability digit by digit.  Of those that are
+    equal so far, a count of fair bits says how many have a 0 next; where the
+    probability has a 1 these are below it, and where it has a 0 the others are not.
+    So a draw takes about 2 n bits, not n numbers.
+    """
+    start = F.struct(n.cast("long").alias("open"), F.lit(0).cast("long").alias("below"), part.cast("long").alias("rest"))
+
+    def step(s, digit):
+        zeros = ones(F.concat_ws("|", name, digit.cast("string")), s["open"])
+        has_one = 2 * s["rest"] >= whole
+        rest = F.when(has_one, 2 * s["rest"] - whole).otherwise(2 * s["rest"])
+        return F.struct(F.when(has_one, s["open"] - zeros).otherwise(zeros).alias("open"), F.when(has_one, s["below"] + zeros).otherwise(s["below"]).alias("below"), rest.alias("rest"))
+
+    drawn = F.aggregate(F.sequence(F.lit(1), F.lit(DIGITS)), start, step, lambda s: s["below"])
+    return F.when((part <= 0) | (n <= 0), F.lit(0).cast("long")).when(part >= whole, n.cast("long")).otherwise(drawn)
 
 
 def bootstrap_f1(df: DataFrame, by=CONFIG, resamples: int = RESAMPLES, seed: int = SEED) -> DataFrame:
     """F1's 95 % bootstrap interval.
 
     Drawing n of n rows with replacement gives cells of the confusion matrix in a
-    multinomial distribution, so only the four counts leave the aggregation.
+    multinomial distribution, so only the counts leave the aggregation; each cell is
+    a binomial draw of what the ones before it left.
     """
-    cells: list[Column] = [F.col(c) for c in ("tp", "fp", "fn", "tn")]
-    return confusion(df, by).withColumn("b", _f1_bounds(resamples, seed)(*cells)).select(*by, F.col("b.low").alias("f1_low"), F.col("b.high").alias("f1_high"))
+    cells = confusion(df, by).withColumn("all", F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))
+    draws = cells.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1)))).repartition(*by, "draw")
+    name = lambda cell: F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by), F.col("draw").cast("string"), F.lit(cell))
+    left, whole = F.col("all"), F.col("all")
+    for cell in ("tp", "fp", "fn"):
+        # Each draw is computed once, in a projection of its own.
+        draws = draws.withColumn(f"_{cell}", once(binomial(name(cell), left, F.col(cell), whole)))
+        left, whole = left - F.col(f"_{cell}"), whole - F.col(cell)
+    f1 = ratio(2 * F.col("_tp"), 2 * F.col("_tp") + F.col("_fp") + F.col("_fn"))
+    return draws.withColumn("f1", f1).groupBy(*by).agg(F.percentile("f1", F.lit(0.025)).alias("f1_low"), F.percentile("f1", F.lit(0.975)).alias("f1_high"))

@@ -29,25 +29,27 @@ def frame_targets(df: DataFrame, trace: str, *keys: str) -> DataFrame:
     return df.select(*keys, F.explode(own_frames(F.col(trace))).alias("f")).select(*keys, "f.*").distinct()
 
 
-def report_traces(report: Column, method: Column) -> Column:
-    """array<string>: traces that follow a line with the method's name and a failure mark, up to the next terminator.
+def _cut_before(text: Column, line: str) -> Column:
+    """array<string>: ``text`` cut before every line whose beginning matches ``line``; what comes before the first is the first."""
+    return F.split(text, rf"(?:(?<=\n)|\A)(?={line})", -1)
 
-    The report's lines are folded once; the state is the list of finished traces
-    and the open one.
-    """
-    name = bare_method(method)
-    state = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
 
-    def step(s, line):
-        marked = line.contains("<<< FAILURE!") | line.contains("<<< ERROR!")
-        starts = marked & F.regexp_like(line, F.concat(F.lit(r"\b\Q"), name, F.lit(r"\E\b")))
-        stops = marked | (line.contains("Time elapsed:") & ~line.contains("- in")) | line.startswith("Tests run:") | line.startswith("---") | line.startswith("===")
-        closed = F.when(F.coalesce(F.trim(s["open"]), F.lit("")) != "", F.concat(s["done"], F.array(F.regexp_replace(s["open"], r"\s+\z", "")))).otherwise(s["done"])
-        none, grown = F.lit(None).cast("string"), F.when(s["open"] == "", line).otherwise(F.concat(s["open"], F.lit("\n"), line))
-        return F.struct(F.when(stops, closed).otherwise(s["done"]).alias("done"), F.when(starts, F.lit("")).when(stops, none).when(s["open"].isNotNull(), grown).alias("open"))
+#: How a line begins that ends a trace: a failure mark, a time that is no summary, a count of tests, or a rule.
+TRACE_END = r"[^\n]*<<< (?:FAILURE|ERROR)!|(?![^\n]*- in)[^\n]*Time elapsed:|Tests run:|---|==="
+
+
+def report_traces(report: Column, method: Column) -> Column:
+    """array<string>: traces that follow a line with the method's name and a failure mark, up to the next line that ends one.
 
-    end = lambda s: F.when(F.coalesce(F.trim(s["open"]), F.lit("")) != "", F.concat(s["done"], F.array(F.regexp_replace(s["open"], r"\s+\z", "")))).otherwise(s["done"])
-    return F.aggregate(F.split(report, "\r?\n"), state, step, end)
+    The report is cut before such lines, in one pass; a part whose first line has
+    name and mark is a trace.
+    """
+    parts = _cut_before(report, TRACE_END)
+    first = lambda part: F.substring_index(part, "\n", 1)
+    marked = lambda part: first(part).contains("<<< FAILURE!") | first(part).contains("<<< ERROR!")
+    named = lambda part: F.regexp_like(first(part), F.concat(F.lit(r"\b\Q"), bare_method(method), F.lit(r"\E\b")))
+    body = lambda part: F.regexp_replace(F.regexp_replace(F.regexp_replace(part, r"\A[^\n]*\n?", ""), r"\r\n", "\n"), r"\A\n+|\s+\z", "")
+    return F.filter(F.transform(F.filter(parts, lambda p: marked(p) & named(p)), body), lambda t: t != "")
 
 
 def sections(text: Column) -> Column:
@@ -65,18 +67,20 @@ def sections(text: Column) -> Column:
     return F.transform(F.filter(each, lambda s: s["ok"]), lambda s: F.struct(s["class"].alias("class"), s["method"].alias("method"), s["log"].alias("log")))
 
 
-def removed_lines(patch: Column, context: bool = False) -> Column:
-    """Lines that a unified diff takes out, in its hunks, without their mark; with ``context`` the unchanged ones too."""
-    lines = F.split(patch, "\n")
-    state = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("out"))
+#: How a line begins that starts a hunk or ends one.
+HUNK = "@@"
+HUNK_OR_HEADER = r"@@|---|\+\+\+|Index:|==="
 
-    def step(s, line):
-        header = line.startswith("---") | line.startswith("+++") | line.startswith("Index:") | line.startswith("===")
-        takes = line.startswith("-") | (line.startswith(" ") & F.lit(context))
-        grown = F.when(s["inside"] & takes & ~header, F.concat(s["out"], F.array(F.substring(line, 2, 1_000_000_000)))).otherwise(s["out"])
-        return F.struct(F.when(line.startswith("@@"), F.lit(True)).when(header, F.lit(False)).otherwise(s["inside"]).alias("inside"), grown.alias("out"))
 
-    return F.aggregate(lines, state, step, lambda s: F.array_join(s["out"], "\n"))
+def removed_lines(patch: Column, context: bool = False) -> Column:
+    """Lines that a unified diff takes out, in its hunks, without their mark; with ``context`` the unchanged ones too.
+
+    The diff is cut before every hunk and header, in one pass; hunks give their lines.
+    """
+    hunks = F.filter(_cut_before(patch, HUNK_OR_HEADER), lambda p: p.startswith(HUNK))
+    takes = lambda line: line.startswith("-") | (line.startswith(" ") & F.lit(context))
+    lines = F.flatten(F.transform(hunks, lambda p: F.filter(F.split(p, "\n"), takes)))
+    return F.array_join(F.transform(lines, lambda line: F.substring(line, 2, 1_000_000_000)), "\n")
 
 
 def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:

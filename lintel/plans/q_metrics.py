@@ -92,6 +92,21 @@ def _holm(df):
     return out.withColumns({c: F.round(c, 9) for c in ("p_value", "p_corrected")})
 
 
+def _drawn(cell: str, before: str, left: str, whole: str) -> str:
+    """CTE ``d_cell``: the draws of a cell, digit by digit, from those of ``before``."""
+    zeros = f"""coalesce(list_sum(list_transform(range(0, (open + {G.WORD - 1}) // {G.WORD}), lambda i: bit_count(CAST('0x' || substr(md5(name || '|' || digit || '|' || i), 1, {G.WORD // 4}) AS BIGINT) & ((1::BIGINT << CAST(least(open - i * {G.WORD}, {G.WORD}) AS INT)) - 1)))), 0)"""
+    return f"""w_{cell} AS (SELECT *, {left} AS left_, {whole} AS whole, {G.SEED} || '|' || model || '|' || prompt_type || '|' || context_enabled || '|' || draw || '|{cell}' AS name FROM {before}),
+  r_{cell} AS (SELECT name, 1 AS digit, left_ AS open, CAST(0 AS BIGINT) AS below, {cell} AS rest, whole FROM w_{cell} WHERE {cell} > 0 AND left_ > 0 AND {cell} < whole
+    UNION ALL SELECT name, digit + 1, CASE WHEN 2 * rest >= whole THEN open - zeros ELSE zeros END, CASE WHEN 2 * rest >= whole THEN below + zeros ELSE below END, CASE WHEN 2 * rest >= whole THEN 2 * rest - whole ELSE 2 * rest END, whole
+      FROM (SELECT *, CAST({zeros} AS BIGINT) AS zeros FROM r_{cell}) AS z WHERE digit <= {G.DIGITS}),
+  d_{cell} AS (SELECT w.* EXCLUDE (left_, whole, name), CASE WHEN {cell} <= 0 OR left_ <= 0 THEN 0 WHEN {cell} >= w.whole THEN left_ ELSE r.below END AS x_{cell} FROM w_{cell} w LEFT JOIN r_{cell} r ON r.name = w.name AND r.digit = {G.DIGITS + 1})"""
+
+
+BOOTSTRAP = f"""c AS (SELECT {KEYS}, {CELLS} FROM predictions GROUP BY ALL), s AS (SELECT *, tp + fp + fn + tn AS total, unnest(range(0, {G.RESAMPLES})) AS draw FROM c),
+  {_drawn("tp", "s", "total", "total")}, {_drawn("fp", "d_tp", "total - x_tp", "total - tp")}, {_drawn("fn", "d_fp", "total - x_tp - x_fp", "total - tp - fp")},
+  f AS (SELECT {KEYS}, CASE WHEN 2 * x_tp + x_fp + x_fn > 0 THEN 2.0::DOUBLE * x_tp / (2 * x_tp + x_fp + x_fn) ELSE 0 END AS f1 FROM d_fn)
+SELECT {KEYS}, round(quantile_cont(f1, 0.025), 9) AS f1_low, round(quantile_cont(f1, 0.975), 9) AS f1_high FROM f GROUP BY ALL"""
+
 QUERIES = {
     "binary_metrics_by_config": on_predictions(M.binary_metrics),
     "binary_metrics_by_prompt": on_predictions(lambda df: M.binary_metrics(df, ("prompt_type",))),
@@ -104,7 +119,7 @@ QUERIES = {
     "prediction_transitions": on_predictions(M.transitions),
     "mcnemar_statistic": on_predictions(M.contingency),
     "mcnemar_holm": on_predictions(_holm),
-    "bootstrap_f1": on_predictions(G.bootstrap_f1),
+    "bootstrap_f1": on_predictions(lambda df: G.bootstrap_f1(df).select(*M.CONFIG, F.round("f1_low", 9).alias("f1_low"), F.round("f1_high", 9).alias("f1_high"))),
     "macro_f1_by_config": on_predictions(M.macro_f1),
     "rq1_summary": on_predictions(_rq1),
     "f1_pivot": on_predictions(_f1_pivot),
@@ -127,6 +142,7 @@ CAT = "count(*) AS n, count(*) FILTER (actual_category = predicted_category) AS
 CHI_SQUARE_P = """CASE WHEN chi_square > 50 THEN 0.0 ELSE 1 - list_sum(list_transform(range(0, 200), lambda n: exp(n * 2 * ln(2) + (2 * n + 1) * ln(greatest(sqrt(chi_square / 2), 1e-300)) + lgamma(n + 1) - lgamma(2 * n + 2))))
   * exp(-chi_square / 2) * 2 / sqrt(pi()) END"""
 SQL = {
+    "bootstrap_f1": sql(f"WITH {BOOTSTRAP}").replace("WITH ", "WITH RECURSIVE ", 1),
     "binary_metrics_by_config": sql(f"""SELECT *, round((tp + tn) / n, 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
   round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1
   FROM (SELECT {KEYS}, {CELLS} FROM predictions GROUP BY {KEYS})"""),

@@ -15,6 +15,7 @@ from lintel.operators import responses as A
 from lintel.operators import select as L
 from lintel.operators import stages as G
 from lintel.operators import traces as X
+from lintel.operators.quantiles import with_quantiles
 from lintel.plans.adapters import view, with_views
 from lintel.plans.q_flow import RECOVERED, on, sql
 from lintel.plans.q_profile import JAVA_STRIP
@@ -117,7 +118,9 @@ def _percentiles(df):
     """Rows of a case and strategy count once: the case with the longer log."""
     rows = df.select((F.col("id") % 50).alias("sample"), "lang", F.length("test_code").alias("v"), "id")
     first = L.keep_first(rows, ["sample", "lang"], [F.desc("v"), F.col("id")])
-    return first.groupBy("lang").agg(F.count("*").alias("n"), *(F.round(F.percentile("v", F.lit(p)), 4).alias(f"p{int(100 * p)}") for p in (0.95, 0.99)))
+    first = written(first.select("lang", "v"), "deduped")
+    out = with_quantiles(first.groupBy("lang").agg(F.count("*").alias("n")), first, ["lang"], {f"p{int(100 * p)}": (F.col("v"), p) for p in (0.95, 0.99)})
+    return out.select("lang", "n", F.round("p95", 4).alias("p95"), F.round("p99", 4).alias("p99"))
 
 
 def _tokens(df):

@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lintel.functions.text import is_framework_class
 from lintel.operators.select import require_empty
+from lintel.sources import archives
+from lintel.sources.records import csv_records
+from lintel.storage import written
 
 COVERAGE = "_name string, class array<struct<_name:string,method:array<struct<_name:string,counter:array<struct<_type:string,_covered:long>>>>>>"
 ROUND_RESULTS = "struct<results:map<string,struct<result:string,stackTrace:array<string>>>>"
 #: Endings of test classes, and methods that are no targets; fixed values.
 TEST_ENDINGS = ("Test", "Tests", "TestCase", "Spec")
 NO_TARGETS = ("<init>", "<clinit>")
-#: Bytes of archive members that go into one Arrow batch.
-BATCH_BYTES = 8 << 20
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -72,56 +69,34 @@ def csv_fields(line: Column) -> Column:
 
 
 def round_results(spark: SparkSession, path: str) -> DataFrame:
-    """(round, status, test, result, trace) from ragged lines: the first field from the fourth on that is a JSON object."""
-    rows = spark.read.text(path).select(csv_fields(F.col("value")).alias("f"))
+    """(round, status, test, result, trace) from ragged records, quoted line breaks and all: the first field from the fourth on that is a JSON object."""
+    rows = csv_records(spark, path).select(F.col("fields").alias("f"))
     objects = F.filter("f", lambda x, i: (i >= 3) & F.trim(x).startswith("{") & F.trim(x).endswith("}"))
     found = rows.select(F.trim(F.get("f", F.lit(0))).alias("round"), F.trim(F.get("f", F.lit(1))).alias("status"), F.from_json(F.get(objects, F.lit(0)), ROUND_RESULTS).alias("o"))
     each = found.select("round", "status", F.explode("o.results").alias("test", "r"))
     return each.select("round", "status", "test", "r.result", F.array_join("r.stackTrace", "\n").alias("trace"))
 
 
-def _members(batches):
-    names, contents, size = [], [], 0
-
-    def batch():
-        return pa.RecordBatch.from_arrays([pa.array([n[0] for n in names], pa.string()), pa.array([n[1] for n in names], pa.string()), pa.array(contents, pa.binary())], ["archive", "entry", "content"])
-
-    for rows in batches:
-        for path, content in zip(rows.column(0), rows.column(1)):
-            try:
-                archive = zipfile.ZipFile(io.BytesIO(content.as_py()))
-            except zipfile.BadZipFile:
-                continue
-            for entry in archive.infolist():
-                if entry.is_dir():
-                    continue
-                names.append((path.as_py(), entry.filename))
-                contents.append(archive.read(entry))
-                size += len(contents[-1])
-                if size >= BATCH_BYTES:
-                    yield batch()
-                    names, contents, size = [], [], 0
-    if names:
-        yield batch()
-
-
 def zip_entries(spark: SparkSession, path: str, named: str = "*.zip") -> DataFrame:
     """(archive, entry, content) of all archives below ``path``; what is no archive gives no rows.
 
-    An archive is read by one task, a member at a time.
+    Members of one archive are read by as many tasks as they make ranges.
     """
-    archives = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", named).load(path)
-    return archives.select("path", "content").mapInArrow(_members, "archive string, entry string, content binary")
+    return archives.with_content(archives.members(spark, path, named))
 
 
 def found_sources(wanted: DataFrame, entries: DataFrame) -> DataFrame:
     """``wanted`` (archive, version, class) with the entries of its outer class in that version's folder."""
-    outer = F.regexp_replace("class", r"\$.*", "")
-    simple = F.regexp_extract("entry", r"([^/]+)\.(?:java|groovy)\z", 1)
-    left = wanted.withColumn("_file", F.translate(outer, ".", "/")).withColumn("_simple", F.regexp_extract(outer, r"([^.]*)\z", 1))
-    met = left.join(entries.withColumn("_simple", simple).filter("_simple != ''"), ["archive", "_simple"])
-    ends = F.expr("endswith(entry, concat(_file, '.java')) or endswith(entry, concat(_file, '.groovy'))")
-    return met.filter(F.expr("contains(entry, concat('/', version, '/'))") & ends).drop("_simple", "_file")
+    outer = F.translate(F.regexp_replace("class", r"\$.*", ""), ".", "/")
+    met = archives.matched(wanted.withColumn("file", outer), entries.filter(F.col("entry").rlike(r"\.(?:java|groovy)\z")))
+    return met.filter(F.expr("contains(entry, concat('/', version, '/'))")).drop("file")
+
+
+def wanted_sources(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """``found_sources`` of the archives below ``path``, whose other members aren't read."""
+    found = written(found_sources(wanted, archives.members(spark, path)), "sources-found")
+    content = archives.with_content(found.select(*(c.split()[0] for c in archives.MEMBERS.split(", "))))
+    return found.select(*wanted.columns, "entry").join(content, ["archive", "entry"])
 
 
 def whole_texts(spark: SparkSession, path: str | list[str], named: str = "*.txt") -> DataFrame:

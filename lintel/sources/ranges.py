@@ -21,9 +21,9 @@ def _place(path: str) -> tuple[pafs.FileSystem, str]:
 class Ranges:
     """One open file; small reads that follow one another are served from one fetched block."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, block: int = BLOCK):
         fs, at = _place(path)
-        self.path, self._file = path, fs.open_input_file(at)
+        self.path, self._block_size, self._file = path, block, fs.open_input_file(at)
         self.size = self._file.size()
         self._start, self._block = 0, b""
 
@@ -31,7 +31,7 @@ class Ranges:
         """``length`` bytes from ``offset``, fewer at the end of the file."""
         at = offset - self._start
         if not (0 <= at and at + length <= len(self._block)):
-            self._block, self._start, at = self._file.read_at(max(length, min(BLOCK, self.size)), offset), offset, 0
+            self._block, self._start, at = self._file.read_at(max(length, min(self._block_size, self.size)), offset), offset, 0
         return self._block[at : at + length]
 
     def close(self) -> None:
