@@ -115,6 +115,29 @@ def schema_listing(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
 
 
+def record_schema(df: DataFrame, json: str, expected: list[str]) -> DataFrame:
+    """field, what, n: over the JSON objects of a column, the rows in which a field has a type, and in which an expected one is missing.
+
+    Types are number, string, boolean, list, object and null; fields that aren't
+    expected are marked ``extra`` in ``state``.  Rows that hold no object count as
+    rows without any field.
+    """
+    objects = df.select(F.try_parse_json(json).alias("v"))
+    # A field's type is that of its value, so it is looked up row by row and not assumed from a first row.
+    fields = objects.select(F.map_entries(F.try_variant_get("v", "$", "map<string,variant>")).alias("e")).select(F.explode("e").alias("e"))
+    kind = F.schema_of_variant("e.value")
+    type_ = F.when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null").when(kind.startswith("ARRAY"), "list").when(kind.startswith("OBJECT"), "object").otherwise("number")
+    counts = fields.select(F.col("e.key").alias("field"), type_.alias("what")).groupBy("field", "what").agg(F.count("*").alias("n"))
+    # One row for each expected field.
+    names = df.sparkSession.createDataFrame([(c,) for c in expected], "field string")
+    rows = df.agg(F.count("*").alias("rows"))
+    there = counts.groupBy("field").agg(F.sum("n").alias("there"))
+    missing = names.withColumn("_one", F.lit(1)).join(F.broadcast(rows.withColumn("_one", F.lit(1))), "_one").join(there, "field", "left")
+    missing = missing.select("field", F.lit("missing").alias("what"), (F.col("rows") - F.coalesce("there", F.lit(0))).alias("n")).filter("n > 0")
+    state = F.when(F.col("field").isin(expected), "expected").otherwise("extra")
+    return counts.unionByName(missing).withColumn("state", state)
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether two tables have the same rows, as often."""
     return not a.exceptAll(b).head(1) and not b.exceptAll(a).head(1)

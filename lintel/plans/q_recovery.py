@@ -173,6 +173,16 @@ def _schema(df):
     return out.unionByName(P.schema_listing(df).select("column", F.col("type").alias("what")))
 
 
+#: Documents as JSON objects: fields that some lack, of more than one type, and text that is no object.
+RECORDS = """SELECT CASE WHEN doc_id % 11 = 10 THEN '[1]' ELSE '{{"id":' || CAST(doc_id AS STRING) || ',"lang":' || CASE WHEN doc_id % 4 = 0 THEN 'null' ELSE '"' || lang || '"' END || CASE WHEN doc_id % 3 = 0 THEN ',"parts":[' || CAST(n_chars AS STRING) || ']' ELSE '' END
+  || ',"size":' || CASE WHEN n_chars > 2000 THEN '"' || CAST(n_chars AS STRING) || '"' ELSE CAST(n_chars AS STRING) END || CASE WHEN doc_id % 5 = 0 THEN ',"good":true,"more":{{}}' ELSE '' END || '}}' END AS j FROM {documents}"""
+
+
+def _record_schemas(spark, sf_dir):
+    rows = spark.sql(RECORDS, documents=table(spark, sf_dir, "documents"))
+    return P.record_schema(rows, "j", ["id", "lang", "parts", "gone"])
+
+
 def _element(df):
     return L.element(df.select("id", "repo_url", "lang"), 3)
 
@@ -185,7 +195,7 @@ def _limited(df):
 
 def _ordered(df):
     """The first twenty by number, which as texts would stand elsewhere."""
-    return L.in_numeric_order(df.select(F.col("id").cast("string").alias("id"), "lang"), "id").limit(20)
+    return L.in_numeric_order(df.select(F.col("id").cast("string").alias("id"), "lang"), "id")
 
 
 def _folders(spark, sf_dir):
@@ -217,6 +227,7 @@ QUERIES = {
     "trigger_sections": _sections,
     "diff_lines": _diff,
     "schema_checks": on("cases", _schema),
+    "record_schemas": _record_schemas,
     "element_by_key": on("cases", _element),
     "limit_of_open": on("cases", _limited),
     "numeric_order": on("cases", _ordered),
@@ -252,10 +263,15 @@ SELECT id, md5(array_to_string(ls[first:], chr(10))) AS md5, md5(chr(10) || chr(
     "map_values": with_views(f"SELECT id, md5({JAVA_STRIP.format(c='java_code')} || '|x') AS md5, id % 2 <> 0 AS empty, true AS none FROM cases", "cases"),
     "trigger_sections": "SELECT c_custkey, i, CASE i WHEN 0 THEN 'a.B' ELSE 'a.C' END AS class, CASE i WHEN 0 THEN 'one' ELSE 'two' END AS method, CASE i WHEN 0 THEN 'log ' || c_name ELSE '' END AS log FROM customer, (SELECT unnest([0, 1]) AS i)",
     "diff_lines": "SELECT c_custkey, 'one ' || c_name || chr(10) || 'two' AS removed, 'one ' || c_name || chr(10) || 'kept' || chr(10) || 'two' AS context FROM customer",
+    "record_schemas": f"""WITH r AS ({RECORDS.format(documents="documents")}), k AS (SELECT j, unnest(json_keys(j)) AS field FROM r WHERE json_type(j) = 'OBJECT'),
+  t AS (SELECT field, CASE json_type(j, '$.' || field) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS what FROM k),
+  c AS (SELECT field, what, count(*) AS n FROM t GROUP BY ALL), e AS (SELECT unnest(['id', 'lang', 'parts', 'gone']) AS field),
+  m AS (SELECT field, 'missing' AS what, (SELECT count(*) FROM r) - coalesce((SELECT CAST(sum(n) AS BIGINT) FROM c WHERE c.field = e.field), 0) AS n FROM e)
+SELECT *, CASE WHEN field IN (SELECT field FROM e) THEN 'expected' ELSE 'extra' END AS state FROM (SELECT * FROM c UNION ALL SELECT * FROM m WHERE n > 0)""",
     "schema_checks": """SELECT * FROM (VALUES ('other', 'missing'), ('is_flaky', 'extra'), ('issue_category', 'extra'), ('repo_url', 'extra'), ('lang', 'extra'), ('test_code', 'extra'), ('java_code', 'extra'), ('failure_log', 'extra'),
   ('id', 'bigint'), ('test_id', 'string'), ('is_flaky', 'boolean'), ('issue_category', 'string'), ('repo_url', 'string'), ('lang', 'string'), ('test_code', 'string'), ('java_code', 'string'), ('failure_log', 'string')) AS t("column", what)""",
     "element_by_key": with_views("SELECT id, repo_url, lang FROM cases WHERE id = 3", "cases"),
     "limit_of_open": with_views("SELECT id FROM cases WHERE trim(failure_log) = '' ORDER BY id LIMIT 50", "cases"),
-    "numeric_order": with_views("SELECT CAST(id AS VARCHAR) AS id, lang FROM cases ORDER BY cases.id LIMIT 20", "cases"),
+    "numeric_order": with_views("SELECT CAST(id AS VARCHAR) AS id, lang FROM cases", "cases"),
     "known_folders": "SELECT c_custkey, 'Name' || c_custkey AS name, CASE c_custkey % 3 WHEN 1 THEN 'Name' ELSE 'NAME' END || c_custkey AS folder FROM customer WHERE c_custkey % 3 < 2",
 }
