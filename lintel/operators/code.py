@@ -61,7 +61,9 @@ def classes(files: DataFrame, search_masked: bool = False) -> DataFrame:
     there is no path.  search_masked: whether methods are looked for in masked code.
     """
     order = [c for c in ("path",) if c in files.columns]
-    one = files.groupBy("repo", "fqn").agg(F.min(F.struct(*order, "code")).alias("f")).select("repo", "fqn", "f.code")
+    # The scan is work by row, not by byte: partitions of small files aren't to be joined into few.
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = files.repartition(parts, "repo", "fqn").groupBy("repo", "fqn").agg(F.min(F.struct(*order, "code")).alias("f")).select("repo", "fqn", "f.code")
     out = one.withColumn("o", once(J.outlined(F.col("code"), search_masked))).select("repo", "fqn", "code", "o.*")
     masked, own = F.col("masked"), F.col("fqn")
     name = F.get(F.filter("types", lambda t: t["kind"] == "class"), F.lit(0))["parent"]
