@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lintel.functions.text import CATEGORIES
 from lintel.operators import metrics as M
 from lintel.operators import significance as G
+from lintel.operators.suite import evaluation
 from lintel.plans.adapters import view, with_views
 
 
@@ -107,7 +108,35 @@ BOOTSTRAP = f"""c AS (SELECT {KEYS}, {CELLS} FROM predictions GROUP BY ALL), s A
   f AS (SELECT {KEYS}, CASE WHEN 2 * x_tp + x_fp + x_fn > 0 THEN 2.0::DOUBLE * x_tp / (2 * x_tp + x_fp + x_fn) ELSE 0 END AS f1 FROM d_fn)
 SELECT {KEYS}, round(quantile_cont(f1, 0.025), 9) AS f1_low, round(quantile_cont(f1, 0.975), 9) AS f1_high FROM f GROUP BY ALL"""
 
+#: Tables of the suite: the query whose SQL gives the same rows, key columns and measures.
+PARTS = {
+    "binary": ("binary_metrics_by_config", M.CONFIG, ("n", "tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1")),
+    "errors": ("confusion_rates", M.CONFIG, ("fnr", "fpr")),
+    "bias": ("prediction_bias", M.CONFIG, ("actual_positive", "predicted_positive", "predicted_rate", "bias")),
+    "macro_f1": ("macro_f1_by_config", M.CONFIG, ("labels", "macro_f1")),
+    "context": ("context_delta", ("model", "prompt_type"), ("f1_baseline", "f1_context", "f1_delta", "recall_delta", "precision_delta")),
+    "transitions": ("prediction_transitions", ("model", "prompt_type"), ("fn_to_tp", "tp_to_fn", "fp_to_tn", "tn_to_fp")),
+    "mcnemar": ("mcnemar_statistic", ("model", "prompt_type"), ("both", "only_baseline", "only_context", "neither", "chi_square")),
+    "categories": ("category_accuracy", ("actual_category",), ("n", "correct", "accuracy", "errors")),
+    "categories_by_model": ("category_accuracy_by_model", ("model", "actual_category"), ("n", "correct", "accuracy", "errors")),
+    "pairs": ("misclassification_pairs", ("actual_category", "predicted_category"), ("n", "share")),
+    "modal": ("modal_misclassification", ("actual_category", "wrong"), ("n", "rate")),
+    "intervals": ("true_n_ci", ("actual_category",), ("n", "accuracy", "cases", "lo", "hi")),
+}
+
+
+def _suite(df):
+    """All tables of the suite in one long one."""
+    tables, out = evaluation(df), None
+    for name, (_, keys, measures) in PARTS.items():
+        pairs = F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures))
+        part = tables[name].select(F.lit(name).alias("part"), F.concat_ws("|", *(F.col(k).cast("string") for k in keys)).alias("key"), F.explode(pairs).alias("x")).select("part", "key", "x.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 QUERIES = {
+    "evaluation_suite": on_predictions(_suite),
     "binary_metrics_by_config": on_predictions(M.binary_metrics),
     "binary_metrics_by_prompt": on_predictions(lambda df: M.binary_metrics(df, ("prompt_type",))),
     "confusion_rates": on_predictions(M.error_rates),
@@ -204,3 +233,8 @@ SELECT 'equal_sizes' AS "check", a AS passed FROM o UNION ALL SELECT 'equal_ids'
     "class_distribution_cases": sql("SELECT actual, n, round(n * 100.0 / sum(n) OVER (), 4) AS percent FROM (SELECT actual, count(DISTINCT id) AS n FROM predictions GROUP BY actual)"),
     "experiment_outcomes": sql("SELECT concat_ws(' | ', model, prompt_type, CASE WHEN context_enabled THEN 'context' ELSE 'baseline' END) AS experiment, count(*) AS n, count(*) FILTER (actual = predicted) AS correct, count(*) FILTER (actual_category = predicted_category) AS category_match FROM predictions GROUP BY 1"),
 }
+SQL["evaluation_suite"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS part, concat_ws('|', {", ".join(f"CAST({k} AS VARCHAR)" for k in keys)}) AS key, '{m}' AS measure, CAST("{m}" AS DOUBLE) AS value FROM ({SQL[query]}) AS {name}_{m}"""
+    for name, (query, keys, measures) in PARTS.items()
+    for m in measures
+)
