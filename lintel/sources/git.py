@@ -261,15 +261,13 @@ def blobs(index: DataFrame, wanted: DataFrame) -> DataFrame:
         found.append(step.filter(last & (F.col("mode") != FOLDER)).select("commit", "path", "oid"))
         at = written(step.filter(~last & (F.col("mode") == FOLDER)).select("commit", "path", "parts", "oid"), "git-level")
         level += 1
-    out = wanted.select(*wanted.columns, F.lit(None).cast("binary").alias("data"))
-    if found:
-        names = found[0]
-        for more in found[1:]:
-            names = names.unionByName(more)
-        names = written(names, "git-names")
-        data = names.join(contents(index, names).filter("kind = 'blob'").select("oid", "data"), "oid").select("commit", "path", "data")
-        out = wanted.join(data, ["commit", "path"], "left").select(*wanted.columns, "data")
-    return out
+    names = wanted.sparkSession.createDataFrame([], "commit string, path string, _oid string")
+    for part in found:
+        names = names.unionByName(part.withColumnRenamed("oid", "_oid"))
+    # Rows get their object's name first, so contents are dealt once.
+    named = written(wanted.join(names, ["commit", "path"], "left").select(*wanted.columns, "_oid"), "git-named")
+    data = contents(index, named, "_oid").filter("kind = 'blob'").select(F.col("oid").alias("_oid"), "data")
+    return named.join(data, "_oid", "left").select(*wanted.columns, "data")
 
 
 def _children(index: DataFrame, at: DataFrame) -> DataFrame:
