@@ -56,8 +56,10 @@ def _window_fit(df):
 
 def _chunks(budget, most, size):
     def run(df):
-        rows = filling.chunked(df.select("id", "lang", "test_code"), "lang", "id", size(F.col("test_code")), budget, most)
-        return rows.groupBy("lang", "chunk").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.sum(F.octet_length("test_code")).alias("bytes"))
+        # Texts are measured where they are read; only their sizes are dealt out.
+        sizes = df.select("id", "lang", size(F.col("test_code")).alias("size"), F.octet_length("test_code").alias("bytes"))
+        rows = filling.chunked(sizes, "lang", "id", F.col("size"), budget, most)
+        return rows.groupBy("lang", "chunk").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.sum("bytes").alias("bytes"))
 
     return run
 
