@@ -28,8 +28,8 @@ def _archives(spark, sf_dir):
             with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
                 for _, key, text in mine:
                     keys.append(key)
-                    z.writestr(zipfile.ZipInfo(f"r/Flaky/src/com/p{key % 7}/d{key}/Utils.java"), text)
-                    z.writestr(zipfile.ZipInfo(f"r/Fixed/src/com/p{key % 7}/d{key}/Utils.java"), text + "fixed", zipfile.ZIP_STORED)
+                    z.writestr(zipfile.ZipInfo(f"r/Flaky/src/com/p{key % 7}/d{key}/Utils.java"), text, zipfile.ZIP_DEFLATED)
+                    z.writestr(zipfile.ZipInfo(f"r/Fixed/src/com/p{key % 7}/d{key}/Utils.java"), text + "fixed", zipfile.ZIP_DEFLATED)
             write_bytes(f"{folder}/a{part}.zip", out.getvalue())
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(keys)), pa.array(keys)], ["part", "doc_id"])
 
