@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from hashlib import md5
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -34,23 +37,27 @@ def holm(df: DataFrame, p: str = "p_value", order: list[str] | None = None, alph
     return out.withColumn("significant", F.col(p) < alpha).withColumn("significant_corrected", F.col("p_corrected") < alpha)
 
 
-#: Random bits that one hash gives, and binary digits of a probability that are looked at.
-WORD, DIGITS = 60, 40
+#: Random bits that one hash gives, binary digits of a probability that are looked at, and hashes that are held at once.
+WORD, DIGITS, HELD = 60, 40, 1 << 16
 
 
-def ones(name: Column, bits: Column) -> Column:
+def ones(name: bytes, bits: int) -> int:
     """How many of the first ``bits`` fair bits of the stream ``name`` are 1.
 
     The generator is a counter: word i of a stream is the first 60 bits of the MD5
     of name and i, which any engine with MD5 and integers repeats.
     """
-    word = lambda i: F.conv(F.substring(F.md5(F.concat_ws("|", name, i.cast("string"))), 1, WORD // 4), 16, 10).cast("long")
-    used = lambda i: F.least(bits - i * WORD, F.lit(WORD)).cast("int")
-    counts = F.transform(F.sequence(F.lit(0), F.floor((bits - 1) / WORD).cast("int")), lambda i: F.bit_count(word(i).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), used(i)) - 1)))
-    return F.when(bits > 0, F.aggregate(counts, F.lit(0).cast("long"), lambda s, c: s + c)).otherwise(F.lit(0).cast("long"))
+    total, last = 0, -(-bits // WORD)
+    for first in range(0, last, HELD):
+        some = range(first, min(first + HELD, last))
+        words = np.frombuffer(b"".join([md5(b"%b|%d" % (name, i), usedforsecurity=False).digest()[:8] for i in some]), ">u8") >> np.uint64(64 - WORD)
+        if some.stop == last and bits % WORD:
+            words[-1] &= np.uint64((1 << bits % WORD) - 1)
+        total += int(np.bitwise_count(words).sum())
+    return total
 
 
-def binomial(name: Column, n: Column, part: Column, whole: Column) -> Column:
+def drawn(name: bytes, n: int, part: int, whole: int) -> int:
     """A draw of how many of ``n`` uniform numbers are below part / whole, in integers.
 
     The numbers are compared with the probability digit by digit.  Of those that are
@@ -58,16 +65,32 @@ def binomial(name: Column, n: Column, part: Column, whole: Column) -> Column:
     probability has a 1 these are below it, and where it has a 0 the others are not.
     So a draw takes about 2 n bits, not n numbers.
     """
-    start = F.struct(n.cast("long").alias("open"), F.lit(0).cast("long").alias("below"), part.cast("long").alias("rest"))
+    if part <= 0 or n <= 0:
+        return 0
+    if part >= whole:
+        return n
+    below, rest = 0, part
+    for digit in range(1, DIGITS + 1):
+        if not n:
+            break
+        zeros = ones(b"%b|%d" % (name, digit), n)
+        rest *= 2
+        if rest >= whole:
+            rest, below, n = rest - whole, below + zeros, n - zeros
+        else:
+            n = zeros
+    return below
+
+
+def binomial(name: Column, n: Column, part: Column, whole: Column) -> Column:
+    """``drawn`` of four columns."""
 
-    def step(s, digit):
-        zeros = ones(F.concat_ws("|", name, digit.cast("string")), s["open"])
-        has_one = 2 * s["rest"] >= whole
-        rest = F.when(has_one, 2 * s["rest"] - whole).otherwise(2 * s["rest"])
-        return F.struct(F.when(has_one, s["open"] - zeros).otherwise(zeros).alias("open"), F.when(has_one, s["below"] + zeros).otherwise(s["below"]).alias("below"), rest.alias("rest"))
+    @F.arrow_udf("long")
+    def run(names: pa.Array, ns: pa.Array, parts: pa.Array, wholes: pa.Array) -> pa.Array:
+        rows = zip(*(c.to_pylist() for c in (names, ns, parts, wholes)))
+        return pa.array([drawn(s.encode(), *numbers) for s, *numbers in rows], pa.int64())
 
-    drawn = F.aggregate(F.sequence(F.lit(1), F.lit(DIGITS)), start, step, lambda s: s["below"])
-    return F.when((part <= 0) | (n <= 0), F.lit(0).cast("long")).when(part >= whole, n.cast("long")).otherwise(drawn)
+    return run(name, *(c.cast("long") for c in (n, part, whole)))
 
 
 def bootstrap_f1(df: DataFrame, by=CONFIG, resamples: int = RESAMPLES, seed: int = SEED) -> DataFrame:
@@ -78,7 +101,9 @@ def bootstrap_f1(df: DataFrame, by=CONFIG, resamples: int = RESAMPLES, seed: int
     a binomial draw of what the ones before it left.
     """
     cells = confusion(df, by).withColumn("all", F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))
-    draws = cells.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1)))).repartition(*by, "draw")
+    # A draw is much work in a narrow row, so the number of partitions is given: others are joined into few by their bytes.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = cells.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1)))).repartition(parts, *by, "draw")
     name = lambda cell: F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by), F.col("draw").cast("string"), F.lit(cell))
     left, whole = F.col("all"), F.col("all")
     for cell in ("tp", "fp", "fn"):
