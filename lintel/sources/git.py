@@ -32,6 +32,8 @@ KINDS = {COMMIT: "commit", TREE: "tree", BLOB: "blob", TAG: "tag"}
 FAN = 8
 #: Bytes of resolved objects that one task keeps.
 KEPT = 64 << 20
+#: Bytes of an index that one slice has, and objects that are handed on at once.
+SLICE, ROWS = 1 << 20, 1 << 14
 FOLDER = "40000"
 
 
@@ -49,9 +51,9 @@ class Index:
         self._offsets = self._names + 24 * self.count
         self._large = self._offsets + 4 * self.count
 
-    def slice(self, first: int) -> list[tuple[str, int]]:
-        """(oid, offset) of the objects whose names begin with the byte ``first``."""
-        low, high = self.fan[first - 1] if first else 0, self.fan[first]
+    def slice(self, first: int, last: int | None = None) -> list[tuple[str, int]]:
+        """(oid, offset) of the objects whose names begin with the byte ``first``, or with one from it to ``last``."""
+        low, high = self.fan[first - 1] if first else 0, self.fan[first if last is None else last]
         names = self._file.read(self._names + 20 * low, 20 * (high - low))
         places = struct.unpack(f">{high - low}I", self._file.read(self._offsets + 4 * low, 4 * (high - low)))
         return [(names[20 * i : 20 * i + 20].hex(), self._place(p)) for i, p in enumerate(places)]
@@ -174,27 +176,49 @@ class Pack:
 
 
 def objects(spark: SparkSession, path: str) -> DataFrame:
-    """(pack, oid, offset) of all objects in the packs below a folder; an object that is in several packs is given once."""
-    names = listed(spark, path, "*.idx").select("path").withColumn("first", F.explode(F.sequence(F.lit(0), F.lit(255))))
+    """``objects_of`` all packs below a folder."""
+    return objects_of(listed(spark, path, "*.idx"))
 
+
+def slices(indexes: DataFrame) -> DataFrame:
+    """(path, first, last): the parts in which indexes (path, length) are read, by the first bytes of names."""
+    n = F.least(F.ceil(F.col("length") / SLICE), F.lit(256)).cast("int")
+    each = indexes.withColumn("n", F.greatest(n, F.lit(1))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return each.select("path", F.floor(F.col("i") * 256 / F.col("n")).cast("int").alias("first"), (F.floor((F.col("i") + 1) * 256 / F.col("n")) - 1).cast("int").alias("last"))
+
+
+def objects_of(indexes: DataFrame) -> DataFrame:
+    """(pack, oid, offset) of all objects in the packs of indexes (path, length); an object that is in several packs is given once.
+
+    An index is read in slices of about a megabyte, so a small one is opened once.
+    """
     def read(batches):
-        index = None
+        index, out = None, []
         for batch in batches:
-            for name, first in zip(*(c.to_pylist() for c in batch.columns)):
+            for name, first, last in zip(*(c.to_pylist() for c in batch.columns)):
                 if index is None or index[0] != name:
                     if index:
                         index[1].close()
                     index = (name, Index(name))
-                rows = index[1].slice(first)
                 pack = name.removesuffix(".idx") + ".pack"
-                yield pa.RecordBatch.from_arrays([pa.array([pack] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["pack", "oid", "offset"])
-
-    # Slices of sixteen first bytes go together.
-    dealt = names.repartition("path", F.floor(F.col("first") / 16)).sortWithinPartitions("path", "first").select("path", "first")
+                out += [(pack, oid, place) for oid, place in index[1].slice(first, last)]
+                if len(out) >= ROWS:
+                    yield _places(out)
+                    out = []
+        if index:
+            index[1].close()
+        yield _places(out)
+
+    # As many tasks as shuffles have: names are few bytes that stand for much work.
+    dealt = slices(indexes).repartition(int(indexes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "first").sortWithinPartitions("path", "first")
     found = dealt.mapInArrow(read, "pack string, oid string, offset long")
     return written(found.groupBy("oid").agg(F.min(F.struct("pack", "offset")).alias("p")).select("p.pack", "oid", "p.offset"), "git-objects")
 
 
+def _places(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["pack", "oid", "offset"])
+
+
 def contents(index: DataFrame, oids: DataFrame, key: str = "oid") -> DataFrame:
     """(oid, kind, data) of distinct objects; those that no pack has are left out."""
     places = index.join(oids.select(F.col(key).alias("oid")).distinct(), "oid")
