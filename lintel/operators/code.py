@@ -116,9 +116,11 @@ def tests_and_helpers(tests: DataFrame, chain: DataFrame, found: DataFrame) -> D
 
 def patch_code(patches: DataFrame) -> DataFrame:
     """test_id, test_code and helpers out of unified diffs (test_id, method, removed, context): the lines taken out alone, else with the unchanged ones."""
+    # The scans are work by row, not by byte: narrow rows of one file aren't to stay in one task, nor the filter to go before the dealing.
+    patches = patches.repartition(int(patches.sparkSession.conf.get("spark.sql.shuffle.partitions")), "test_id")
     clean = J.method(without_orphan_comments(F.col("removed")), F.col("method"))
     alone = F.when(clean.isNotNull(), F.coalesce(J.method(F.col("removed"), F.col("method")), clean))
-    out = patches.withColumn("alone", alone).withColumn("test_code", F.coalesce("alone", J.method(F.col("context"), F.col("method")))).filter("test_code is not null")
+    out = patches.withColumn("alone", once(alone)).withColumn("test_code", once(F.coalesce("alone", J.method(F.col("context"), F.col("method"))))).filter("test_code is not null")
     out = out.withColumn("source", F.when(F.col("alone").isNotNull(), F.col("removed")).otherwise(F.col("context")))
     called = F.array_except(T.helper_calls(J.mask(F.col("test_code"))), F.array("method", *map(F.lit, ["get", "set", "size", "add", "put", "remove", "contains", "isEmpty"])))
     out = out.withColumns({"called": once(called), "declared": once(J.outlined(F.col("source")))})
