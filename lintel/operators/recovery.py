@@ -29,6 +29,11 @@ STRICT_SUFFIX = (
 )
 
 
+def keys_of(df: DataFrame, key: str) -> DataFrame:
+    """Distinct keys for a join that deals both sides: they grow with the replies, and their small files would send them through the driver."""
+    return df.select(key).distinct().hint("merge")
+
+
 def numbered_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Lines of files with the line's number in its file, from 1; lines stand in the order in which Spark reads a file."""
     placed = written(lines.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")).withColumn("at", F.monotonically_increasing_id()), "lines")
@@ -46,8 +51,8 @@ def parsed_with_rejects(replies: DataFrame, raw: str = "raw", key: str = "sample
 
 def retry_manifest(requests: DataFrame, failed: DataFrame, key: str = "sample_id") -> tuple[DataFrame, DataFrame]:
     """(requests to ask again, manifest: their keys, a row each, in order); stops if a failed reply has no request."""
-    require_empty(failed.join(requests, key, "left_anti").select(key), "failed replies without a request")
-    again = written(requests.join(failed.select(key).distinct(), key, "left_semi"), "retry")
+    require_empty(failed.join(keys_of(requests, key), key, "left_anti").select(key), "failed replies without a request")
+    again = written(requests.join(keys_of(failed, key), key, "left_semi"), "retry")
     return again, again.select(key).orderBy(key)
 
 
@@ -88,7 +93,7 @@ def retry_parsed(replies: DataFrame, expected: DataFrame, strict: bool = True, r
     then counts; a well-formed reply goes before one read by field that is equal.
     error: a column whose text marks a reply as failed.
     """
-    mine = replies.join(expected.select(key).distinct(), key, "left_semi")
+    mine = replies.join(keys_of(expected, key), key, "left_semi")
     read = recover(mine, raw)
     if error:
         read = read.withColumn("error", F.when(F.col(error).isNotNull(), F.concat(F.lit("reported: "), F.col(error))).otherwise(F.col("error")))
@@ -106,7 +111,7 @@ def retry_parsed(replies: DataFrame, expected: DataFrame, strict: bool = True, r
     else:
         good = written(good.groupBy(key, "output").agg(F.min("recovered").alias("recovered")), "retry-good")
         require_empty(good.groupBy(key).count().filter("count > 1"), "different replies to one key")
-    unresolved = expected.select(key).distinct().join(good, key, "left_anti")
+    unresolved = expected.select(key).distinct().join(keys_of(good, key), key, "left_anti")
     if strict:
         require_empty(unresolved, "replies still missing")
     return {"parsed": good, "failures": bad, "unresolved": unresolved, "recoveries": recoveries}
@@ -127,8 +132,8 @@ def run_pending(experiments: dict[str, tuple[DataFrame, DataFrame]], run_one: Ca
 
 def strict_requests(requests: DataFrame, unresolved: DataFrame, prompt: str = "input", key: str = "sample_id") -> DataFrame:
     """The requests of unresolved keys with stricter output rules behind their prompts; stops if one has no request."""
-    require_empty(unresolved.join(requests, key, "left_anti").select(key), "unresolved keys without a request")
-    return requests.join(unresolved.select(key).distinct(), key, "left_semi").withColumn(prompt, F.concat(F.col(prompt), F.lit(STRICT_SUFFIX)))
+    require_empty(unresolved.join(keys_of(requests, key), key, "left_anti").select(key), "unresolved keys without a request")
+    return requests.join(keys_of(unresolved, key), key, "left_semi").withColumn(prompt, F.concat(F.col(prompt), F.lit(STRICT_SUFFIX)))
 
 
 def scored(prompts: DataFrame, score: Callable[[str], str], prompt: str = "prompt") -> DataFrame:
@@ -206,8 +211,8 @@ def recovered(requests: DataFrame, replies: DataFrame, retried: DataFrame | None
     brings nothing, or all are done; ``fill`` puts a Non-Flaky placeholder for the rest.
     """
     first = written(parse(replies).filter("error is null").select(key, "output"), "recovered-base")
-    failed = requests.select(key).join(first, key, "left_anti")
-    again = requests.join(failed, key, "left_semi")
+    failed = requests.select(key).join(keys_of(first, key), key, "left_anti")
+    again = requests.join(keys_of(failed, key), key, "left_semi")
     got = retry_parsed(written(score(again), "recovered-again") if retried is None else retried, failed, strict=False, key=key)
     fresh = got["parsed"].select(key, "output")
     base = written(merge_recovered(first, fresh, requests.select(key), key, complete=False), "recovered-merged")
@@ -218,7 +223,7 @@ def recovered(requests: DataFrame, replies: DataFrame, retried: DataFrame | None
         if not n:
             break
         now, left, _ = strict_pass(requests, base, left, score, key)
-        parts.append(now.join(base.select(key), key, "left_anti").select(key, "output", F.lit("strict").alias("via")))
+        parts.append(now.join(keys_of(base, key), key, "left_anti").select(key, "output", F.lit("strict").alias("via")))
         base, m = now, left.count()
         if m == n:
             break

@@ -35,13 +35,16 @@ def retry_set(requests: DataFrame, failed: DataFrame, key: str = "sample_id") ->
 
 
 def merge_recovered(base: DataFrame, fresh: DataFrame, expected: DataFrame, key: str = "sample_id", complete: bool = True) -> DataFrame:
-    """Good replies and recovered ones; stops on overlap, repeats, strangers, and, if ``complete``, gaps."""
-    require_empty(base.join(fresh, key, "left_semi").select(key), "recovered although present")
+    """Good replies and recovered ones; stops on overlap, repeats, strangers, and, if ``complete``, gaps.
+
+    Keys grow with the replies, so the joins deal both sides: none goes through the driver.
+    """
+    require_empty(base.join(fresh.select(key).hint("merge"), key, "left_semi").select(key), "recovered although present")
     both = base.unionByName(fresh)
     require_empty(both.groupBy(key).count().filter("count > 1"), "repeated replies")
-    require_empty(both.join(expected, key, "left_anti").select(key), "replies to nothing")
+    require_empty(both.join(expected.select(key).hint("merge"), key, "left_anti").select(key), "replies to nothing")
     if complete:
-        require_empty(expected.join(both, key, "left_anti").select(key), "replies still missing")
+        require_empty(expected.join(both.select(key).hint("merge"), key, "left_anti").select(key), "replies still missing")
     return both
 
 

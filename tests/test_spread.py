@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lintel.functions import java as J
 from lintel.operators import code as C
+from lintel.operators import recovery as R
 from lintel.operators import significance as G
 from lintel.plans import q_git as W
 from lintel.sources import git as S
@@ -33,7 +34,10 @@ def test_bootstrap_draws_are_spread(spark):
 def test_patches_are_spread(spark):
     removed = "  public void t() {\n    int a = h(1);\n  }\n  int h(int i) { return i; }"
     df = spark.range(64, numPartitions=1).select(F.col("id").alias("test_id"), F.lit("t").alias("method"), F.lit(removed).alias("removed"), F.lit("").alias("context"))
-    assert most_tasks(spark, lambda: C.patch_code(df).collect()) == 8
+    out = C.patch_code(df)
+    assert most_tasks(spark, out.collect) == 8
+    before = out._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert len(before) == 2 and "run(" in before[0] and "run(" not in before[1]
 
 
 def test_packs_are_spread_and_small_indexes_opened_once(spark, tmp_path):
@@ -63,3 +67,14 @@ def test_java_scans_pass_over_blanks_and_comments_once():
     assert [t.name for t in types] == ["T"] and len(methods) == 30_001
     assert methods[-1].name == "t" and methods[-1].head == ("public", "void") and methods[0].head == ()
     assert J.masked_code("a /* b\n*** c */ '\\'' \"x\\\"\" // y\nz") == "a     \n         " + " " * 4 + " " + " " * 5 + "     \nz"
+
+
+def test_keys_of_a_recovery_are_dealt(spark):
+    """No key column, which grows with the replies, goes through the driver."""
+    good = spark.range(50).selectExpr("cast(id as string) AS sample_id", "'{\"classification\": \"Flaky\", \"category\": \"Time Dependent\", \"reasoning\": \"x\", \"evidence\": []}' AS raw")
+    expected = good.select("sample_id")
+    got = R.retry_parsed(good, expected, strict=False)
+    for df in (got["unresolved"], good.join(R.keys_of(expected, "sample_id"), "sample_id", "left_semi")):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert got["unresolved"].count() == 0 and got["parsed"].count() == 50
