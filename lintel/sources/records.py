@@ -28,6 +28,8 @@ OUTSIDE, INSIDE = 0, 1
 #: Blocks whose states are sent to all tasks; those of more are joined by a shuffle.
 BROADCAST_BLOCKS = 100_000
 BATCH_BYTES = 8 << 20
+#: Records whose fields are held at once.
+RECORDS = 128
 _to_quote = re.compile(r'[^"]*+(?:""[^"]*+)*+"(?!")').match
 
 
@@ -123,12 +125,16 @@ def csv_records(spark: SparkSession, path: str, comma: str = ",") -> DataFrame:
     whole = broken.withColumn("n", number).groupBy("path", "n").agg(F.array_sort(F.collect_list(F.struct("start", "at", "text"))).alias("p"))
     whole = whole.select("path", F.col("p")[0]["start"].alias("start"), F.col("p")[0]["at"].alias("at"), F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text"))
 
-    @F.arrow_udf("array<string>")
-    def split(records: pa.Array) -> pa.Array:
-        return pa.array([fields(r.removesuffix("\r"), comma) for r in records.to_pylist()], pa.list_(pa.string()))
+    def split(batches):
+        """Few records at once: a batch holds thousands, each of which may be a whole text."""
+        for batch in batches:
+            for low in range(0, batch.num_rows, RECORDS):
+                part = batch.slice(low, RECORDS)
+                found = pa.array([fields(r.removesuffix("\r"), comma) for r in part.column(3).to_pylist()], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), found], ["path", "start", "at", "fields"])
 
     every = pieces.filter("first and last").select("path", "start", "at", "text").unionByName(whole)
-    return every.filter(~F.col("text").isin("", "\r")).select("path", "start", "at", split("text").alias("fields"))
+    return every.filter(~F.col("text").isin("", "\r")).mapInArrow(split, "path string, start long, at long, fields array<string>")
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:

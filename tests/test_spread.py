@@ -13,6 +13,7 @@ from lintel.operators import recovery as R
 from lintel.operators import significance as G
 from lintel.plans import q_git as W
 from lintel.sources import git as S
+from lintel.sources.records import RECORDS, csv_records
 
 
 def most_tasks(spark, run) -> int:
@@ -78,3 +79,12 @@ def test_keys_of_a_recovery_are_dealt(spark):
         df.collect()
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
     assert got["unresolved"].count() == 0 and got["parsed"].count() == 50
+
+
+def test_records_are_split_few_at_once(spark, tmp_path):
+    """No function over whole batches: a batch of whole texts and all their fields was held by each worker."""
+    n = 2 * RECORDS + 3
+    (tmp_path / "a.csv").write_text("".join(f'{i},"x\n{i}"\n' for i in range(n)))
+    found = csv_records(spark, str(tmp_path))
+    assert sorted((int(r.fields[0]), r.fields[1]) for r in found.collect()) == [(i, f"x\n{i}") for i in range(n)]
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().optimizedPlan().toString()
