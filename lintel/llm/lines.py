@@ -9,9 +9,10 @@ hash and line number, is its duplicate or near duplicate.
 1. Distinct lines, each with its earliest place.
 2. Lines one edit apart agree in their first or their last half; lines that
    share no half with another line emit nothing further.  No partner is lost.
-3. Deletion neighbourhood: a line emits, for each position, the hash of what is
-   left when that word is out, and of itself with a gap there; both hashes come
-   from running sums over word hashes, so a line emits in proportion to its length.
+3. Deletion neighbourhood: a line emits, for each position outside of a half it
+   shares, the hash of what is left when that word is out, and of itself with a
+   gap there; both hashes come from running sums over word hashes, so a line
+   emits in proportion to its length.
 4. Equal variants meet at their earliest line (no pairs among the others).
 5. Word by word, each meeting is verified to be one edit; the earlier line wins.
 
@@ -38,8 +39,10 @@ from lintel.storage import written
 
 NEAR_WORDS = 8
 OUTPUTS = ("n_lines", "n_exact", "n_near", "kept")
-BLANKS, IN_LINE = r"[\x20\x09-\x0D]+", r"[\x20\x09\x0B-\x0D]+"
-#: Texts without any of these have single blanks between words already.
+#: Two hashes of a line's words; as columns of their own they sort and group faster than as a struct.
+LINE = ("line_a", "line_b")
+BLANKS, IN_LINE, WORD = r"[\x20\x09-\x0D]+", r"[\x20\x09\x0B-\x0D]+", r"[^\x20\x09-\x0D]"
+#: Lines without any of these have single blanks between words already.
 UNEVEN = ("  ", "\t", "\v", "\f", "\r")
 
 
@@ -48,19 +51,35 @@ def line_words(line: Column) -> Column:
     return F.trim(F.regexp_replace(lowered(line), BLANKS, " "))
 
 
-def _all_words(text: Column) -> Column:
-    """The words of all lines of a text; blanks may stand at a line's ends."""
-    text = lowered(text)
-    return F.when(reduce(or_, (F.contains(text, F.lit(x)) for x in UNEVEN)), F.regexp_replace(text, IN_LINE, " ")).otherwise(text)
+def _even(line: Column) -> Column:
+    """A lower-case line with single blanks between its words and none at its ends."""
+    return F.trim(F.when(reduce(or_, (F.contains(line, F.lit(x)) for x in UNEVEN)), F.regexp_replace(line, IN_LINE, " ")).otherwise(line))
 
 
-def _halves(line: Column, n: Column) -> Column:
-    """Hashes of the halves of a line of n words, as such a line and as one of n - 1 words with one more."""
-    out = []
-    for size in (n, n - 1):
-        half = F.floor(size / 2).cast("int")
-        out += [F.xxhash64(size, F.lit(tag), F.call_function("substring_index", line, F.lit(" "), count)) for tag, count in (("first", half), ("last", -half))]
-    return F.array(*out)
+def _lines(rows: DataFrame, near_words: int) -> DataFrame:
+    """key, rid, i, the hashes of every line with words, and those of its halves if it has ``near_words``.
+
+    One step a select: what a generator, a filter or a branch names again and again is computed each time, a column once.
+    """
+    each = rows.select("key", "rid", F.posexplode(F.split("text", "\n", -1)).alias("i", "l")).filter(F.col("l").rlike(WORD))
+    each = each.withColumn("l", lowered(F.col("l"))).withColumn("l", _even(F.col("l")))
+    each = each.withColumn("n", F.octet_length("l") - F.octet_length(F.replace("l", F.lit(" "))) + 1)
+    each = each.withColumn("half", F.floor(F.col("n") / 2).cast("int"))
+    each = each.withColumn("head", _words(F.col("l"), F.col("half"))).withColumn("tail", _words(F.col("l"), -F.col("half")))
+    halves = F.when(F.col("n") >= near_words, _halves(F.col("n"), F.col("half"), F.col("head"), F.col("tail")))
+    return each.select("key", "rid", "i", F.xxhash64("l").alias(LINE[0]), F.xxhash64(F.lit("second"), "l").alias(LINE[1]), halves.alias("halves"))
+
+
+def _words(line: Column, count: Column) -> Column:
+    """The first words of a line, or the last ones if ``count`` is negative."""
+    return F.call_function("substring_index", line, F.lit(" "), count)
+
+
+def _halves(n: Column, half: Column, head: Column, tail: Column) -> Column:
+    """Hashes of the first and the last half of n words, in turns; of an even n also of one word less, as lines of n - 1 words have it."""
+    hashes = lambda size, first, last: [F.xxhash64(size, F.lit("first"), first), F.xxhash64(size, F.lit("last"), last)]
+    own, less = hashes(half, head, tail), half - 1
+    return F.when(n % 2 == 1, F.array(*own)).otherwise(F.array(*own, *hashes(less, _words(head, less), _words(tail, -less))))
 
 
 def one_edit(a: Column, b: Column) -> Column:
@@ -77,57 +96,67 @@ def _one_more(a: Column, b: Column) -> Column:
 
 
 def _variants(words: DataFrame) -> DataFrame:
-    """(key, line): a key for every word left out and for every gap of each line."""
-    each = words.select("line", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
+    """(key, line): a key for every word left out and for every gap of each line, but not inside a half that it shares.
+
+    ``head`` and ``tail`` say whether another line has its first, or its last, half.
+    If both lines of an insertion agree in the first m words, the word that is out
+    may be taken behind them: one inside them is repeated up to there.
+    """
+    each = words.select(*LINE, "head", "tail", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
     # 32 bits of a hash: sums over 2^31 words stay within a long.  Two independent sums, as lines of one key are verified against its earliest only.
     part = lambda *of: F.shiftrightunsigned(F.xxhash64(*of), 32)
     from_end = F.col("n") - F.col("i")
-    each = each.select("line", "n", "i", part("w", "i").alias("f"), part("w", from_end, F.lit("end")).alias("b"), part(F.lit("second"), "w", "i").alias("f2"), part(F.lit("second"), "w", from_end, F.lit("end")).alias("b2"))
-    before = Window.partitionBy("line").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("line").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.select(*LINE, "head", "tail", "n", "i", part("w", "i").alias("f"), part("w", from_end, F.lit("end")).alias("b"), part(F.lit("second"), "w", "i").alias("f2"), part(F.lit("second"), "w", from_end, F.lit("end")).alias("b2"))
+    before = Window.partitionBy(*LINE).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*LINE).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*LINE)
     run = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
     each = each.select("*", run("f", before).alias("pre"), run("f2", before).alias("pre2"), run("b", after).alias("done"), run("b2", after).alias("done2"))
-    ends = each.filter(F.col("i") == F.col("n") - 1).select("line", F.col("done").alias("all"), F.col("done2").alias("all2"))
-    each = each.join(ends, "line")
-    suf, suf2, none = F.col("all") - F.col("done"), F.col("all2") - F.col("done2"), F.lit(0).cast("long")
-    out = F.xxhash64("i", F.col("n") - 1, "pre", suf, "pre2", suf2)
-    gap = F.xxhash64("i", "n", "pre", suf + F.col("b"), "pre2", suf2 + F.col("b2"))
+    each = each.select("*", (F.sum("b").over(whole) - F.col("done")).alias("suf"), (F.sum("b2").over(whole) - F.col("done2")).alias("suf2"))
+    least, none = F.floor((F.col("n") - 1) / 2), F.lit(0).cast("long")
+    behind = F.col("head") & (F.col("i") >= least)
+    out = F.xxhash64("i", F.col("n") - 1, "pre", "suf", "pre2", "suf2")
+    gap = F.xxhash64("i", "n", "pre", F.col("suf") + F.col("b"), "pre2", F.col("suf2") + F.col("b2"))
     last = F.xxhash64("n", "n", F.col("pre") + F.col("f"), none, F.col("pre2") + F.col("f2"), none)
-    keys = F.when(F.col("i") == F.col("n") - 1, F.array(out, gap, last)).otherwise(F.array(out, gap))
-    return each.select(F.explode(keys).alias("key"), "line")
+    each = each.filter(behind | F.col("tail") & (F.col("i") <= F.col("n") - least))
+    keys = [
+        F.when(behind | F.col("tail") & (F.col("i") < F.col("n") - least), out),
+        gap,
+        F.when((F.col("i") == F.col("n") - 1) & (F.col("head") | (least == 0)), last),
+    ]
+    return each.select(F.explode(F.array(*keys)).alias("key"), *LINE).filter(F.col("key").isNotNull())
 
 
 def near_lines(lines: DataFrame, texts: DataFrame) -> DataFrame:
-    """Lines (by hash) that an earlier line is one edit from. lines: line, first, halves; texts: rid and text."""
-    halves = lines.filter(F.col("halves").isNotNull()).select("line", "first", F.explode("halves").alias("half"))
+    """Lines (by hash) that an earlier line is one edit from. lines: LINE, first, halves; texts: rid and text."""
+    halves = lines.filter(F.col("halves").isNotNull()).select(*LINE, "first", F.posexplode("halves").alias("at", "half"))
     met = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
-    some = written(halves.join(met, "half", "left_semi").groupBy("line").agg(F.min("first").alias("first")), "lines-met")
-    wanted = some.select("line", F.col("first.rid").alias("rid"), F.col("first.i").alias("i")).groupBy("rid").agg(F.collect_list(F.struct("i", "line")).alias("w"))
+    some = halves.join(met.hint("shuffle_hash"), "half", "left_semi").groupBy(*LINE)
+    some = written(some.agg(F.min("first").alias("first"), F.max(F.col("at") % 2 == 0).alias("head"), F.max(F.col("at") % 2 == 1).alias("tail")), "lines-met")
+    wanted = some.select(F.col("first.rid").alias("rid"), F.struct(F.col("first.i").alias("i"), *LINE, "head", "tail").alias("w")).groupBy("rid").agg(F.collect_list("w").alias("w"))
     found = texts.join(wanted, "rid").select(F.split("text", "\n", -1).alias("l"), "w").select("l", F.explode("w").alias("w"))
-    found = found.select(F.col("w.line").alias("line"), F.split(line_words(F.get("l", F.col("w.i"))), " ").alias("words"))
-    words = written(found.dropDuplicates(["line"]), "lines-words")
+    found = found.select(F.get("l", F.col("w.i")).alias("l"), *(F.col(f"w.{c}").alias(c) for c in (*LINE, "head", "tail")))
+    words = written(found.dropDuplicates([*LINE]).withColumn("words", F.split(line_words(F.col("l")), " ")).drop("l"), "lines-words")
     keyed = written(_variants(words), "lines-variants")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = written(keyed.join(shared, "key", "left_semi").join(some, "line"), "lines-members")
-    earliest = members.groupBy("key").agg(F.min(F.struct("first", "line")).alias("e")).select("key", F.col("e.line").alias("other"))
-    pairs = members.join(earliest, "key").filter(F.col("line") != F.col("other")).select("line", "other").distinct()
-    mine, other = words, words.select(F.col("line").alias("other"), F.col("words").alias("others"))
-    return pairs.join(mine, "line").join(other, "other").filter(one_edit(F.col("words"), F.col("others"))).select("line").distinct()
+    members = written(keyed.join(shared.hint("shuffle_hash"), "key", "left_semi").join(some.select(*LINE, "first"), [*LINE]), "lines-members")
+    others = [f"other_{c}" for c in LINE]
+    earliest = members.groupBy("key").agg(F.min(F.struct("first", *LINE)).alias("e")).select("key", *(F.col(f"e.{c}").alias(o) for c, o in zip(LINE, others)))
+    pairs = members.join(earliest, "key").filter(reduce(or_, (F.col(c) != F.col(o) for c, o in zip(LINE, others)))).select(*LINE, *others).distinct()
+    mine, other = words.select(*LINE, "words"), words.select(*(F.col(c).alias(o) for c, o in zip(LINE, others)), F.col("words").alias("others"))
+    return pairs.join(mine, [*LINE]).join(other, others).filter(one_edit(F.col("words"), F.col("others"))).select(*LINE).distinct()
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", near_words: int = NEAR_WORDS) -> DataFrame:
     """``docs`` with ``text`` cut to the kept lines, and n_lines (with words), n_exact and n_near (dropped), kept."""
     docs, back = set_aside(docs, key, text, OUTPUTS)
     rows = docs.withColumn("rid", row_name(F.col("key"), F.col("text")))
-    each = rows.select("key", "rid", F.posexplode(F.split(_all_words(F.col("text")), "\n", -1)).alias("i", "l"))
-    each = each.withColumn("l", F.trim("l")).filter("l != ''").withColumn("w", F.size(F.split("l", " ")))
-    line = F.struct(F.xxhash64("l").alias("a"), F.xxhash64(F.lit("second"), "l").alias("b"))
-    each = written(each.select("key", "rid", "i", line.alias("line"), F.when(F.col("w") >= near_words, _halves(F.col("l"), F.col("w"))).alias("halves")), "lines")
-    lines = each.groupBy("line").agg(F.min(F.struct("key", "rid", "i")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
+    each = written(_lines(rows, near_words), "lines")
+    lines = each.groupBy(*LINE).agg(F.min(F.struct("key", "rid", "i")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
     lines = written(lines, "lines-distinct")
-    near = near_lines(lines.select("line", "first", "halves"), rows.select("rid", "text")).withColumn("near", F.lit(True))
-    faulty = lines.join(near, "line", "left").filter("near or n > 1").select("line", "n", F.col("first.rid").alias("rid0"), F.col("first.i").alias("i0"), F.coalesce("near", F.lit(False)).alias("near"))
-    gone = join_counted(each.select("line", "rid", "i"), written(faulty, "lines-faulty"), "line", "n", each.count()).filter("near or rid != rid0 or i != i0")
+    near = near_lines(lines.select(*LINE, "first", "halves"), rows.select("rid", "text")).withColumn("near", F.lit(True))
+    faulty = lines.join(near, [*LINE], "left").filter("near or n > 1").select(*LINE, "n", F.col("first.rid").alias("rid0"), F.col("first.i").alias("i0"), F.coalesce("near", F.lit(False)).alias("near"))
+    gone = join_counted(each.select(*LINE, "rid", "i"), written(faulty, "lines-faulty"), [*LINE], "n", each.count()).filter("near or rid != rid0 or i != i0")
     gone = gone.select("rid", "i", (F.col("near") & (F.col("rid") == F.col("rid0")) & (F.col("i") == F.col("i0"))).alias("near"))
     gone = gone.groupBy("rid").agg(F.collect_set("i").alias("gone"), F.collect_set(F.when(F.col("near"), F.col("i"))).alias("near"))
     out = rows.join(gone, "rid", "left")
@@ -135,7 +164,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", near_w
     out = out.withColumn("gone", F.coalesce("gone", none)).withColumn("near", F.coalesce("near", none)).withColumn("l", F.split("text", "\n", -1))
     kept = F.filter("l", lambda l, i: ~F.array_contains("gone", i))
     out = (
-        out.withColumn("n_lines", F.coalesce(F.size(F.filter("l", lambda l: l.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0)).cast("long"))
+        out.withColumn("n_lines", F.coalesce(F.size(F.filter("l", lambda l: l.rlike(WORD))), F.lit(0)).cast("long"))
         .withColumn("n_exact", (F.size("gone") - F.size("near")).cast("long"))
         .withColumn("n_near", F.size("near").cast("long"))
         .withColumn("text", F.when(F.size("gone") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")))

@@ -67,7 +67,7 @@ def set_aside(df: DataFrame, key: str, text: str, outputs: tuple[str, ...] = ())
     return df.toDF(*inner), back
 
 
-def join_counted(rows: DataFrame, named: DataFrame, on: str, count: str, total: int) -> DataFrame:
+def join_counted(rows: DataFrame, named: DataFrame, on: str | list[str], count: str, total: int) -> DataFrame:
     """Inner join on a key that a third of the rows may share: ``count`` has each key's rows, ``total`` their sum.
 
     At most ``HOT_KEYS`` keys can have a share of 1/HOT_KEYS each; those are

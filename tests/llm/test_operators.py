@@ -300,6 +300,47 @@ def test_lines_survive_a_collision(spark):
     assert got == {1: 0, 2: 0, 3: 1}
 
 
+def test_lines_work(spark, monkeypatch):
+    """Lines are lower-cased outside of the generator, which would do it for each mention; half of a line's variants do if a half is shared."""
+    frames, write = {}, lines.written
+    monkeypatch.setattr(lines, "written", lambda df, name: frames.setdefault(name, write(df, name)) if name != "lines" else frames.setdefault("plan", df) and write(df, name))
+    base = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:-1], "other"]))]
+    got = {r.doc_id: r.n_near for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1}
+    plan = frames["plan"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and not [x for x in plan.splitlines() if "Generate" in x and "lower(" in x]
+    assert frames["lines-variants"].count() <= 2 * (2 * 21 + 1) < 2 * (2 * 40 + 1)
+
+
+@pytest.mark.parametrize("near_words", [1, 2, 8])
+def test_lines_brute_force(spark, near_words):
+    """Runs of one word, and edits at either end, in the middle and on both sides of it, for lines of even and odd length."""
+    pick = random.Random(near_words)
+    found = {}
+    for k in range(400):
+        line = pick.choices(["a", "b", "\u00c9"], weights=[8, 2, 1], k=near_words + pick.randrange(7)) if k % 4 < 2 else list(pick.choice(list(found.values())))
+        at = pick.randrange(len(line))
+        line[at : at + pick.randrange(2)] = ["c"] * pick.randrange(2)
+        found[k] = line or ["a"]
+    rows = [(k, "\t".join(w).upper() if k % 5 else " ".join(w) + " ") for k, w in found.items()]
+
+    def edit(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    seen, want = [], {}
+    for k, w in found.items():
+        near = len(w) >= near_words and any(len(x) >= near_words and edit(x, w) for x in seen)
+        want[k] = (int(w in seen), int(near and w not in seen))
+        seen += [] if w in seen else [w]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), near_words=near_words)
+    assert {r.doc_id: (r.n_exact, r.n_near) for r in got.collect()} == want
+    assert 20 < sum(n for _, n in want.values())
+
+
 def test_quality(spark):
     sample = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
