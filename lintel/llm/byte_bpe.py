@@ -21,7 +21,6 @@ from __future__ import annotations
 import base64
 from array import array
 from functools import lru_cache
-from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -30,8 +29,8 @@ from pyspark.sql import functions as F
 
 from lintel.llm.words import vocabulary_file
 
-#: Distinct pieces, prefixes and token pairs that one worker keeps; a full store is emptied.
-KEPT = 600_000
+#: Distinct pieces, prefixes and token pairs that one worker keeps, also between tasks and through stages without encoding.
+PIECES, PREFIXES, PAIRS = 240_000, 120_000, 300_000
 
 
 class Vocabulary:
@@ -91,7 +90,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) >= KEPT:
+            if len(self._pairs) >= PAIRS:
                 self._pairs.clear()
             known = self._pairs[key] = self.apart(left, right)
         return known
@@ -105,7 +104,7 @@ class Vocabulary:
         end = len(data)
         while end and data[:end] not in last:
             end -= 1
-        if len(last) >= KEPT:
+        if len(last) >= PREFIXES:
             last.clear()
             end = 0
         for end in range(end + 1, len(data) + 1):
@@ -171,16 +170,20 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.vocabulary = Vocabulary(path)
         self.pieces = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
-
-    def piece(self, piece: str) -> list[int]:
-        data = piece.encode()
-        whole = self.vocabulary.rank.get(data)
-        if len(data) > 48:
-            return [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
-        found = [whole] if whole is not None else self.vocabulary.short(data)
-        if len(self.known) >= KEPT:
-            self.known.clear()
+        #: Ids of pieces as bytes of 32-bit numbers; those of ``before`` were met before ``known`` was last full, and go when it is full again.
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def piece(self, piece: str) -> bytes:
+        found = self.before.pop(piece, None)
+        if found is None:
+            data = piece.encode()
+            whole = self.vocabulary.rank.get(data)
+            if len(data) > 48:
+                return array("i", [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()).tobytes()
+            found = array("i", [whole] if whole is not None else self.vocabulary.short(data)).tobytes()
+        if len(self.known) >= PIECES // 2:
+            self.before, self.known = self.known, {}
         self.known[piece] = found
         return found
 
@@ -189,7 +192,7 @@ class Encoder:
         found = list(map(self.known.get, pieces))
         if None in found:
             found = [self.piece(piece) if ids is None else ids for piece, ids in zip(pieces, found)]
-        return array("i", chain.from_iterable(found))
+        return array("i", b"".join(found))
 
 
 @lru_cache(maxsize=2)
@@ -198,12 +201,22 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def _lists(parts: list) -> pa.ListArray:
-    offsets, flat = array("i", [0]), array("i")
-    for ids in parts:
-        flat.extend(ids)
-        offsets.append(len(flat))
-    return pa.ListArray.from_arrays(pa.array(memoryview(offsets), pa.int32()), pa.array(memoryview(flat), pa.int32()))
+def _ints(numbers: array) -> pa.Array:
+    """The numbers in place, without a copy."""
+    return pa.Array.from_buffers(pa.int32(), len(numbers), [None, pa.py_buffer(numbers)])
+
+
+def encoded_batch(e: Encoder, texts: pa.Array) -> pa.StructArray:
+    """Ids and decoded bytes of all texts, each written once to the buffers that the result keeps."""
+    ids, ends, data, cuts = array("i"), array("i", [0]), bytearray(), array("i", [0])
+    for text in texts:
+        found = e.encode(text.as_py() or "")
+        ids.extend(found)
+        ends.append(len(ids))
+        data += e.vocabulary.decode(found)
+        cuts.append(len(data))
+    decoded = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(_ints(ends), _ints(ids)), decoded], ["ids", "decoded"])
 
 
 def encoded(text: Column, path: str, pattern: str) -> Column:
@@ -211,10 +224,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
     def run(texts: pa.Array) -> pa.Array:
-        e = encoder(path, pattern)
-        ids = [e.encode(t.as_py() or "") for t in texts]
-        decoded = pa.array([e.vocabulary.decode(x) for x in ids], pa.binary())
-        return pa.StructArray.from_arrays([_lists(ids), decoded], ["ids", "decoded"])
+        return encoded_batch(encoder(path, pattern), texts)
 
     return run(text)
 
