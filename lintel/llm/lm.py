@@ -23,9 +23,15 @@ the texts alone, so results do not depend on a session's settings.
 ``order`` is two unless the caller asks for more: of 0.5 GB of text, pairs and words
 take 113 MB in every Python worker, triples 92 MB more.
 
+Grams move as the differences of their sorted hashes, in compressed planes of
+bytes.  A run of words keeps the bits that name its segment and ``NAME_BITS`` more,
+so that within a segment about one in 10^5 shares its name with another.
+
 Filter and word counts are broadcast while they take at most ``BROADCAST_BYTES``
-together; larger ones stay in their segments, and the documents' distinct grams
-go to them by a shuffle and back by joins, with equal results.
+together; larger ones stay in their segments.  The texts are packed into runs of
+``RUN_BYTES``, whose distinct grams go to the segments; back come levels and counts
+alone, in the order of the grams, which the run finds again from its texts.  Results
+are equal, and all that is moved is in proportion to the texts.
 
 Defined results: null texts count as empty and have one token, the end; repeated
 rows are learned from and scored each by itself; with no training rows N = V = 0
@@ -35,7 +41,7 @@ and a column with an output's name is replaced.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +51,18 @@ from pyspark.sql import functions as F
 from lintel.llm.words import row_name, set_aside
 from lintel.storage import written
 
-BROADCAST_BYTES = 256 << 20
+#: Small, so that a model takes little of every Python worker's memory.
+BROADCAST_BYTES = 8 << 20
 PROBES, MU, ADD, ORDER = 5, 4.0, 0.1, 2
 #: Bytes of texts for each segment of a kind.
 SEGMENT_BYTES = 32 << 20
-CHUNK_BYTES, RUN_TOKENS = 2 << 20, 1_500_000
+CHUNK_BYTES, RUN_TOKENS, RUN_BYTES = 2 << 20, 2_000_000, 16 << 20
+#: What a text counts in a run besides its bytes.
+TEXT_BYTES = 8
+#: Bits that name a run of words within its segment.
+NAME_BITS = 40
+#: Grams that a filter is asked for at once.
+LOOKED_UP = 250_000
 OUTPUTS = {"n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
 
 _U = np.uint64
@@ -131,11 +144,46 @@ def chunks(texts: list):
         yield some
 
 
+def blob(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes, behind the number of planes."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unblob(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of a ``blob``."""
+    width, out = data[0], np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(pa.decompress(data[1:], width * n, codec="zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def name_bits(kind: int, bits: int) -> int:
+    """Bits that name a gram within its segment: all of a word's, for exact counts."""
+    return NAME_BITS if kind else 64 - bits
+
+
+def cut(kind: int, grams: np.ndarray, bits: int):
+    """(segment, from, to, names) of sorted grams; names: the differences of what names them, as a blob."""
+    edges = np.searchsorted(grams, np.arange(1 << bits, dtype=np.uint64) << _U(64 - bits))
+    width = name_bits(kind, bits)
+    names = (grams >> _U(64 - bits - width)) & _U((1 << width) - 1)
+    for seg, (a, b) in enumerate(zip(edges.tolist(), [*edges[1:].tolist(), len(grams)])):
+        if b > a:
+            yield seg, a, b, blob(np.diff(names[a:b], prepend=_U(0)))
+
+
+def keys(kind: int, seg: int, bits: int, names: list[bytes], sizes: list[int]) -> np.ndarray:
+    """The grams of many runs in one segment, run by run, as its filter knows them."""
+    found = [np.cumsum(unblob(x, n), dtype=np.uint64) for x, n in zip(names, sizes)]
+    return np.concatenate(found) | _U(seg << name_bits(kind, bits))
+
+
 class Filter:
-    """Segments of a log-frequency Bloom filter, one after the other; 2^bits segments by the hash's top bits."""
+    """Segments of a log-frequency Bloom filter, one after the other; 2^bits segments by the hash's top bits; ``drop``: lower bits that it doesn't know."""
 
-    def __init__(self, bits: int, words: np.ndarray, starts: np.ndarray):
-        self.bits, self.words, self.starts = bits, words, starts
+    def __init__(self, bits: int, words: np.ndarray, starts: np.ndarray, drop: int = 0):
+        self.bits, self.words, self.starts, self.drop = bits, words, starts, drop
         self.sizes = np.diff(starts).astype(np.uint64) * _U(64)
 
     @staticmethod
@@ -154,10 +202,14 @@ class Filter:
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
         """The level of each gram, by repeated membership probes."""
-        found = np.zeros(len(grams), np.int64)
+        return np.concatenate([self._levels(some) for some in np.split(grams, range(LOOKED_UP, len(grams), LOOKED_UP))])
+
+    def _levels(self, grams: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(grams), np.uint8)
         live = np.arange(len(grams))
         part = (grams >> _U(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(grams), np.int64)
         size, start = self.sizes[part], self.starts[part]
+        grams = grams >> _U(self.drop)
         live = live[size > 0]
         for level in range(1, len(THRESHOLDS) + 1):
             for probe in range(PROBES):
@@ -192,43 +244,47 @@ class Model:
         if len(self.known):
             at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
             exact = np.where(self.known[at] == distinct, self.counts[at], 0).astype(np.float64)
-        total = self.n + ADD * (self.v + 1)
-        count = COUNT_OF[self.filters[0].levels(distinct)][which]
-        p = (count + ADD) / total
-        first = COUNT_OF[self.filters[0].levels(np.array([END]))][0]
-        for found, (both, _, valid) in zip(self.filters[1:], longer(grams, starts, len(self.filters))):
-            # A context's count is that of the shorter gram, one token earlier.
-            around = np.concatenate([[first], count[:-1]])
-            around[starts] = first
-            count = np.zeros(len(grams))
-            count[valid] = COUNT_OF[found.levels(both[valid])]
-            p = np.where(valid, (count + MU * p) / (np.maximum(around, count) + MU), p)
-        sums = lambda x: np.add.reduceat(x, starts)
-        return np.diff(np.append(starts, len(grams))), sums((exact > 0)[which].astype(np.int64)), sums(np.log10((exact + ADD) / total)[which]), sums(np.log10(p))
+        levels = lambda kind, grams: self.filters[kind].levels(grams) if kind else self.filters[0].levels(distinct)[which]
+        return sums(grams, starts, exact[which], levels, len(self.filters), self.n, self.v)
+
+
+def sums(grams: np.ndarray, starts: np.ndarray, exact: np.ndarray, levels: Callable, order: int, n: int, v: int) -> list[np.ndarray]:
+    """n_tokens, n_known, base_score and score of each text from its tokens' exact counts; levels(kind, grams): the filter's."""
+    total = n + ADD * (v + 1)
+    count = COUNT_OF[levels(0, grams)]
+    p = (count + ADD) / total
+    first = count[-1]  # a run of tokens ends with an end
+    for kind, (both, _, valid) in enumerate(longer(grams, starts, order), 1):
+        # A context's count is that of the shorter gram, one token earlier.
+        around = np.concatenate([[first], count[:-1]])
+        around[starts] = first
+        count = np.zeros(len(grams))
+        count[valid] = COUNT_OF[levels(kind, both[valid])]
+        p = np.where(valid, (count + MU * p) / (np.maximum(around, count) + MU), p)
+    summed = lambda x: np.add.reduceat(x, starts)
+    return [np.diff(np.append(starts, len(grams))), summed((exact > 0).astype(np.int64)), summed(np.log10((exact + ADD) / total)), summed(np.log10(p))]
 
 
-RUN = "kind int, seg int, grams binary, counts binary"
-SEGMENT = "kind int, seg int, bits binary, grams binary, counts binary, n long, v long"
+RUN = "kind int, seg int, n int, names binary, counts binary"
+SEGMENT = "kind int, seg int, bits binary, names binary, counts binary, n long, v long"
 
 
 def _runs(bits: int, order: int):
     """Sorted runs of counted grams, cut into segments; kind: words of a gram less one."""
 
-    def cut(kind: int, grams: np.ndarray):
+    def rows(kind: int, grams: np.ndarray):
         distinct, counts = np.unique(grams, return_counts=True)
-        edges = np.searchsorted(distinct, np.arange(1 << bits, dtype=np.uint64) << _U(64 - bits)) if bits else np.array([0])
-        for seg, (a, b) in enumerate(zip(edges, np.append(edges[1:], len(distinct)))):
-            if b > a:
-                yield kind, seg, distinct[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes()
+        for seg, a, b, names in cut(kind, distinct, bits):
+            yield kind, seg, b - a, names, blob(counts[a:b])
 
     def run(batches):
         held: list[list[np.ndarray]] = [[] for _ in range(order)]
         size = 0
 
         def flush():
-            rows = [row for kind in range(order) if held[kind] for row in cut(kind, np.concatenate(held[kind]))]
-            names = ["kind", "seg", "grams", "counts"]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names)
+            found = [row for kind in range(order) if held[kind] for row in rows(kind, np.concatenate(held[kind]))]
+            names = ["kind", "seg", "n", "names", "counts"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names)
 
         for batch in batches:
             for some in chunks(batch.column(0).to_pylist()):
@@ -246,19 +302,22 @@ def _runs(bits: int, order: int):
     return run
 
 
-def _summed(table: pa.Table) -> pa.Table:
-    """One segment: exact counts of its grams and their filter."""
-    kind, seg = table["kind"][0].as_py(), table["seg"][0].as_py()
-    grams = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["grams"]])
-    counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]])
-    order = np.argsort(grams, kind="stable")
-    grams, counts = grams[order], counts[order].astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-    grams, counts = grams[first], np.add.reduceat(counts, first)
-    kept = kind == 0
-    row = {"kind": kind, "seg": seg, "bits": Filter.segment(grams, counts).tobytes(), "grams": grams.tobytes() if kept else b"", "counts": counts.tobytes() if kept else b"", "n": int(counts.sum()), "v": len(grams)}
-    types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-    return pa.table({k: pa.array([x], t) for (k, x), t in zip(row.items(), types)})
+def _summed(bits: int):
+    def run(table: pa.Table) -> pa.Table:
+        """One segment: exact counts of its grams and their filter."""
+        kind, seg, sizes = table["kind"][0].as_py(), table["seg"][0].as_py(), table["n"].to_pylist()
+        grams = keys(kind, seg, bits, table["names"].to_pylist(), sizes)
+        counts = np.concatenate([unblob(x, n) for x, n in zip(table["counts"].to_pylist(), sizes)])
+        order = np.argsort(grams, kind="stable")
+        grams, counts = grams[order], counts[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        grams, counts = grams[first], np.add.reduceat(counts, first)
+        known = (blob(np.diff(grams, prepend=_U(0))), blob(counts)) if kind == 0 else (b"", b"")
+        row = {"kind": kind, "seg": seg, "bits": Filter.segment(grams, counts).tobytes(), "names": known[0], "counts": known[1], "n": int(counts.sum()), "v": len(grams)}
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        return pa.table({k: pa.array([x], t) for (k, x), t in zip(row.items(), types)})
+
+    return run
 
 
 class Learned:
@@ -268,15 +327,16 @@ class Learned:
         self.segments, self.bits, self.order = segments, bits, order
         totals = segments.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
         self.n, self.v = totals
-        self.bytes = segments.agg(F.coalesce(F.sum(F.octet_length("bits") + F.octet_length("grams") + F.octet_length("counts")), F.lit(0))).first()[0]
+        # A word that is broadcast has eight bytes and its count's four.
+        self.bytes = segments.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0] + 12 * self.v
 
 
 def learn(texts: DataFrame, text: str = "text", order: int = ORDER) -> Learned:
     """Counts of all rows' words and longer grams, in segments: 64 of a kind at least, and one for each ``SEGMENT_BYTES`` of text."""
     size = texts.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    bits = max(6, (size // SEGMENT_BYTES).bit_length())
+    bits = min(max(6, (size // SEGMENT_BYTES).bit_length()), 64 - NAME_BITS)
     runs = texts.select(F.col(text)).mapInArrow(_runs(bits, order), RUN)
-    return Learned(written(runs.groupBy("kind", "seg").applyInArrow(_summed, SEGMENT), "lm-segments"), bits, order)
+    return Learned(written(runs.groupBy("kind", "seg").applyInArrow(_summed(bits), SEGMENT), "lm-segments"), bits, order)
 
 
 def _model(learned: Learned) -> Model:
@@ -287,10 +347,11 @@ def _model(learned: Learned) -> Model:
         lengths = np.zeros(1 << learned.bits, np.int64)
         lengths[rows["seg"].to_numpy()] = [len(x.as_buffer()) // 8 for x in rows["bits"]]
         words = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), np.uint64) for x in rows["bits"])])
-        filters.append(Filter(learned.bits, words, np.concatenate([[0], np.cumsum(lengths)])))
+        filters.append(Filter(learned.bits, words, np.concatenate([[0], np.cumsum(lengths)]), 64 - learned.bits - name_bits(kind, learned.bits)))
         del rows
-    rows = learned.segments.filter("kind = 0").select("seg", "grams", "counts").orderBy("seg").toArrow()
-    known, counts = (np.concatenate([np.zeros(0, t), *(np.frombuffer(x.as_buffer(), t) for x in rows[c])]) for c, t in (("grams", np.uint64), ("counts", np.int64)))
+    rows = learned.segments.filter("kind = 0").select("names", "counts", F.col("v").cast("int").alias("n")).orderBy("seg").toArrow().to_pylist()
+    known = np.concatenate([np.zeros(0, np.uint64), *(np.cumsum(unblob(r["names"], r["n"]), dtype=np.uint64) for r in rows)])
+    counts = np.concatenate([np.zeros(0, np.uint64), *(unblob(r["counts"], r["n"]) for r in rows)])
     return Model(filters, known, np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32) if not len(counts) or counts.max() < 1 << 32 else counts, learned.n, learned.v)
 
 
@@ -298,7 +359,7 @@ def score(docs: DataFrame, learned: Learned, key: str = "doc_id", text: str = "t
     """``docs`` with n_tokens, n_known, base_score and score."""
     docs, back = set_aside(docs, key, text, tuple(OUTPUTS))
     if learned.bytes > broadcast_bytes:
-        return back(_score_by_joins(docs, learned), *OUTPUTS)
+        return back(_score_by_runs(docs, learned), *OUTPUTS)
     shared = docs.sparkSession.sparkContext.broadcast(_model(learned))
 
     @F.arrow_udf("struct<" + ",".join(f"{k}:{t}" for k, t in OUTPUTS.items()) + ">")
@@ -310,65 +371,133 @@ def score(docs: DataFrame, learned: Learned, key: str = "doc_id", text: str = "t
     return back(docs.withColumn("lm", run(F.col("text"))), "lm.*")
 
 
-def _gram_rows(order: int):
-    """(rid, g0 .. , h1 .. , n): each text's distinct grams of all lengths that end in one token, with their contexts; null: none so long."""
+PACKED = "ids binary, lengths binary, texts binary, n int"
+ASKED = "run long, kind int, seg int, n int, names binary"
+ANSWER = "run long, kind int, seg int, n int, levels binary, counts binary"
+SCORED = "a long, b long, " + ", ".join(f"{k} {t}" for k, t in OUTPUTS.items())
+
+
+def _packed(batches):
+    """Runs of texts of some MB, in lower case and compressed, with the two hashes that name each."""
+    codec = pa.Codec("zstd", compression_level=3)
+    ids: list[bytes] = []
+    texts: list[bytes] = []
+    size = 0
+
+    def flush():
+        row = (b"".join(ids), blob(np.array([len(t) for t in texts])), codec.compress(b"".join(texts), asbytes=True), len(texts))
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.binary(), pa.binary(), pa.binary(), pa.int32()))], ["ids", "lengths", "texts", "n"])
+
+    for batch in batches:
+        named = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype("<i8") for i in (0, 1)], 1)
+        for name, text in zip(named, batch.column(2)):
+            ids.append(name.tobytes())
+            texts.append((text.as_py() or "").encode().translate(_LOWER))
+            size += len(texts[-1]) + TEXT_BYTES
+            if size >= RUN_BYTES:
+                yield flush()
+                ids, texts, size = [], [], 0
+    if texts:
+        yield flush()
+
+
+def _unpacked(row: dict):
+    """The tokens of a run of texts and where each text starts, in chunks as everywhere: tokens take many times their bytes."""
+    ends = np.cumsum(unblob(row["lengths"], row["n"]).astype(np.int64))
+    begins = np.concatenate([[0], ends[:-1]])
+    data = pa.Codec("zstd").decompress(row["texts"], int(ends[-1]), asbytes=True)
+    chunk = (ends + TEXT_BYTES * np.arange(1, len(ends) + 1)) // CHUNK_BYTES
+    for some in np.split(np.arange(len(ends)), np.flatnonzero(np.diff(chunk)) + 1):
+        yield tokens([data[begins[i] : ends[i]] for i in some])
+
+
+def _distinct(run, order: int) -> list[np.ndarray]:
+    """Sorted distinct grams of each kind of a run's chunks."""
+
+    def different(grams: np.ndarray) -> np.ndarray:
+        # np.unique uses a table of hashes here, which is slower for so many than sorting.
+        grams = np.sort(grams)
+        return grams[np.flatnonzero(np.diff(grams, prepend=~grams[:1]))]
+
+    held: list[list[np.ndarray]] = [[] for _ in range(order)]
+    for grams, starts in run:
+        held[0].append(different(grams))
+        for kind, (both, _, valid) in enumerate(longer(grams, starts, order), 1):
+            held[kind].append(different(both[valid]))
+    return [different(np.concatenate(x)) for x in held]
+
+
+def _asked(bits: int, order: int):
+    """The distinct grams of each run of texts, cut into segments."""
 
     def run(batches):
         for batch in batches:
-            rids, done = batch.column(0), 0
-            for some in chunks(batch.column(1).to_pylist()):
-                grams, starts = tokens(some)
-                text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(grams))))
-                cols, valid = [text.astype(np.uint64), grams], []
-                for both, head, good in longer(grams, starts, order):
-                    cols += [np.where(good, both, _U(0)), np.where(good, head, _U(0))]
-                    valid.append(good)
-                _, at, counts = np.unique(np.stack(cols, 1), axis=0, return_index=True, return_counts=True)
-                out = [rids.take(pa.array(done + text[at])), pa.array(grams[at].astype(np.int64))]
-                for k, good in enumerate(valid):
-                    out += [pa.array(cols[2 + 2 * k + i][at].astype(np.int64), mask=~good[at]) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*out, pa.array(counts, pa.int64())], ["rid", "g0", *(f"{c}{k}" for k in range(1, order) for c in "gh"), "n"])
-                done += len(some)
+            for i in range(batch.num_rows):
+                row = {c: batch[c][i].as_py() for c in ("run", "lengths", "texts", "n")}
+                rows = [(row["run"], kind, seg, b - a, names) for kind, grams in enumerate(_distinct(_unpacked(row), order)) for seg, a, b, names in cut(kind, grams, bits)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["run", "kind", "seg", "n", "names"])
 
     return run
 
 
-def _score_by_joins(docs: DataFrame, learned: Learned) -> DataFrame:
-    """The same scores without a broadcast: distinct grams meet their segments, and their counts come back by joins."""
+def _answered(bits: int):
+    def run(asked: pa.Table, segment: pa.Table) -> pa.Table:
+        """What one segment has of the grams of all runs: the filter's levels, and the exact counts of words."""
+        if not len(asked):
+            return pa.table({c: pa.array([], t) for c, t in (("run", pa.int64()), ("kind", pa.int32()), ("seg", pa.int32()), ("n", pa.int32()), ("levels", pa.binary()), ("counts", pa.binary()))})
+        kind, seg, sizes = asked["kind"][0].as_py(), asked["seg"][0].as_py(), asked["n"].to_pylist()
+        grams, which = np.unique(keys(kind, seg, bits, asked["names"].to_pylist(), sizes), return_inverse=True)
+        levels, counts = np.zeros(len(grams), np.uint8), np.zeros(len(grams), np.uint64)
+        if len(segment):
+            words = np.frombuffer(segment["bits"][0].as_buffer(), np.uint64)
+            levels = Filter(0, words, np.array([0, len(words)])).levels(grams)
+            if kind == 0:
+                n = segment["v"][0].as_py()
+                known = np.cumsum(unblob(segment["names"][0].as_py(), n), dtype=np.uint64)
+                at = np.minimum(np.searchsorted(known, grams), n - 1)
+                counts = np.where(known[at] == grams, unblob(segment["counts"][0].as_py(), n)[at], _U(0))
+        runs = np.split(which, np.cumsum(sizes)[:-1])
+        out = {"levels": [blob(levels[x]) for x in runs], "counts": [blob(counts[x]) if kind == 0 else b"" for x in runs]}
+        return asked.select(["run", "kind", "seg", "n"]).append_column("levels", pa.array(out["levels"], pa.binary())).append_column("counts", pa.array(out["counts"], pa.binary()))
+
+    return run
+
+
+def _finished(order: int, n: int, v: int):
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        """The scores of a run of texts from the answers of all segments."""
+        row = texts.to_pylist()[0]
+        chunks = list(_unpacked(row))
+        distinct = _distinct(chunks, order)
+        rows = sorted(answers.to_pylist(), key=lambda x: (x["kind"], x["seg"]))
+        found = [np.concatenate([np.zeros(0, np.uint8), *(unblob(x["levels"], x["n"]).astype(np.uint8) for x in rows if x["kind"] == kind)]) for kind in range(order)]
+        counts = np.concatenate([unblob(x["counts"], x["n"]) for x in rows if x["kind"] == 0]).astype(np.float64)
+
+        def place(kind: int, grams: np.ndarray) -> np.ndarray:
+            some, which = np.unique(grams, return_inverse=True)
+            return np.searchsorted(distinct[kind], some)[which]
+
+        def scored(grams: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+            words = place(0, grams)
+            return sums(grams, starts, counts[words], lambda kind, some: found[kind][place(kind, some) if kind else words], order, n, v)
+
+        out = [np.concatenate(x) for x in zip(*(scored(*chunk) for chunk in chunks))]
+        ids = np.frombuffer(row["ids"], "<i8").reshape(-1, 2)
+        kinds = {"long": pa.int64(), "double": pa.float64()}
+        return pa.table({"a": ids[:, 0], "b": ids[:, 1], **{k: pa.array(x, kinds[t]) for x, (k, t) in zip(out, OUTPUTS.items())}})
+
+    return run
+
+
+def _score_by_runs(docs: DataFrame, learned: Learned) -> DataFrame:
+    """The same scores without a broadcast: the grams of runs of texts meet their segments, and the answers meet the texts."""
     bits, order = learned.bits, learned.order
     rows = docs.withColumn("rid", row_name(F.col("key"), F.col("text")))
-    names = ["g0", *(f"{c}{k}" for k in range(1, order) for c in "gh")]
-    kind = {name: int(name[1:]) - (name[0] == "h") for name in names}
-    grams = rows.dropDuplicates(["rid"]).select("rid", "text").mapInArrow(_gram_rows(order), f"rid struct<a:long,b:long>, {', '.join(f'{c} long' for c in names)}, n long")
-    grams = written(grams, "lm-grams")
-    wanted = [grams.select(F.lit(kind[c]).alias("kind"), F.col(c).alias("g")).filter("g is not null") for c in names]
-    wanted = reduce(DataFrame.unionByName, wanted).distinct().withColumn("seg", F.shiftrightunsigned("g", 64 - bits).cast("int"))
-
-    def ask(asked: pa.Table, segment: pa.Table) -> pa.Table:
-        g = asked["g"].to_numpy().astype(np.uint64)
-        level, exact = np.zeros(len(g), np.int64), np.zeros(len(g), np.int64)
-        if len(segment):
-            words, known, counts = (np.frombuffer(segment[c][0].as_buffer(), t) for c, t in (("bits", np.uint64), ("grams", np.uint64), ("counts", np.int64)))
-            level = Filter(0, words, np.array([0, len(words)])).levels(g)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, g), len(known) - 1)
-                exact = np.where(known[at] == g, counts[at], 0)
-        return pa.table({"kind": asked["kind"], "g": asked["g"], "c": pa.array(COUNT_OF[level]), "exact": pa.array(exact, pa.int64())})
-
-    found = wanted.groupBy("kind", "seg").cogroup(learned.segments.select("kind", "seg", "bits", "grams", "counts").groupBy("kind", "seg"))
-    found = written(found.applyInArrow(ask, "kind int, g long, c double, exact long"), "lm-counts")
-    all_ = grams
-    for c in names:
-        all_ = all_.join(found.filter(F.col("kind") == kind[c]).select(F.col("g").alias(c), F.col("c").alias(f"c_{c}"), F.col("exact").alias(f"exact_{c}")), c, "left")
-    total = learned.n + ADD * (learned.v + 1)
-    p = (F.col("c_g0") + ADD) / total
-    for k in range(1, order):
-        c = F.col(f"c_g{k}")
-        p = F.when(F.col(f"g{k}").isNull(), p).otherwise((c + MU * p) / (F.greatest(F.col(f"c_h{k}"), c) + MU))
-    sums = all_.groupBy("rid").agg(
-        F.sum("n").alias("n_tokens"),
-        F.sum(F.when(F.col("exact_g0") > 0, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("n") * F.log10((F.col("exact_g0") + ADD) / total)).alias("base_score"),
-        F.sum(F.col("n") * F.log10(p)).alias("score"),
-    )
-    return rows.join(sums, "rid", "left")
+    texts = rows.select("rid.a", "rid.b", "text").mapInArrow(_packed, PACKED)
+    texts = written(texts.withColumn("run", F.monotonically_increasing_id()), "lm-texts")
+    asked = texts.select("run", "lengths", "texts", "n").mapInArrow(_asked(bits, order), ASKED)
+    answers = asked.groupBy("kind", "seg").cogroup(learned.segments.groupBy("kind", "seg")).applyInArrow(_answered(bits), ANSWER)
+    scores = texts.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(_finished(order, learned.n, learned.v), SCORED)
+    # Equal rows have equal scores.
+    scores = scores.dropDuplicates(["a", "b"]).select(F.struct("a", "b").alias("rid"), *OUTPUTS)
+    return rows.join(scores, "rid", "left")
