@@ -54,14 +54,14 @@ from lintel.storage import written
 #: Small, so that a model takes little of every Python worker's memory.
 BROADCAST_BYTES = 8 << 20
 PROBES, MU, ADD, ORDER = 5, 4.0, 0.1, 2
-#: Bytes of texts for each segment of a kind.
-SEGMENT_BYTES = 32 << 20
-CHUNK_BYTES, RUN_TOKENS, RUN_BYTES = 2 << 20, 2_000_000, 16 << 20
+#: Bytes of texts for each segment of a kind; a task holds one segment's grams of all runs.
+SEGMENT_BYTES = 16 << 20
+CHUNK_BYTES, RUN_TOKENS, RUN_BYTES = 1 << 20, 2_000_000, 16 << 20
 #: What a text counts in a run besides its bytes.
 TEXT_BYTES = 8
 #: Bits that name a run of words within its segment.
 NAME_BITS = 40
-#: Grams that a filter is asked for at once.
+#: Grams that are put into a filter or looked up at once.
 LOOKED_UP = 250_000
 OUTPUTS = {"n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
 
@@ -175,8 +175,18 @@ def cut(kind: int, grams: np.ndarray, bits: int):
 
 def keys(kind: int, seg: int, bits: int, names: list[bytes], sizes: list[int]) -> np.ndarray:
     """The grams of many runs in one segment, run by run, as its filter knows them."""
-    found = [np.cumsum(unblob(x, n), dtype=np.uint64) for x, n in zip(names, sizes)]
-    return np.concatenate(found) | _U(seg << name_bits(kind, bits))
+    out = filled((np.cumsum(unblob(x, n), dtype=np.uint64) for x, n in zip(names, sizes)), sizes, np.uint64)
+    out |= _U(seg << name_bits(kind, bits))
+    return out
+
+
+def filled(parts, sizes: list[int], kind: type) -> np.ndarray:
+    """Parts of these sizes one after the other, without holding them besides."""
+    out, at = np.empty(sum(sizes), kind), 0
+    for part, size in zip(parts, sizes):
+        out[at : at + size] = part
+        at += size
+    return out
 
 
 class Filter:
@@ -193,11 +203,13 @@ class Filter:
         keys = int(levels.sum())
         words = np.zeros(max(1, int(np.ceil(keys * PROBES * 1.4427 / 64))), np.uint64)
         size = _U(len(words) * 64)
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            some = grams[levels >= level]
-            for probe in range(PROBES):
-                bit = _bit(some, level, probe) % size
-                np.bitwise_or.at(words, (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
+        for at in range(0, len(grams), LOOKED_UP):
+            part, most = grams[at : at + LOOKED_UP], levels[at : at + LOOKED_UP]
+            for level in range(1, int(most.max(initial=0)) + 1):
+                some = part[most >= level]
+                for probe in range(PROBES):
+                    bit = _bit(some, level, probe) % size
+                    np.bitwise_or.at(words, (bit >> _U(6)).astype(np.int64), _U(1) << (bit & _U(63)))
         return words
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
@@ -307,9 +319,9 @@ def _summed(bits: int):
         """One segment: exact counts of its grams and their filter."""
         kind, seg, sizes = table["kind"][0].as_py(), table["seg"][0].as_py(), table["n"].to_pylist()
         grams = keys(kind, seg, bits, table["names"].to_pylist(), sizes)
-        counts = np.concatenate([unblob(x, n) for x, n in zip(table["counts"].to_pylist(), sizes)])
-        order = np.argsort(grams, kind="stable")
-        grams, counts = grams[order], counts[order].astype(np.int64)
+        counts = filled((unblob(x, n) for x, n in zip(table["counts"].to_pylist(), sizes)), sizes, np.int64)
+        order = np.argsort(grams)
+        grams, counts = grams[order], counts[order]
         first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
         grams, counts = grams[first], np.add.reduceat(counts, first)
         known = (blob(np.diff(grams, prepend=_U(0))), blob(counts)) if kind == 0 else (b"", b"")
@@ -446,7 +458,14 @@ def _answered(bits: int):
         if not len(asked):
             return pa.table({c: pa.array([], t) for c, t in (("run", pa.int64()), ("kind", pa.int32()), ("seg", pa.int32()), ("n", pa.int32()), ("levels", pa.binary()), ("counts", pa.binary()))})
         kind, seg, sizes = asked["kind"][0].as_py(), asked["seg"][0].as_py(), asked["n"].to_pylist()
-        grams, which = np.unique(keys(kind, seg, bits, asked["names"].to_pylist(), sizes), return_inverse=True)
+        grams = keys(kind, seg, bits, asked["names"].to_pylist(), sizes)
+        order = np.argsort(grams)
+        grams = grams[order]
+        new = np.concatenate([[True], grams[1:] != grams[:-1]])
+        which = np.empty(len(grams), np.int32)
+        which[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        grams = grams[new]
+        del order, new
         levels, counts = np.zeros(len(grams), np.uint8), np.zeros(len(grams), np.uint64)
         if len(segment):
             words = np.frombuffer(segment["bits"][0].as_buffer(), np.uint64)
