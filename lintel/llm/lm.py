@@ -20,12 +20,12 @@ constant error rate: one absent key in 2^PROBES counts as present, which takes a
 gram's count up by one level.  The number of segments follows from the bytes of
 the texts alone, so results do not depend on a session's settings.
 
-``order`` is two unless the caller asks for more: of 0.5 GB of text, pairs and words
-take 113 MB in every Python worker, triples 92 MB more.
+``order`` is two unless the caller asks for more: of 0.5 GB of documents, filter and
+counts of words and pairs take 113 MB, triples 92 MB more.
 
 Grams move as the differences of their sorted hashes, in compressed planes of
 bytes.  A run of words keeps the bits that name its segment and ``NAME_BITS`` more,
-so that within a segment about one in 10^5 shares its name with another.
+so that within a segment fewer than one in 10^5 share their name with another.
 
 Filter and word counts are broadcast while they take at most ``BROADCAST_BYTES``
 together; larger ones stay in their segments.  The texts are packed into runs of
